@@ -93,3 +93,129 @@ def q_quarantine(spark, root):
 @register("expectation_counts")
 def q_expectation_counts(spark, root):
     return silver.rule_counts_union(_raws(spark, root))
+
+
+# --- CDC, gold, marts ------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from paylake.operators.cdc import scd2  # noqa: E402
+from paylake.plans import gold as G  # noqa: E402
+from paylake.plans import marts as M  # noqa: E402
+from paylake.sources.tables import read_table  # noqa: E402
+
+
+def _silver(spark, root):
+    raws = _raws(spark, root)
+    return (G.silver_transactions(raws["transactions"]),
+            G.silver_history(raws["users"], "users"),
+            G.silver_history(raws["merchants"], "merchants"))
+
+
+def _gold(spark, root):
+    s_tx, s_users, s_merchants = _silver(spark, root)
+    return G.gold_transactions(s_tx), G.gold_users(s_users), G.gold_merchants(s_merchants)
+
+
+def _dims(spark, root):
+    g_tx, g_users, g_merchants = _gold(spark, root)
+    return g_tx, M.dim_user(g_users, g_tx), M.dim_merchant(g_merchants)
+
+
+def events_history(events):
+    """SCD2 over the raw event stream: key user_id, sequence (ts, event_id),
+    tracked event_type; histories cut into hourly chunks so one busy user is
+    spread over many tasks."""
+    return scd2(events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], "ts",
+                tiebreak=["event_id"], chunk=F.date_trunc("hour", "ts"))
+
+
+@register("scd1_transactions")
+def q_scd1_transactions(spark, root):
+    return _silver(spark, root)[0]
+
+
+@register("scd2_users")
+def q_scd2_users(spark, root):
+    return _silver(spark, root)[1]
+
+
+@register("scd2_merchants")
+def q_scd2_merchants(spark, root):
+    return _silver(spark, root)[2]
+
+
+@register("scd2_events")
+def q_scd2_events(spark, root):
+    return events_history(read_table(spark, root, "events"))
+
+
+@register("gold_transactions")
+def q_gold_transactions(spark, root):
+    return _gold(spark, root)[0]
+
+
+@register("gold_users")
+def q_gold_users(spark, root):
+    return _gold(spark, root)[1]
+
+
+@register("gold_merchants")
+def q_gold_merchants(spark, root):
+    return _gold(spark, root)[2]
+
+
+@register("dim_date")
+def q_dim_date(spark, root):
+    return M.dim_date(_gold(spark, root)[0])
+
+
+@register("dim_channel")
+def q_dim_channel(spark, root):
+    return M.dim_channel(_gold(spark, root)[0])
+
+
+@register("tx_per_type")
+def q_tx_per_type(spark, root):
+    return M.tx_per_type(_gold(spark, root)[0])
+
+
+@register("tx_per_user")
+def q_tx_per_user(spark, root):
+    return M.tx_per_user(_gold(spark, root)[0])
+
+
+@register("reversal_rate")
+def q_reversal_rate(spark, root):
+    return M.reversal_rate(_gold(spark, root)[0])
+
+
+@register("dim_user")
+def q_dim_user(spark, root):
+    return _dims(spark, root)[1]
+
+
+@register("dim_merchant")
+def q_dim_merchant(spark, root):
+    return _dims(spark, root)[2]
+
+
+@register("fx_amounts")
+def q_fx_amounts(spark, root):
+    return M.fx_amounts(_gold(spark, root)[0])
+
+
+@register("risk_scored_transactions")
+def q_risk_scored_transactions(spark, root):
+    return M.risk_scored_transactions(*_dims(spark, root))
+
+
+@register("fact_transactions")
+def q_fact_transactions(spark, root):
+    return M.fact_transactions(*_dims(spark, root))
+
+
+@register("fact_keyed")
+def q_fact_keyed(spark, root):
+    g_tx, d_user, d_merchant = _dims(spark, root)
+    return M.fact_keyed(g_tx, d_user, d_merchant, M.dim_channel(g_tx))
