@@ -219,3 +219,98 @@ def q_fact_transactions(spark, root):
 def q_fact_keyed(spark, root):
     g_tx, d_user, d_merchant = _dims(spark, root)
     return M.fact_keyed(g_tx, d_user, d_merchant, M.dim_channel(g_tx))
+
+
+# --- run log and dashboard ---------------------------------------------------
+
+from paylake.plans import runlog as RL  # noqa: E402
+
+_PIPE, _CAT = fx.RUN_LOG_PIPELINE, fx.RUN_LOG_CATALOG
+
+
+def _log(spark, root):
+    return fx.raw_run_log(spark, root)
+
+
+@register("run_log_latest")
+def q_run_log_latest(spark, root):
+    return RL.run_log_latest(_log(spark, root), _PIPE, _CAT)
+
+
+@register("run_log_summary")
+def q_run_log_summary(spark, root):
+    return RL.run_log_summary(_log(spark, root), _PIPE, _CAT)
+
+
+@register("run_log_rates")
+def q_run_log_rates(spark, root):
+    return RL.run_log_rates(_log(spark, root), _PIPE, _CAT)
+
+
+@register("run_log_expectations")
+def q_run_log_expectations(spark, root):
+    return RL.run_log_expectations(_log(spark, root), _PIPE, _CAT)
+
+
+@register("run_log_by_table")
+def q_run_log_by_table(spark, root):
+    return RL.run_log_by_table(_log(spark, root), _PIPE, _CAT, "transactions")
+
+
+@register("dash_detail")
+def q_dash_detail(spark, root):
+    return RL.dash_detail(RL.run_log_rates(_log(spark, root), _PIPE, _CAT))
+
+
+@register("dash_rate_by_table")
+def q_dash_rate_by_table(spark, root):
+    return RL.dash_rate_by_table(RL.run_log_rates(_log(spark, root), _PIPE, _CAT))
+
+
+_EXP_TABLE = f"{_CAT}.{RL.DEFAULT_EXPECTATION_TABLE}"
+
+
+@register("dash_rejected_by_rule")
+def q_dash_rejected_by_rule(spark, root):
+    return RL.dash_rejected_by_rule(RL.run_log_expectations(_log(spark, root), _PIPE, _CAT), _EXP_TABLE)
+
+
+@register("dash_max_rate_month")
+def q_dash_max_rate_month(spark, root):
+    return RL.dash_max_rate_month(RL.run_log_expectations(_log(spark, root), _PIPE, _CAT), _EXP_TABLE)
+
+
+@register("dash_avg_rate_month")
+def q_dash_avg_rate_month(spark, root):
+    return RL.dash_avg_rate_month(RL.run_log_expectations(_log(spark, root), _PIPE, _CAT), _EXP_TABLE)
+
+
+@register("dash_rejected_by_day")
+def q_dash_rejected_by_day(spark, root):
+    return RL.dash_rejected_by_day(RL.run_log_expectations(_log(spark, root), _PIPE, _CAT))
+
+
+@register("dash_filter_values")
+def q_dash_filter_values(spark, root):
+    log = _log(spark, root)
+    return RL.dash_filter_values(RL.run_log_rates(log, _PIPE, _CAT),
+                                 RL.run_log_expectations(log, _PIPE, _CAT), _CAT)
+
+
+# --- masking and scalar functions -----------------------------------------
+
+from paylake.operators.masking import USER_COLUMN_TAGS, apply_masks, tag_columns  # noqa: E402
+from paylake.plans.scalars import scalar_functions  # noqa: E402
+
+ANALYST_ROLE = "analista"
+
+
+@register("masked_users")
+def q_masked_users(spark, root):
+    users = tag_columns(_silver(spark, root)[1], USER_COLUMN_TAGS)
+    return apply_masks(users, ANALYST_ROLE)
+
+
+@register("scalar_functions")
+def q_scalar_functions(spark, root):
+    return scalar_functions(fx.raw_transactions(spark, root))
