@@ -314,3 +314,55 @@ def q_masked_users(spark, root):
 @register("scalar_functions")
 def q_scalar_functions(spark, root):
     return scalar_functions(fx.raw_transactions(spark, root))
+
+
+# --- streaming (result equals the batch oracle) ------------------------------
+
+from paylake.plans import streams as ST  # noqa: E402
+from paylake.session import fresh_dir  # noqa: E402
+from paylake.streaming.silver import read_current  # noqa: E402
+
+
+@register("ingest_stream")
+def q_ingest_stream(spark, root):
+    """Bronze table after streaming the landed transaction files (A1-A5, G8);
+    lineage columns (ingestion time, file name) are left out of the result."""
+    work = fresh_dir(spark, "ingest-stream")
+    landing = f"{work}/landing/transactions"
+    ST.land(fx.raw_transactions(spark, root), "transactions", landing,
+            F.pmod(F.crc32("transaction_id"), F.lit(4)), 4)
+    cfg = ST.ingest(spark, "transactions", landing, work)
+    return spark.read.parquet(cfg.target_table).drop("ingestion_at", "source_file", "_corrupt_record")
+
+
+@register("quarantine_stream")
+def q_quarantine_stream(spark, root):
+    """Quarantine table filled by the three silver streams."""
+    work = fresh_dir(spark, "quarantine-stream")
+    raws = _raws(spark, root)
+    target = None
+    for feed in silver.FEEDS:
+        target = ST.run_feed(spark, raws[feed], feed, work)
+    return spark.read.parquet(target.quarantine_path).select("payload", "rejected_by")
+
+
+@register("scd1_stream")
+def q_scd1_stream(spark, root):
+    work = fresh_dir(spark, "scd1-stream")
+    return read_current(spark, ST.run_feed(spark, fx.raw_transactions(spark, root), "transactions", work))
+
+
+@register("scd2_stream")
+def q_scd2_stream(spark, root):
+    work = fresh_dir(spark, "scd2-stream")
+    return read_current(spark, ST.run_feed(spark, fx.raw_users(spark, root), "users", work))
+
+
+@register("scd2_stream_out_of_order")
+def q_scd2_stream_out_of_order(spark, root):
+    """Resends (seq 1) land before first loads (seq 0); the sequence column,
+    not arrival, orders versions (G3)."""
+    work = fresh_dir(spark, "scd2-ooo-stream")
+    target = ST.run_feed(spark, fx.raw_users(spark, root), "users", work,
+                         order=[F.col("seq") == 1, F.col("seq") == 0])
+    return read_current(spark, target)
