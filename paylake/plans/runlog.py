@@ -205,3 +205,14 @@ def dash_filter_values(rates: DataFrame, expectations: DataFrame, catalog: str)
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def expectation_totals(log: DataFrame, pipeline: str) -> DataFrame:
+    """Failed records per flow and rule summed over every progress event of
+    the pipeline (what the per-batch expectation counters add up to)."""
+    d = F.from_json("details", DETAILS_SCHEMA)
+    e = (log.where((F.col("event_type") == FLOW_PROGRESS) & (F.col("origin.pipeline_name") == pipeline))
+         .select(F.col("origin.flow_name").alias("flow_name"),
+                 F.explode(d["flow_progress"]["data_quality"]["expectations"]).alias("e")))
+    return (e.groupBy("flow_name", F.col("e.name").alias("expectation"))
+            .agg(F.sum("e.failed_records").alias("failed_records")))

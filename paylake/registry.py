@@ -366,3 +366,29 @@ def q_scd2_stream_out_of_order(spark, root):
     target = ST.run_feed(spark, fx.raw_users(spark, root), "users", work,
                          order=[F.col("seq") == 1, F.col("seq") == 0])
     return read_current(spark, target)
+
+
+@register("run_log_stream_totals")
+def q_run_log_stream_totals(spark, root):
+    """Run log written by the silver streams, one event per micro-batch
+    (A13, G7); per-rule failures summed over the events."""
+    work = fresh_dir(spark, "runlog-stream")
+    raws = _raws(spark, root)
+    log_path = f"{work}/run_log"
+    for feed in silver.FEEDS:
+        ST.run_feed(spark, raws[feed], feed, work, run_log_path=log_path)
+    return RL.expectation_totals(spark.read.parquet(log_path), _PIPE)
+
+
+# --- materialised marts ------------------------------------------------------
+
+from paylake.plans.refresh import refresh  # noqa: E402
+
+
+@register("refresh_marts")
+def q_refresh_marts(spark, root):
+    """Refresh all marts in dependency order into a fresh folder (A11, A12);
+    one row per committed mart with its row count."""
+    g_tx, g_users, g_merchants = _gold(spark, root)
+    gold = {"gold_transactions": g_tx, "gold_users": g_users, "gold_merchants": g_merchants}
+    return refresh(spark, gold, fresh_dir(spark, "marts")).select("mart", "row_count")
