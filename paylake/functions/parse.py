@@ -41,9 +41,10 @@ def parse_amount(amount, precision: int = 10, scale: int = 2) -> Column:
     Blank text is NULL (not a cast error); ``1.235`` rounds half-up to 1.24;
     values too wide for the type are NULL.
     """
-    a = F.trim(_c(amount))
-    a = F.when(a != F.lit(""), a)
-    return normalize_amount_text(a).try_cast(f"decimal({precision},{scale})")
+    # Blank text needs no branch of its own: try_cast('') is NULL. Each extra
+    # reference to the input is re-evaluated wherever Catalyst inlines it
+    # (e.g. a rule filter pushed below this projection), so keep them few.
+    return normalize_amount_text(F.trim(_c(amount))).try_cast(f"decimal({precision},{scale})")
 
 
 def parse_multi_date(text) -> Column:

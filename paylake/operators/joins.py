@@ -6,12 +6,13 @@
   AQE can still switch to a broadcast from measured sizes.
 * :func:`salted_join` joins a fact to a dimension keyed by one row per key
   when a few keys may carry a large share of the fact (a hot user holding a
-  third of all transactions). Hot keys are found with a partial aggregate;
-  their fact rows are spread over ``salts`` sub-keys and their dimension rows
-  replicated ``salts`` times, so no single task receives a hot key's rows.
-  The hot-key set is bounded by construction (at most
-  ``rows / hot_key_rows`` keys) and that bound is checked before it is
-  broadcast.
+  third of all transactions). A key is hot when it holds at least
+  ``hot_fraction`` of the fact's rows (a scalar subquery for the total, a
+  partial aggregate for the per-key counts). At most ``1 / hot_fraction``
+  keys can qualify, so the hot set is bounded by construction and safe to
+  broadcast. Hot keys' fact rows are spread over ``salts`` sub-keys and their
+  dimension rows replicated ``salts`` times, so no task receives a whole hot
+  key; all other keys join as usual.
 """
 
 from __future__ import annotations
@@ -20,9 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_HOT_KEY_ROWS = 5_000_000
+DEFAULT_HOT_FRACTION = 1e-3
 DEFAULT_SALTS = 32
-MAX_HOT_KEYS = 100_000
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -34,14 +34,16 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if is_bounded(df, max_rows) else df
 
 
-def hot_keys(fact: DataFrame, keys, min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` fact rows (partial aggregate, key columns only)."""
+def hot_keys(fact: DataFrame, keys, fraction: float = DEFAULT_HOT_FRACTION) -> DataFrame:
+    """Keys holding at least ``fraction`` of ``fact``'s rows: at most
+    ``1 / fraction`` of them exist, whatever the data size."""
+    total = fact.select(F.count(F.lit(1))).scalar()
     return (fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= min_rows).select(*keys))
+            .where(F.col("_n") >= total * F.lit(fraction)).select(*keys))
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "inner",
-                hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, salts: int = DEFAULT_SALTS,
+                hot_fraction: float = DEFAULT_HOT_FRACTION, salts: int = DEFAULT_SALTS,
                 salt_by=None) -> DataFrame:
     """Equi-join ``fact`` to ``dim`` (unique per key) with hot keys salted.
 
@@ -49,10 +51,7 @@ def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "inner",
     fact columns), so the split is deterministic and survives task retries.
     """
     keys = list(keys)
-    hot = hot_keys(fact, keys, hot_key_rows)
-    if not is_bounded(hot, MAX_HOT_KEYS):
-        raise ValueError("too many hot keys to broadcast; raise hot_key_rows")
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(fact, keys, hot_fraction).withColumn("_hot", F.lit(True)))
     salt_cols = [F.col(c) for c in (salt_by or fact.columns)]
     f = (fact.join(hot, keys, "left")
          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_cols), F.lit(salts)))

@@ -46,7 +46,8 @@ def transaction_rules() -> list[tuple[str, Column]]:
         ("valid_merchant_id", c("merchant_id").isNotNull()),
         ("valid_channel", c("channel").isin(*CHANNELS)),
         ("valid_transaction_type", c("transaction_type").isin(*TRANSACTION_TYPES)),
-        ("valid_amount", (c("amount") > 0) & c("amount").isNotNull()),
+        # "amount > 0 AND amount IS NOT NULL": same truth table, one reference
+        ("valid_amount", F.coalesce(c("amount") > 0, F.lit(False))),
         ("valid_currency", c("currency").isin(*CURRENCIES)),
         ("valid_status", c("status").isin(*TRANSACTION_STATUSES)),
         ("required_reference_id",

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from paylake.functions.keys import (CHANNEL_ID_PREFIX, date_key, normalized_amount, quarter_label,
                                     risk_ordinal, static_channel_id, week_label)
-from paylake.operators.joins import broadcast_if_bounded, salted_join
+from paylake.operators.joins import salted_join
 
 # Fixed values (must equal the reference).
 APPROVED = "aprobado"
@@ -177,9 +177,18 @@ def risk_score(currency, merchant_currency, tx_type, m_risk, u_risk) -> F.Column
 
 
 def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant: DataFrame,
-                             channel_ids: DataFrame | None = None, hot_key_rows: int | None = None) -> DataFrame:
+                             channel_ids: DataFrame | None = None, hot_fraction: float | None = None,
+                             merchants_bounded: bool = False) -> DataFrame:
     """Eligible transactions with normalised amount, channel id and risk score
-    (C3, C4, C5, B19-B23)."""
+    (C3, C4, C5, B19-B23).
+
+    The merchant side is broadcast only when the caller has proven its size
+    (``merchants_bounded``, e.g. a row count of the stored mart); otherwise the
+    join is planned as a shuffle and AQE converts it to a broadcast at run time
+    once it has measured the materialised merchant side. The channel lookup is
+    bounded by the ``valid_channel`` rule (at most three channels survive
+    validation), so it is always broadcast.
+    """
     users = (d_user.where(F.col("local_currency").isNotNull())
              .select("user_id", "user_risk_level"))
     merchants = (d_merchant.where(F.col("local_currency").isNotNull())
@@ -188,14 +197,14 @@ def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant:
     t = gold_tx.where(F.col("status").isin(*FACT_STATUSES)).select(
         "PK_Tiempo", "transaction_id", "user_id", "merchant_id", "channel", "transaction_type",
         "currency", "amount")
-    t = t.join(broadcast_if_bounded(merchants), "merchant_id", "inner")
-    kw = {} if hot_key_rows is None else {"hot_key_rows": hot_key_rows}
+    t = t.join(F.broadcast(merchants) if merchants_bounded else merchants, "merchant_id", "inner")
+    kw = {} if hot_fraction is None else {"hot_fraction": hot_fraction}
     t = salted_join(t, users, ["user_id"], "inner",
                     salt_by=["transaction_id", "merchant_id", "PK_Tiempo"], **kw)
     if channel_ids is None:
         channel_id = static_channel_id("channel")
     else:
-        t = t.join(broadcast_if_bounded(channel_ids, 10_000), "channel", "left")
+        t = t.join(F.broadcast(channel_ids), "channel", "left")
         channel_id = F.col("channel_id")
     return t.select(
         "PK_Tiempo", "transaction_id", "user_id", "merchant_id",
@@ -216,11 +225,13 @@ def fact_from_scored(scored: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("transaction_count")))
 
 
-def fact_transactions(gold_tx, d_user, d_merchant, hot_key_rows: int | None = None) -> DataFrame:
+def fact_transactions(gold_tx, d_user, d_merchant, hot_fraction: float | None = None,
+                      merchants_bounded: bool = False) -> DataFrame:
     """The fact with the reference's hard-coded channel ids."""
-    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, hot_key_rows=hot_key_rows))
+    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, hot_fraction=hot_fraction,
+                                                     merchants_bounded=merchants_bounded))
 
 
-def fact_keyed(gold_tx, d_user, d_merchant, d_channel, hot_key_rows: int | None = None) -> DataFrame:
+def fact_keyed(gold_tx, d_user, d_merchant, d_channel, hot_fraction: float | None = None) -> DataFrame:
     """The fact with channel ids looked up in ``dim_channel``."""
-    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, hot_key_rows))
+    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, hot_fraction))

@@ -11,6 +11,8 @@ All feed columns are strings, as landed from delimited files.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.sources.tables import read_table
@@ -96,23 +98,46 @@ def raw_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.sql(text, **frames)
 
 
+# (application, root, view) -> folder of the landed copy
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The derived feed as a landed bronze table: written once per session
+    into the shared work folder, then read like any Parquet table.
+
+    Feeds arrive as stored text, not as expressions over other tables; reading
+    them from storage keeps the fixture's derivation out of every silver plan
+    (Catalyst would otherwise inline it into each pushed-down rule filter).
+    """
+    from paylake.session import fresh_dir
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(root), name)
+    path = _LANDED.get(key)
+    if path is None:
+        path = fresh_dir(spark, f"landed-{name}")
+        raw_view(spark, root, name).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
 def raw_users(spark, root):
-    return raw_view(spark, root, "raw_users")
+    return landed_view(spark, root, "raw_users")
 
 
 def raw_merchants(spark, root):
-    return raw_view(spark, root, "raw_merchants")
+    return landed_view(spark, root, "raw_merchants")
 
 
 def raw_transactions(spark, root):
-    return raw_view(spark, root, "raw_transactions")
+    return landed_view(spark, root, "raw_transactions")
 
 
 def raw_run_log(spark: SparkSession, root: str) -> DataFrame:
     """Run log with ``origin`` as a struct, the shape the log queries read."""
     from pyspark.sql import functions as F
 
-    df = raw_view(spark, root, "raw_run_log")
+    df = landed_view(spark, root, "raw_run_log")
     return df.select(
         "event_id", "timestamp", "event_type",
         F.struct("pipeline_name", "flow_name").alias("origin"),
