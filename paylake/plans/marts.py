@@ -232,6 +232,8 @@ def fact_transactions(gold_tx, d_user, d_merchant, hot_fraction: float | None =
                                                      merchants_bounded=merchants_bounded))
 
 
-def fact_keyed(gold_tx, d_user, d_merchant, d_channel, hot_fraction: float | None = None) -> DataFrame:
+def fact_keyed(gold_tx, d_user, d_merchant, d_channel, hot_fraction: float | None = None,
+               merchants_bounded: bool = False) -> DataFrame:
     """The fact with channel ids looked up in ``dim_channel``."""
-    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, hot_fraction))
+    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, hot_fraction,
+                                                     merchants_bounded))

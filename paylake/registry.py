@@ -103,6 +103,7 @@ from paylake.operators.cdc import scd2  # noqa: E402
 from paylake.plans import gold as G  # noqa: E402
 from paylake.plans import marts as M  # noqa: E402
 from paylake.sources.tables import read_table  # noqa: E402
+from paylake.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded  # noqa: E402
 
 
 def _silver(spark, root):
@@ -117,11 +118,31 @@ def _gold(spark, root):
     return G.gold_transactions(s_tx), G.gold_users(s_users), G.gold_merchants(s_merchants)
 
 
+def _stored(spark, root):
+    """Stored silver and gold tables (built once per session from the feeds)."""
+    from paylake.plans.layers import layers
+
+    return layers(spark, root)
+
+
+def _stored_gold(spark, root):
+    L = _stored(spark, root)
+    return L["gold_transactions"], L["gold_users"], L["gold_merchants"]
+
+
 def _dims(spark, root):
-    g_tx, g_users, g_merchants = _gold(spark, root)
+    """Gold transactions and the two dimensions the fact joins, from stored gold."""
+    g_tx, g_users, g_merchants = _stored_gold(spark, root)
     return g_tx, M.dim_user(g_users, g_tx), M.dim_merchant(g_merchants)
 
 
+def _fact_inputs(spark, root):
+    g_tx, d_user, d_merchant = _dims(spark, root)
+    # the merchant dimension is a projection of a stored table: proving its
+    # size is a cheap bounded count, after which it may be broadcast
+    return g_tx, d_user, d_merchant, is_bounded(d_merchant, DEFAULT_BROADCAST_ROWS)
+
+
 def events_history(events):
     """SCD2 over the raw event stream: key user_id, sequence (ts, event_id),
     tracked event_type; histories cut into hourly chunks so one busy user is
@@ -167,27 +188,27 @@ def q_gold_merchants(spark, root):
 
 @register("dim_date")
 def q_dim_date(spark, root):
-    return M.dim_date(_gold(spark, root)[0])
+    return M.dim_date(_stored_gold(spark, root)[0])
 
 
 @register("dim_channel")
 def q_dim_channel(spark, root):
-    return M.dim_channel(_gold(spark, root)[0])
+    return M.dim_channel(_stored_gold(spark, root)[0])
 
 
 @register("tx_per_type")
 def q_tx_per_type(spark, root):
-    return M.tx_per_type(_gold(spark, root)[0])
+    return M.tx_per_type(_stored_gold(spark, root)[0])
 
 
 @register("tx_per_user")
 def q_tx_per_user(spark, root):
-    return M.tx_per_user(_gold(spark, root)[0])
+    return M.tx_per_user(_stored_gold(spark, root)[0])
 
 
 @register("reversal_rate")
 def q_reversal_rate(spark, root):
-    return M.reversal_rate(_gold(spark, root)[0])
+    return M.reversal_rate(_stored_gold(spark, root)[0])
 
 
 @register("dim_user")
@@ -202,23 +223,25 @@ def q_dim_merchant(spark, root):
 
 @register("fx_amounts")
 def q_fx_amounts(spark, root):
-    return M.fx_amounts(_gold(spark, root)[0])
+    return M.fx_amounts(_stored_gold(spark, root)[0])
 
 
 @register("risk_scored_transactions")
 def q_risk_scored_transactions(spark, root):
-    return M.risk_scored_transactions(*_dims(spark, root))
+    g_tx, d_user, d_merchant, bounded = _fact_inputs(spark, root)
+    return M.risk_scored_transactions(g_tx, d_user, d_merchant, merchants_bounded=bounded)
 
 
 @register("fact_transactions")
 def q_fact_transactions(spark, root):
-    return M.fact_transactions(*_dims(spark, root))
+    g_tx, d_user, d_merchant, bounded = _fact_inputs(spark, root)
+    return M.fact_transactions(g_tx, d_user, d_merchant, merchants_bounded=bounded)
 
 
 @register("fact_keyed")
 def q_fact_keyed(spark, root):
-    g_tx, d_user, d_merchant = _dims(spark, root)
-    return M.fact_keyed(g_tx, d_user, d_merchant, M.dim_channel(g_tx))
+    g_tx, d_user, d_merchant, bounded = _fact_inputs(spark, root)
+    return M.fact_keyed(g_tx, d_user, d_merchant, M.dim_channel(g_tx), merchants_bounded=bounded)
 
 
 # --- run log and dashboard ---------------------------------------------------
@@ -307,7 +330,7 @@ ANALYST_ROLE = "analista"
 
 @register("masked_users")
 def q_masked_users(spark, root):
-    users = tag_columns(_silver(spark, root)[1], USER_COLUMN_TAGS)
+    users = tag_columns(_stored(spark, root)["silver_users"], USER_COLUMN_TAGS)
     return apply_masks(users, ANALYST_ROLE)
 
 
@@ -389,6 +412,6 @@ from paylake.plans.refresh import refresh  # noqa: E402
 def q_refresh_marts(spark, root):
     """Refresh all marts in dependency order into a fresh folder (A11, A12);
     one row per committed mart with its row count."""
-    g_tx, g_users, g_merchants = _gold(spark, root)
+    g_tx, g_users, g_merchants = _stored_gold(spark, root)
     gold = {"gold_transactions": g_tx, "gold_users": g_users, "gold_merchants": g_merchants}
     return refresh(spark, gold, fresh_dir(spark, "marts")).select("mart", "row_count")

@@ -116,7 +116,9 @@ def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = _LANDED.get(key)
     if path is None:
         path = fresh_dir(spark, f"landed-{name}")
-        raw_view(spark, root, name).write.parquet(path)
+        # enough files that every core gets a share of each scan
+        files = max(2 * spark.sparkContext.defaultParallelism, 8)
+        raw_view(spark, root, name).repartition(files).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(path)
 
