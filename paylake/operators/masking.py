@@ -48,3 +48,26 @@ def apply_masks(df: DataFrame, role: str | None, policy: dict | None = None) ->
         fn = policy.get(md.get(KIND_TAG)) if md.get(PII_TAG) == "true" else None
         cols.append(fn(F.col(f.name), role).alias(f.name, metadata=md) if fn else F.col(f.name))
     return df.select(*cols)
+
+
+def register_mask_functions(spark, role: str | None) -> None:
+    """SQL temporary functions ``mask_name``, ``mask_doc_id``, ``mask_email``,
+    ``mask_phone`` for SQL users (H2-H5), bound to the caller's ``role``.
+
+    The SQL bodies use the same fixed mask values as the Column masks of
+    :mod:`paylake.functions.masks`; a test checks both paths agree.
+    """
+    from paylake.functions.masks import (DOC_ID_MASK, EMAIL_CLEAR_PREFIX, EMAIL_MASK, PHONE_MASK,
+                                         PRIVILEGED_ROLE)
+
+    clear = "true" if role == PRIVILEGED_ROLE else "false"
+    bodies = {
+        "mask_name": "md5(v)",
+        "mask_doc_id": f"'{DOC_ID_MASK}'",
+        "mask_email": (f"concat(left(v, {EMAIL_CLEAR_PREFIX}), '{EMAIL_MASK}', "
+                       "CASE WHEN contains(v, '@') THEN substring_index(v, '@', -1) ELSE '' END)"),
+        "mask_phone": f"'{PHONE_MASK}'",
+    }
+    for name, masked in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(v STRING) RETURNS STRING "
+                  f"RETURN CASE WHEN {clear} THEN v ELSE {masked} END")

@@ -52,3 +52,9 @@ def layers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         paths = build_layers(spark, root)
         _BUILT[key] = paths
     return {n: spark.read.parquet(p) for n, p in paths.items()}
+
+
+def register_temp_views(frames: dict[str, DataFrame]) -> None:
+    """Expose tables to SQL users under their names."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)

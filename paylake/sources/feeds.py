@@ -117,3 +117,30 @@ def land_files(df: DataFrame, path: str, split_by, files: int, delimiter: str =
      .option("sep", delimiter).option("header", "true")
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
+
+
+def remembered_schema(spark: SparkSession, cfg: FeedConfig) -> T.StructType:
+    """Feed schema kept at ``cfg.schema_location`` (A3).
+
+    The first run takes the column names from the landed files' header (every
+    column as text, no type inference) and stores the schema as JSON; later
+    runs, streaming ones included, reuse the stored schema so a new file
+    cannot silently change it.
+    """
+    import json
+
+    if cfg.schema_location:
+        try:
+            text = spark.read.text(cfg.schema_location).first()
+            if text is not None:
+                return T.StructType.fromJson(json.loads(text[0]))
+        except Exception:  # noqa: BLE001 - nothing stored yet
+            pass
+    header = (spark.read.option("sep", cfg.delimiter).option("header", "true")
+              .option("multiLine", str(bool(cfg.multiline)).lower()).csv(cfg.source_path).schema)
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in header]
+                          + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    if cfg.schema_location:
+        (spark.createDataFrame([(schema.json(),)], "s string").coalesce(1)
+         .write.mode("overwrite").text(cfg.schema_location))
+    return schema

@@ -75,3 +75,33 @@ def test_feed_config_lookup(spark, tmp_path_factory):
     assert load_feed_config(spark, str(d / "feeds.json"), "merchants") is None
     with pytest.raises(KeyError):
         load_feed_config(spark, str(d / "feeds.json"), "transactions")
+
+
+def test_schema_is_remembered(spark):
+    from paylake.plans.streams import feed_config, land
+
+    work = fresh_dir(spark, "t-schema")
+    landing = f"{work}/landing"
+    land(_raws(spark, SF_SMALL)["merchants"], "merchants", landing, F.lit(0), 1)
+    cfg = feed_config("merchants", landing, f"{work}/bronze")
+    from dataclasses import replace
+
+    from paylake.sources.feeds import remembered_schema
+
+    cfg = replace(cfg, schema_location=f"{work}/schema")
+    first = remembered_schema(spark, cfg)
+    assert [f.name for f in first.fields][:2] == ["merchant_id", "merchant_name"]
+    assert spark.read.text(cfg.schema_location).count() == 1
+    assert remembered_schema(spark, cfg) == first
+
+
+def test_sql_mask_functions_match_column_masks(spark):
+    from paylake.operators.masking import register_mask_functions
+
+    register_mask_functions(spark, "analista")
+    r = spark.sql("SELECT mask_email('ana@x.com'), mask_doc_id('123'), mask_phone('9'), "
+                  "mask_name('Ana'), mask_email('bad.mail')").first()
+    assert tuple(r) == ("an*****x.com", "#########", "$$$$$$$$$",
+                        __import__("hashlib").md5(b"Ana").hexdigest(), "ba*****")
+    register_mask_functions(spark, "ingenieria")
+    assert spark.sql("SELECT mask_email('ana@x.com')").first()[0] == "ana@x.com"
