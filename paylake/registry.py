@@ -415,3 +415,11 @@ def q_refresh_marts(spark, root):
     g_tx, g_users, g_merchants = _stored_gold(spark, root)
     gold = {"gold_transactions": g_tx, "gold_users": g_users, "gold_merchants": g_merchants}
     return refresh(spark, gold, fresh_dir(spark, "marts")).select("mart", "row_count")
+
+
+@register("gold_stream")
+def q_gold_stream(spark, root):
+    """Gold transactions rebuilt from the streaming SCD1 snapshot."""
+    work = fresh_dir(spark, "gold-stream")
+    target = ST.run_feed(spark, fx.raw_transactions(spark, root), "transactions", work)
+    return G.gold_transactions(read_current(spark, target))
