@@ -149,8 +149,9 @@ def quarantine_records(validated: DataFrame, payload_columns) -> DataFrame:
     are skipped, as ``concat_ws`` does (S19).
     """
     cols = validated.columns
-    processing_at = (F.col("ingestion_at").cast("timestamp") if "ingestion_at" in cols
-                     else F.lit(None).cast("timestamp"))
+    # keep the feed's own timestamp type: a cast between zoned and zone-less
+    # timestamps would make the result depend on the session time zone
+    processing_at = F.col("ingestion_at") if "ingestion_at" in cols else F.lit(None).cast("timestamp_ntz")
     source_file = F.col("source_file") if "source_file" in cols else F.lit(None).cast("string")
     return quarantined_rows(validated).select(
         F.concat_ws(PAYLOAD_SEPARATOR, *[F.col(c).cast("string") for c in payload_columns]).alias("payload"),

@@ -21,6 +21,19 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, executor_cores: int, partition_mb: int = 128) -> dict:
+    """Sizing for a cluster run: shuffle partitions from the input size so
+    each post-shuffle task handles about ``partition_mb`` (AQE then coalesces
+    small ones and splits skewed ones), and file splits of the same size."""
+    parts = max(executor_cores * 2, input_bytes // (partition_mb << 20))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "paylake", extra: dict | None = None) -> SparkSession:
     """Create (or fetch) a session with paylake's defaults.
