@@ -58,3 +58,16 @@ def register_temp_views(frames: dict[str, DataFrame]) -> None:
     """Expose tables to SQL users under their names."""
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
+
+
+def publish_silver(spark: SparkSession, root: str, target: str) -> dict[str, str]:
+    """Write the silver tables with the reference's partition layouts."""
+    from paylake.sources.sinks import SILVER_LAYOUT, publish_partitioned
+
+    tables = layers(spark, root)
+    out = {}
+    for feed, column in SILVER_LAYOUT.items():
+        path = f"{target}/silver_{feed}"
+        publish_partitioned(tables[f"silver_{feed}"], path, column)
+        out[feed] = path
+    return out

@@ -85,3 +85,26 @@ def read_current(spark: SparkSession, root: str, mart: str) -> DataFrame:
     if row is None:
         raise KeyError(f"mart {mart!r} has not been refreshed")
     return spark.read.parquet(row["path"])
+
+
+# Published silver layouts (A7, A8): the SCD1 table by transaction date, the
+# SCD2 tables by country, so readers that filter on them prune partitions.
+SILVER_LAYOUT = {
+    "transactions": "transaction_date",
+    "users": "country",
+    "merchants": "country",
+}
+
+
+def publish_partitioned(df: DataFrame, path: str, column: str) -> None:
+    """Overwrite ``path`` partitioned by ``column``.
+
+    The ``rebalance`` hint shuffles rows by the partition value so a folder
+    gets a few large files instead of one per input task, and lets AQE split a
+    hot value (one country holding most users) over several writer tasks
+    instead of one.
+    """
+    (df.hint("rebalance", column)
+     .write.mode("overwrite")
+     .partitionBy(column)
+     .parquet(path))

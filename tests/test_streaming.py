@@ -105,3 +105,36 @@ def test_sql_mask_functions_match_column_masks(spark):
                         __import__("hashlib").md5(b"Ana").hexdigest(), "ba*****")
     register_mask_functions(spark, "ingenieria")
     assert spark.sql("SELECT mask_email('ana@x.com')").first()[0] == "ana@x.com"
+
+
+def test_published_silver_layout_prunes(spark):
+    from paylake.plans.layers import layers, publish_silver
+
+    paths = publish_silver(spark, SF_SMALL, fresh_dir(spark, "t-publish"))
+    users = spark.read.parquet(paths["users"])
+    stored = layers(spark, SF_SMALL)["silver_users"]
+    assert users.count() == stored.count()
+    pe = users.where(F.col("country") == "PE")
+    plan = pe._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(country" in plan and "(country" in plan
+    assert pe.count() == stored.where(F.col("country") == "PE").count()
+    tx = spark.read.parquet(paths["transactions"])
+    assert tx.count() == layers(spark, SF_SMALL)["silver_transactions"].count()
+
+
+def test_bronze_partitioned_by_config_column(spark):
+    from dataclasses import replace
+
+    from paylake.plans.streams import feed_config, land
+    from paylake.streaming.ingest import start_bronze
+
+    work = fresh_dir(spark, "t-bronze-part")
+    landing = f"{work}/landing"
+    raw = _raws(spark, SF_SMALL)["users"]
+    land(raw, "users", landing, F.pmod(F.crc32("user_id"), F.lit(2)), 2)
+    cfg = replace(feed_config("users", landing, f"{work}/bronze"), partition_by="country")
+    start_bronze(spark, cfg, f"{work}/_chk", extra_columns=("seq",)).awaitTermination()
+    bronze = spark.read.parquet(cfg.target_table)
+    assert bronze.count() == raw.count()
+    assert {r[0] for r in bronze.select("country").distinct().collect()} == \
+        {r[0] for r in raw.select("country").distinct().collect()}
