@@ -423,3 +423,13 @@ def q_gold_stream(spark, root):
     work = fresh_dir(spark, "gold-stream")
     target = ST.run_feed(spark, fx.raw_transactions(spark, root), "transactions", work)
     return G.gold_transactions(read_current(spark, target))
+
+
+@register("run_log_by_table_users")
+def q_run_log_by_table_users(spark, root):
+    return RL.run_log_by_table(_log(spark, root), _PIPE, _CAT, "users")
+
+
+@register("run_log_by_table_merchants")
+def q_run_log_by_table_merchants(spark, root):
+    return RL.run_log_by_table(_log(spark, root), _PIPE, _CAT, "merchants")
