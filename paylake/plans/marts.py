@@ -10,9 +10,9 @@ Plan choices
   reversals) instead of joining two aggregates of the same table (C1): one
   shuffle, map-side combined.
 * The fact filters and prunes the dimensions before joining (the reference's
-  LEFT JOIN + ``IS NOT NULL`` filter is an inner join, C5); the merchant
-  dimension is broadcast only after its row count is proven small; the user
-  dimension goes through a salted join so one hot user cannot pin a task.
+  LEFT JOIN + ``IS NOT NULL`` filter is an inner join, C5); a dimension is
+  broadcast only after its row count is proven small, otherwise it goes
+  through a salted join so one hot user or merchant cannot pin a task.
 """
 
 from __future__ import annotations
@@ -178,16 +178,17 @@ def risk_score(currency, merchant_currency, tx_type, m_risk, u_risk) -> F.Column
 
 def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant: DataFrame,
                              channel_ids: DataFrame | None = None, hot_fraction: float | None = None,
-                             merchants_bounded: bool = False) -> DataFrame:
+                             merchants_bounded: bool = False, users_bounded: bool = False) -> DataFrame:
     """Eligible transactions with normalised amount, channel id and risk score
     (C3, C4, C5, B19-B23).
 
-    The merchant side is broadcast only when the caller has proven its size
-    (``merchants_bounded``, e.g. a row count of the stored mart); otherwise the
-    join is planned as a shuffle and AQE converts it to a broadcast at run time
-    once it has measured the materialised merchant side. The channel lookup is
-    bounded by the ``valid_channel`` rule (at most three channels survive
-    validation), so it is always broadcast.
+    A dimension is broadcast only when the caller has proven its size
+    (``*_bounded``, e.g. a bounded row count of the stored table it projects);
+    a broadcast join is immune to hot keys. Otherwise the join is a salted
+    shuffle join, so one merchant or user holding a large share of the
+    transactions is spread over several tasks. The channel lookup is bounded
+    by the ``valid_channel`` rule (at most three channels survive validation),
+    so it is always broadcast.
     """
     users = (d_user.where(F.col("local_currency").isNotNull())
              .select("user_id", "user_risk_level"))
@@ -197,10 +198,16 @@ def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant:
     t = gold_tx.where(F.col("status").isin(*FACT_STATUSES)).select(
         "PK_Tiempo", "transaction_id", "user_id", "merchant_id", "channel", "transaction_type",
         "currency", "amount")
-    t = t.join(F.broadcast(merchants) if merchants_bounded else merchants, "merchant_id", "inner")
     kw = {} if hot_fraction is None else {"hot_fraction": hot_fraction}
-    t = salted_join(t, users, ["user_id"], "inner",
-                    salt_by=["transaction_id", "merchant_id", "PK_Tiempo"], **kw)
+    salt_by = ["transaction_id", "PK_Tiempo"]
+    if merchants_bounded:
+        t = t.join(F.broadcast(merchants), "merchant_id", "inner")
+    else:
+        t = salted_join(t, merchants, ["merchant_id"], "inner", salt_by=salt_by, **kw)
+    if users_bounded:
+        t = t.join(F.broadcast(users), "user_id", "inner")
+    else:
+        t = salted_join(t, users, ["user_id"], "inner", salt_by=salt_by, **kw)
     if channel_ids is None:
         channel_id = static_channel_id("channel")
     else:
@@ -226,14 +233,15 @@ def fact_from_scored(scored: DataFrame) -> DataFrame:
 
 
 def fact_transactions(gold_tx, d_user, d_merchant, hot_fraction: float | None = None,
-                      merchants_bounded: bool = False) -> DataFrame:
+                      merchants_bounded: bool = False, users_bounded: bool = False) -> DataFrame:
     """The fact with the reference's hard-coded channel ids."""
     return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, hot_fraction=hot_fraction,
-                                                     merchants_bounded=merchants_bounded))
+                                                     merchants_bounded=merchants_bounded,
+                                                     users_bounded=users_bounded))
 
 
 def fact_keyed(gold_tx, d_user, d_merchant, d_channel, hot_fraction: float | None = None,
-               merchants_bounded: bool = False) -> DataFrame:
+               merchants_bounded: bool = False, users_bounded: bool = False) -> DataFrame:
     """The fact with channel ids looked up in ``dim_channel``."""
     return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, hot_fraction,
-                                                     merchants_bounded))
+                                                     merchants_bounded, users_bounded))

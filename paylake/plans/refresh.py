@@ -28,9 +28,10 @@ MARTS: dict[str, tuple[tuple[str, ...], MartBuilder]] = {
     "dim_merchant": ((), lambda i: M.dim_merchant(i["gold_merchants"])),
     "dim_channel": ((), lambda i: M.dim_channel(i["gold_transactions"])),
     "fact_transactions": (("dim_user", "dim_merchant"),
-                          lambda i: M.fact_transactions(i["gold_transactions"], i["dim_user"], i["dim_merchant"],
-                                                        merchants_bounded=is_bounded(i["dim_merchant"],
-                                                                                     DEFAULT_BROADCAST_ROWS))),
+                          lambda i: M.fact_transactions(
+                              i["gold_transactions"], i["dim_user"], i["dim_merchant"],
+                              merchants_bounded=is_bounded(i["dim_merchant"], DEFAULT_BROADCAST_ROWS),
+                              users_bounded=is_bounded(i["dim_user"], DEFAULT_BROADCAST_ROWS))),
 }
 # The reference's refresh order.
 REFRESH_ORDER = ("dim_date", "dim_user", "dim_merchant", "dim_channel", "fact_transactions")

@@ -137,10 +137,16 @@ def _dims(spark, root):
 
 
 def _fact_inputs(spark, root):
-    g_tx, d_user, d_merchant = _dims(spark, root)
-    # the merchant dimension is a projection of a stored table: proving its
-    # size is a cheap bounded count, after which it may be broadcast
-    return g_tx, d_user, d_merchant, is_bounded(d_merchant, DEFAULT_BROADCAST_ROWS)
+    """Fact inputs plus proven size bounds of the two dimensions.
+
+    Each dimension has exactly one row per stored gold user / merchant, so a
+    bounded count of the stored table (cheap: a scan stopped after n+1 rows)
+    proves the dimension's size before it may be broadcast.
+    """
+    g_tx, g_users, g_merchants = _stored_gold(spark, root)
+    bounds = {"merchants_bounded": is_bounded(g_merchants, DEFAULT_BROADCAST_ROWS),
+              "users_bounded": is_bounded(g_users, DEFAULT_BROADCAST_ROWS)}
+    return g_tx, M.dim_user(g_users, g_tx), M.dim_merchant(g_merchants), bounds
 
 
 def events_history(events):
@@ -228,20 +234,20 @@ def q_fx_amounts(spark, root):
 
 @register("risk_scored_transactions")
 def q_risk_scored_transactions(spark, root):
-    g_tx, d_user, d_merchant, bounded = _fact_inputs(spark, root)
-    return M.risk_scored_transactions(g_tx, d_user, d_merchant, merchants_bounded=bounded)
+    g_tx, d_user, d_merchant, bounds = _fact_inputs(spark, root)
+    return M.risk_scored_transactions(g_tx, d_user, d_merchant, **bounds)
 
 
 @register("fact_transactions")
 def q_fact_transactions(spark, root):
-    g_tx, d_user, d_merchant, bounded = _fact_inputs(spark, root)
-    return M.fact_transactions(g_tx, d_user, d_merchant, merchants_bounded=bounded)
+    g_tx, d_user, d_merchant, bounds = _fact_inputs(spark, root)
+    return M.fact_transactions(g_tx, d_user, d_merchant, **bounds)
 
 
 @register("fact_keyed")
 def q_fact_keyed(spark, root):
-    g_tx, d_user, d_merchant, bounded = _fact_inputs(spark, root)
-    return M.fact_keyed(g_tx, d_user, d_merchant, M.dim_channel(g_tx), merchants_bounded=bounded)
+    g_tx, d_user, d_merchant, bounds = _fact_inputs(spark, root)
+    return M.fact_keyed(g_tx, d_user, d_merchant, M.dim_channel(g_tx), **bounds)
 
 
 # --- run log and dashboard ---------------------------------------------------

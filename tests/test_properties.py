@@ -85,3 +85,12 @@ def test_gold_has_one_row_per_key(spark):
     assert users.count() == users.select("user_id").distinct().count()
     tx = G.silver_transactions(raws["transactions"])
     assert tx.count() == tx.select("transaction_id", "user_id", "merchant_id").distinct().count()
+
+
+def test_fact_same_with_broadcast_or_salted_dimensions(spark):
+    g_tx, d_user, d_merchant = _dims(spark, SF_SMALL)
+    broadcast = M.fact_transactions(g_tx, d_user, d_merchant, merchants_bounded=True, users_bounded=True)
+    # at sf0.001 nearly every key holds >= 1/1000 of the rows, so both joins salt
+    salted = M.fact_transactions(g_tx, d_user, d_merchant)
+    assert broadcast.count() == salted.count()
+    assert broadcast.exceptAll(salted.select(*broadcast.columns)).count() == 0
