@@ -31,16 +31,22 @@ def _value_columns(df: DataFrame, keys, order, except_cols) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
-def scd1(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=()) -> DataFrame:
+def scd1(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=(),
+         keep_sequence: bool = False) -> DataFrame:
     """Current state per key: the newest change wins (G1).
 
     Ties on ``sequence_by`` are broken by ``tiebreak`` columns and then by the
-    row's own values, so the result is deterministic (S6).
+    row's own values, so the result is deterministic (S6). With
+    ``keep_sequence`` the winning row keeps its sequence column, so the result
+    can itself be merged with later changes: ``scd1(state ∪ new)`` equals
+    ``scd1(all changes)`` (newest-wins is associative).
     """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
     values = _value_columns(changes, keys, order_cols, except_cols)
     carried = [c for c in tiebreak if c not in except_cols]
+    if keep_sequence:
+        carried = [sequence_by, *carried]
     payload = F.struct(*[F.col(c) for c in values + carried])
     ordering = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in values])
     return (changes.groupBy(*keys)
