@@ -10,10 +10,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from paylake.operators.cdc import scd2
 from paylake.operators.clean import clean_merchants, clean_transactions, clean_users
+from paylake.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded
+from paylake.operators.masking import USER_COLUMN_TAGS, apply_masks, tag_columns
+from paylake.plans import gold as G
+from paylake.plans import marts as M
+from paylake.plans import runlog as RL
 from paylake.plans import silver
+from paylake.plans import streams as ST
+from paylake.plans.layers import layers
+from paylake.plans.refresh import refresh
+from paylake.plans.scalars import scalar_functions
+from paylake.session import fresh_dir
 from paylake.sources import fixtures as fx
+from paylake.sources.tables import read_table
+from paylake.streaming.silver import read_current
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -97,14 +111,6 @@ def q_expectation_counts(spark, root):
 
 # --- CDC, gold, marts ------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from paylake.operators.cdc import scd2  # noqa: E402
-from paylake.plans import gold as G  # noqa: E402
-from paylake.plans import marts as M  # noqa: E402
-from paylake.sources.tables import read_table  # noqa: E402
-from paylake.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded  # noqa: E402
-
 
 def _silver(spark, root):
     raws = _raws(spark, root)
@@ -120,8 +126,6 @@ def _gold(spark, root):
 
 def _stored(spark, root):
     """Stored silver and gold tables (built once per session from the feeds)."""
-    from paylake.plans.layers import layers
-
     return layers(spark, root)
 
 
@@ -252,7 +256,6 @@ def q_fact_keyed(spark, root):
 
 # --- run log and dashboard ---------------------------------------------------
 
-from paylake.plans import runlog as RL  # noqa: E402
 
 _PIPE, _CAT = fx.RUN_LOG_PIPELINE, fx.RUN_LOG_CATALOG
 
@@ -328,8 +331,6 @@ def q_dash_filter_values(spark, root):
 
 # --- masking and scalar functions -----------------------------------------
 
-from paylake.operators.masking import USER_COLUMN_TAGS, apply_masks, tag_columns  # noqa: E402
-from paylake.plans.scalars import scalar_functions  # noqa: E402
 
 ANALYST_ROLE = "analista"
 
@@ -347,10 +348,6 @@ def q_scalar_functions(spark, root):
 
 # --- streaming (result equals the batch oracle) ------------------------------
 
-from paylake.plans import streams as ST  # noqa: E402
-from paylake.session import fresh_dir  # noqa: E402
-from paylake.streaming.silver import read_current  # noqa: E402
-
 
 @register("ingest_stream")
 def q_ingest_stream(spark, root):
@@ -411,8 +408,6 @@ def q_run_log_stream_totals(spark, root):
 
 # --- materialised marts ------------------------------------------------------
 
-from paylake.plans.refresh import refresh  # noqa: E402
-
 
 @register("refresh_marts")
 def q_refresh_marts(spark, root):
