@@ -142,19 +142,26 @@ def limbo_rows(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("is_quarantined").isNull())
 
 
-def quarantine_records(validated: DataFrame, payload_columns) -> DataFrame:
+def quarantine_records(validated: DataFrame, payload_columns, payload_format: str = "pipe") -> DataFrame:
     """Quarantined rows as ``payload, processing_at, source_file, rejected_by``.
 
-    ``payload`` is the ``|``-joined text of the cleaned columns; NULL columns
-    are skipped, as ``concat_ws`` does (S19).
+    ``payload`` is the ``|``-joined text of the cleaned columns, where NULL
+    columns are skipped as ``concat_ws`` does, so positions can shift (S19).
+    ``payload_format="json"`` keeps every column by name instead.
     """
     cols = validated.columns
     # keep the feed's own timestamp type: a cast between zoned and zone-less
     # timestamps would make the result depend on the session time zone
     processing_at = F.col("ingestion_at") if "ingestion_at" in cols else F.lit(None).cast("timestamp_ntz")
     source_file = F.col("source_file") if "source_file" in cols else F.lit(None).cast("string")
+    if payload_format == "pipe":
+        payload = F.concat_ws(PAYLOAD_SEPARATOR, *[F.col(c).cast("string") for c in payload_columns])
+    elif payload_format == "json":
+        payload = F.to_json(F.struct(*payload_columns), {"ignoreNullFields": "false"})
+    else:
+        raise ValueError(f"unknown payload_format {payload_format!r}")
     return quarantined_rows(validated).select(
-        F.concat_ws(PAYLOAD_SEPARATOR, *[F.col(c).cast("string") for c in payload_columns]).alias("payload"),
+        payload.alias("payload"),
         processing_at.alias("processing_at"),
         source_file.alias("source_file"),
         F.col("rejected_by"),

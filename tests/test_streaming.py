@@ -145,3 +145,25 @@ def test_bronze_partitioned_by_config_column(spark):
     assert bronze.count() == raw.count()
     assert {r[0] for r in bronze.select("country").distinct().collect()} == \
         {r[0] for r in raw.select("country").distinct().collect()}
+
+
+def test_late_change_revives_dropped_noop(spark):
+    """Changes A@10, A@20, A@30 give one version; a late B@15 must split it into
+    A@10, B@15, A@20 - the no-op change at 20 becomes a version again (G3)."""
+    work = fresh_dir(spark, "t-late")
+    target = SilverTarget(feed="users", root=f"{work}/silver", quarantine_path=f"{work}/q",
+                          sequence_by="seq", sequence_type="int")
+    writer = SilverBatchWriter(target)
+    cols = "user_id string, full_name string, document_id string, email string, phone string, country string, " \
+           "segment string, registration_date string, seq string, ingestion_at timestamp, source_file string"
+
+    def batch(rows):
+        return spark.createDataFrame(
+            [("U1", "Ana", "12345678", "a@bb.cc", "+51", "pe", seg, "2020-01-01", str(seq), None, "f") for seg, seq in rows],
+            cols)
+
+    writer(batch([("nuevo", 10), ("nuevo", 20), ("nuevo", 30)]), 0)
+    assert read_current(spark, target).count() == 1
+    writer(batch([("premium", 15)]), 1)
+    got = sorted((r["segment"], r["__START_AT"], r["__END_AT"]) for r in read_current(spark, target).collect())
+    assert got == [("nuevo", 10, 15), ("nuevo", 20, None), ("premium", 15, 20)]

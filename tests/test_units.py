@@ -99,3 +99,16 @@ def test_week_label(spark):
 def test_fx(spark, amount, ccy, expected):
     df = spark.createDataFrame([(amount, ccy)], "a decimal(10,2), c string")
     assert df.select(normalized_amount("a", "c")).first()[0] == expected
+
+
+def test_quarantine_payload_formats(spark):
+    import json
+
+    from paylake.operators.rules import quarantine_records
+
+    df = spark.createDataFrame([("T1", None, "x", True, "r1")],
+                               "a string, b string, c string, is_quarantined boolean, rejected_by string")
+    pipe = quarantine_records(df, ["a", "b", "c"]).first()["payload"]
+    js = quarantine_records(df, ["a", "b", "c"], payload_format="json").first()["payload"]
+    assert pipe == "T1|x"  # the NULL column leaves no slot
+    assert json.loads(js) == {"a": "T1", "b": None, "c": "x"}
