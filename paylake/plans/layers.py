@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paylake.plans import gold as G
 from paylake.session import fresh_dir
 from paylake.sources import fixtures as fx
+from paylake.sources.sinks import write_concurrently
 
 SILVER = ("silver_transactions", "silver_users", "silver_merchants")
 GOLD = ("gold_transactions", "gold_users", "gold_merchants")
@@ -34,13 +35,19 @@ def build_layers(spark: SparkSession, root: str, work: str | None = None) -> dic
     """Write silver (SCD1 / SCD2) and gold tables from the landed feeds."""
     work = work or fresh_dir(spark, "medallion")
     paths = {n: f"{work}/{n}" for n in (*SILVER, *GOLD)}
-    G.silver_transactions(fx.raw_transactions(spark, root)).write.parquet(paths["silver_transactions"])
-    G.silver_history(fx.raw_users(spark, root), "users").write.parquet(paths["silver_users"])
-    G.silver_history(fx.raw_merchants(spark, root), "merchants").write.parquet(paths["silver_merchants"])
+    write_concurrently({
+        "silver_transactions": (G.silver_transactions(fx.raw_transactions(spark, root)),
+                                paths["silver_transactions"]),
+        "silver_users": (G.silver_history(fx.raw_users(spark, root), "users"), paths["silver_users"]),
+        "silver_merchants": (G.silver_history(fx.raw_merchants(spark, root), "merchants"),
+                             paths["silver_merchants"]),
+    })
     read = spark.read.parquet
-    G.gold_transactions(read(paths["silver_transactions"])).write.parquet(paths["gold_transactions"])
-    G.gold_users(read(paths["silver_users"])).write.parquet(paths["gold_users"])
-    G.gold_merchants(read(paths["silver_merchants"])).write.parquet(paths["gold_merchants"])
+    write_concurrently({
+        "gold_transactions": (G.gold_transactions(read(paths["silver_transactions"])), paths["gold_transactions"]),
+        "gold_users": (G.gold_users(read(paths["silver_users"])), paths["gold_users"]),
+        "gold_merchants": (G.gold_merchants(read(paths["silver_merchants"])), paths["gold_merchants"]),
+    })
     return paths
 
 

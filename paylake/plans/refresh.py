@@ -39,34 +39,54 @@ REFRESH_ORDER = ("dim_date", "dim_user", "dim_merchant", "dim_channel", "fact_tr
 
 def refresh_order(names=None) -> list[str]:
     """Requested marts plus what they read, dependencies first."""
+    return [n for level in refresh_levels(names) for n in level]
+
+
+def refresh_levels(names=None) -> list[list[str]]:
+    """Marts grouped by dependency depth: every mart's inputs sit in an
+    earlier level; within a level the reference's order is kept."""
     wanted = list(names or REFRESH_ORDER)
-    out: list[str] = []
+    depth: dict[str, int] = {}
 
     def visit(n, path=()):
-        if n in out:
-            return
         if n in path:
             raise ValueError(f"cycle through {n}")
-        for d in MARTS[n][0]:
-            visit(d, (*path, n))
-        out.append(n)
+        if n not in depth:
+            depth[n] = 1 + max((visit(d, (*path, n)) for d in MARTS[n][0]), default=-1)
+        return depth[n]
 
-    for n in sorted(wanted, key=lambda x: REFRESH_ORDER.index(x) if x in REFRESH_ORDER else len(REFRESH_ORDER)):
+    for n in wanted:
         visit(n)
-    return out
+    rank = {n: i for i, n in enumerate(REFRESH_ORDER)}
+    levels = [sorted((n for n, d in depth.items() if d == k), key=lambda n: rank.get(n, len(rank)))
+              for k in range(max(depth.values()) + 1)]
+    return levels
 
 
 def refresh(spark: SparkSession, gold: dict[str, DataFrame], root: str, names=None) -> DataFrame:
-    """Rebuild marts in order; returns the committed ``mart, version, row_count``."""
+    """Rebuild marts level by level; returns the committed ``mart, version, row_count``.
+
+    Marts of one level are independent, so their new versions are written as
+    concurrent jobs, then committed together in one manifest append. The next
+    level reads the committed versions back from storage.
+    """
     inputs = dict(gold)
-    done = []
-    for name in refresh_order(names):
-        deps, build = MARTS[name]
-        for d in deps:
-            inputs[d] = sinks.read_current(spark, root, d)
-        sinks.write_version(spark, build(inputs), root, name)
-        inputs[name] = sinks.read_current(spark, root, name)
-        done.append(name)
+    done: list[str] = []
+    for level in refresh_levels(names):
+        jobs, written = {}, {}
+        for name in level:
+            deps, build = MARTS[name]
+            for d in deps:
+                inputs[d] = sinks.read_current(spark, root, d)
+            version = sinks.next_version(spark, root, name)
+            path = sinks.version_path(root, name, version)
+            jobs[name] = (build(inputs), path)
+            written[name] = (version, path)
+        sinks.write_concurrently(jobs)
+        sinks.commit_versions(spark, root, written)
+        for name in level:
+            inputs[name] = sinks.read_current(spark, root, name)
+        done.extend(level)
     return (sinks.current_versions(spark, root)
             .where(F.col("mart").isin(done))
             .select("mart", "version", "row_count"))

@@ -64,6 +64,19 @@ def next_version(spark: SparkSession, root: str, mart: str) -> int:
     return 0 if row[0] is None else row[0] + 1
 
 
+def version_path(root: str, mart: str, version: int) -> str:
+    return f"{root}/{mart}/v{version:06d}"
+
+
+def commit_versions(spark: SparkSession, root: str, written: dict[str, tuple[int, str]]) -> None:
+    """Commit already written versions ``{mart: (version, path)}`` with one
+    manifest append (a single job, so no two commits race on the folder)."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(mart, version, spark.read.parquet(path).count(), path, now)  # footer metadata only
+            for mart, (version, path) in written.items()]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
+
+
 def write_version(spark: SparkSession, df: DataFrame, root: str, mart: str) -> tuple[int, str, int]:
     """Write a new version directory of ``mart``, then commit it in the manifest.
 
@@ -108,3 +121,18 @@ def publish_partitioned(df: DataFrame, path: str, column: str) -> None:
      .write.mode("overwrite")
      .partitionBy(column)
      .parquet(path))
+
+
+def write_concurrently(jobs: dict[str, tuple[DataFrame, str]]) -> None:
+    """Run independent table writes as concurrent Spark jobs.
+
+    The three feeds' tables do not depend on one another; submitting them
+    from separate driver threads lets small jobs (the SCD2 tables) use the
+    cores a large one (the SCD1 table) leaves idle between its stages.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(df.write.parquet, path) for df, path in jobs.values()]
+        for f in futures:
+            f.result()

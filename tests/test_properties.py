@@ -94,3 +94,19 @@ def test_fact_same_with_broadcast_or_salted_dimensions(spark):
     salted = M.fact_transactions(g_tx, d_user, d_merchant)
     assert broadcast.count() == salted.count()
     assert broadcast.exceptAll(salted.select(*broadcast.columns)).count() == 0
+
+
+def test_refresh_levels_and_versions(spark):
+    from paylake.plans.refresh import refresh, refresh_levels
+    from paylake.registry import _stored_gold
+    from paylake.session import fresh_dir
+
+    assert refresh_levels() == [["dim_date", "dim_user", "dim_merchant", "dim_channel"], ["fact_transactions"]]
+    assert refresh_levels(["fact_transactions"]) == [["dim_user", "dim_merchant"], ["fact_transactions"]]
+    g_tx, g_users, g_merchants = _stored_gold(spark, SF_SMALL)
+    gold = {"gold_transactions": g_tx, "gold_users": g_users, "gold_merchants": g_merchants}
+    root = fresh_dir(spark, "t-refresh")
+    first = {r["mart"]: (r["version"], r["row_count"]) for r in refresh(spark, gold, root).collect()}
+    again = {r["mart"]: (r["version"], r["row_count"]) for r in refresh(spark, gold, root, ["dim_channel"]).collect()}
+    assert all(v == 0 for v, _ in first.values()) and len(first) == 5
+    assert again == {"dim_channel": (1, first["dim_channel"][1])}
