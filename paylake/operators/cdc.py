@@ -90,30 +90,43 @@ def _scd2_single(df, keys, seq, order_cols, tracked):
 def _scd2_chunked(df, keys, seq, order_cols, tracked):
     kc = [*keys, "_chunk"]
     w_in = Window.partitionBy(*kc).orderBy(*order_cols)
-    w_chunks = Window.partitionBy(*keys).orderBy("_chunk")
     ordering = F.struct(*[F.col(c) for c in order_cols])
 
+    # Pass 1, per (key, chunk): previous change inside the chunk.
     rows = (df.withColumn("_t", _tracked_struct(tracked))
             .withColumn("_prev", F.lag("_t").over(w_in))
             .withColumn("_first_in_chunk", F.row_number().over(w_in) == 1))
-    # Last tracked value of each chunk, handed to the first row of the next chunk.
-    last = (rows.groupBy(*kc).agg(F.max_by("_t", ordering).alias("_last"))
-            .withColumn("_prev_chunk", F.lag("_last").over(w_chunks))
-            .select(*kc, "_prev_chunk"))
-    rows = rows.join(last, kc, "left")
-    prev = F.when(F.col("_first_in_chunk"), F.col("_prev_chunk")).otherwise(F.col("_prev"))
-    kept = rows.where(~prev.eqNullSafe(F.col("_t"))).select(*kc, *order_cols, *tracked)
-
-    # Next version's start: within the chunk, else the first kept start of the
-    # next chunk that kept anything.
-    kept = kept.withColumn("_next", F.lead(seq).over(w_in))
-    first = (kept.groupBy(*kc).agg(F.min_by(seq, ordering).alias("_first"))
-             .withColumn("_next_chunk", F.lead("_first").over(w_chunks))
-             .select(*kc, "_next_chunk"))
-    kept = kept.join(first, kc, "left")
+    changed_inside = ~F.col("_first_in_chunk") & ~F.col("_prev").eqNullSafe(F.col("_t"))
+
+    # Chunk summary (same partitioning, no shuffle): its first and last value,
+    # its first start, and the first change inside it (a NULL ordering is
+    # skipped by min_by).
+    summary = rows.groupBy(*kc).agg(
+        F.min_by("_t", ordering).alias("_first_t"),
+        F.max_by("_t", ordering).alias("_last_t"),
+        F.min_by(seq, ordering).alias("_first_seq"),
+        F.min_by(seq, F.when(changed_inside, ordering)).alias("_first_change"),
+    )
+    # Across the chunks of a key (one row per chunk): is the chunk's first row a
+    # change, where does the chunk's first version start, and where does the
+    # next chunk that has a version start. The last is a growing frame over the
+    # chunks in descending order, which Spark evaluates in one pass.
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    later_chunks = (Window.partitionBy(*keys).orderBy(F.col("_chunk").desc())
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    first_is_change = ~F.lag("_last_t").over(by_chunk).eqNullSafe(F.col("_first_t"))
+    summary = (summary.withColumn("_first_is_change", first_is_change)
+               .withColumn("_chunk_start", F.when(F.col("_first_is_change"), F.col("_first_seq"))
+                           .otherwise(F.col("_first_change")))
+               .withColumn("_next_chunk", F.last("_chunk_start", ignorenulls=True).over(later_chunks))
+               .select(*kc, "_first_is_change", "_next_chunk"))
+
+    # Pass 2: keep the changes, end each version at the next kept start.
+    kept = (rows.join(summary, kc, "left")
+            .where(F.when(F.col("_first_in_chunk"), F.col("_first_is_change")).otherwise(changed_inside)))
     return kept.select(*keys, *tracked,
                        F.col(seq).alias(START_AT),
-                       F.coalesce("_next", "_next_chunk").alias(END_AT))
+                       F.coalesce(F.lead(seq).over(w_in), F.col("_next_chunk")).alias(END_AT))
 
 
 def current_rows(history: DataFrame) -> DataFrame:
