@@ -6,9 +6,10 @@ upkeep re-applies them to the keys a batch touched.
 
 Scale notes
 -----------
-* SCD1 is one ``groupBy(keys).agg(max_by(...))``: the aggregate is partial
-  (map-side), so even a key holding a third of all rows is reduced to one row
-  per task before the shuffle.
+* SCD1 is a top-1 per key (``row_number() == 1`` over the sequence, newest
+  first). Spark plans it with a partial ``WindowGroupLimit`` before the
+  shuffle, so even a key holding a third of all rows is reduced to one row per
+  task before it moves, as a partial aggregate would be.
 * SCD2 needs the previous and next change of each key, i.e. windows ordered by
   the sequence. A plain ``Window.partitionBy(key)`` would put a hot key's whole
   history into one task. With ``chunk`` set, each key's history is cut into
@@ -47,11 +48,11 @@ def scd1(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=()
     carried = [c for c in tiebreak if c not in except_cols]
     if keep_sequence:
         carried = [sequence_by, *carried]
-    payload = F.struct(*[F.col(c) for c in values + carried])
-    ordering = F.struct(*[F.col(c) for c in order_cols], *[F.col(c) for c in values])
-    return (changes.groupBy(*keys)
-            .agg(F.max_by(payload, ordering).alias("_v"))
-            .select(*keys, "_v.*"))
+    # newest first; NULLs rank lowest, as in a struct maximum
+    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_cols, *values]])
+    return (changes.withColumn("_rn", F.row_number().over(newest))
+            .where(F.col("_rn") == 1)
+            .select(*keys, *values, *carried))
 
 
 def _tracked_struct(cols) -> Column:

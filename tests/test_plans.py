@@ -31,10 +31,13 @@ def test_channel_lookup_is_broadcast(spark):
     assert "BroadcastExchange" in text
 
 
-def test_scd1_and_latest_event_aggregate_map_side(spark):
-    for name in ("scd1_transactions", "run_log_latest"):
-        text = plan_text(registry.QUERIES[name](spark, SF_SMALL))
-        assert "partial_max_by" in text, name
+def test_scd1_and_latest_event_reduce_map_side(spark):
+    """Top-1 per key is cut down per task before the shuffle."""
+    df = registry.QUERIES["scd1_transactions"](spark, SF_SMALL)
+    df.collect()
+    assert "WindowGroupLimit" in plan_text(df)
+    text = plan_text(registry.QUERIES["run_log_latest"](spark, SF_SMALL))
+    assert "partial_max_by" in text
 
 
 def test_reversal_rate_is_one_aggregate(spark):
