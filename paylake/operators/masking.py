@@ -35,9 +35,6 @@ def tag_columns(df: DataFrame, tags: dict[str, dict[str, str]]) -> DataFrame:
     return df
 
 
-def column_tags(df: DataFrame) -> dict[str, dict]:
-    return {f.name: dict(f.metadata) for f in df.schema.fields if f.metadata}
-
 
 def apply_masks(df: DataFrame, role: str | None, policy: dict | None = None) -> DataFrame:
     """Project every PII-tagged column through the mask for its kind."""

@@ -203,12 +203,3 @@ def observe_rules(df: DataFrame, rules, name: str) -> tuple[DataFrame, Observati
                F.count_if(~reduce(lambda a, b: a & b, [p for _, p in passes])).alias("warned_records")]
     metrics += [F.count_if(~p).alias(n) for n, p in passes]
     return df.observe(obs, *metrics), obs
-
-
-def observe_rules_named(df: DataFrame, rules, name: str) -> DataFrame:
-    """As :func:`observe_rules` with a string name, the form streams report."""
-    passes = _passes(rules, "strict")
-    metrics = [F.count(F.lit(1)).alias("total_records"),
-               F.count_if(~reduce(lambda a, b: a & b, [p for _, p in passes])).alias("warned_records")]
-    metrics += [F.count_if(~p).alias(n) for n, p in passes]
-    return df.observe(name, *metrics)

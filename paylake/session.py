@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -82,12 +81,3 @@ def fresh_dir(spark: SparkSession, prefix: str) -> str:
     import uuid
 
     return shared_dir(spark, f"{prefix}-{uuid.uuid4().hex[:12]}")
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use a local path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path) if path.startswith("/") else path

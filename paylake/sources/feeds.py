@@ -97,9 +97,6 @@ def read_feed_stream(spark: SparkSession, cfg: FeedConfig, schema: T.StructType,
     return with_lineage(r.load(cfg.source_path))
 
 
-def read_feed_batch(spark: SparkSession, cfg: FeedConfig, schema: T.StructType) -> DataFrame:
-    return with_lineage(_reader(spark.read, cfg, schema).load(cfg.source_path))
-
 
 def land_files(df: DataFrame, path: str, split_by, files: int, delimiter: str = "|") -> None:
     """Write a feed as ``files`` delimited files with header, one per value of

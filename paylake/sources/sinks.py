@@ -77,21 +77,6 @@ def commit_versions(spark: SparkSession, root: str, written: dict[str, tuple[int
     spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
 
 
-def write_version(spark: SparkSession, df: DataFrame, root: str, mart: str) -> tuple[int, str, int]:
-    """Write a new version directory of ``mart``, then commit it in the manifest.
-
-    Readers only follow the manifest, so a half-written version is never seen;
-    re-running a failed refresh writes a fresh version.
-    """
-    version = next_version(spark, root, mart)
-    path = f"{root}/{mart}/v{version:06d}"
-    df.write.mode("overwrite").parquet(path)
-    rows = spark.read.parquet(path).count()  # footer metadata only
-    commit = spark.createDataFrame(
-        [(mart, version, rows, path, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], MANIFEST_SCHEMA)
-    commit.coalesce(1).write.mode("append").parquet(f"{root}/_manifest")
-    return version, path, rows
-
 
 def read_current(spark: SparkSession, root: str, mart: str) -> DataFrame:
     row = current_versions(spark, root).where(F.col("mart") == mart).first()

@@ -112,3 +112,18 @@ def test_quarantine_payload_formats(spark):
     js = quarantine_records(df, ["a", "b", "c"], payload_format="json").first()["payload"]
     assert pipe == "T1|x"  # the NULL column leaves no slot
     assert json.loads(js) == {"a": "T1", "b": None, "c": "x"}
+
+
+def test_cluster_sizing():
+    from paylake.session import cluster_conf
+
+    conf = cluster_conf(100 << 40, executor_cores=4000)  # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (128 << 20)
+    assert conf["spark.sql.files.maxPartitionBytes"] == "128m"
+
+
+def test_temp_views_for_sql_users(spark):
+    from paylake.plans.layers import register_temp_views
+
+    register_temp_views({"tiny_feed": spark.range(3)})
+    assert spark.sql("SELECT count(*) FROM tiny_feed").first()[0] == 3
