@@ -18,6 +18,7 @@ from paylake.llm.common import table
 from paylake.llm.exact_dedup import exact_dedup
 from paylake.llm.line_dedup import line_dedup
 from paylake.llm.packing import best_fit_packing
+from paylake.llm.pii import find_private, private_counts
 from paylake.llm.sharding import interleave_shards
 from paylake.llm.simhash import near_duplicates
 from paylake.llm.substring_dedup import substring_dedup
@@ -38,17 +39,15 @@ def register(name: str, sql: str | None = None):
 @register("op1_substring_dedup", """
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents
-), starts AS (
-  SELECT doc_id, unnest(range(1, len(ws) - 18)) AS s, ws FROM w
+), words AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM w
 ), windows AS (
-  SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(list_slice(ws, s, s + 19), ' ') ORDER BY doc_id, s) AS nth FROM starts
+  SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS seq FROM words
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM windows WHERE nth > 1
-), words AS (
-  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i
+  FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) AS nth FROM windows WHERE i + 19 <= n) WHERE nth > 1
 ), kept AS (
-  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS txt, count(*) AS n
-  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS txt, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
 )
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
@@ -141,3 +140,8 @@ def op6_interleave_shards(spark, sf_dir):
 def op7_best_fit_packing(spark, sf_dir):
     placed = best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, separator=0)
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op8_private_spans")
+def op8_private_spans(spark, sf_dir):
+    return private_counts(find_private(table(spark, sf_dir, "documents")))
