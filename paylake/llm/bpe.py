@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.llm import words as W
+from paylake.llm.common import ship
 from paylake.llm.segments import distinct_pieces
 
 _SLICE = 1 << 21
@@ -229,6 +230,7 @@ def codec(raw: bytes, pattern: str) -> Codec:
 
 
 def _map(docs: DataFrame, path: str, pattern: str, fields: list[T.StructField], fn) -> DataFrame:
+    ship(docs.sparkSession)
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary: its size doesn't follow the data
 
@@ -270,6 +272,7 @@ def bpe_round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def bpe_decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and the bytes of ``ids`` (null: none)."""
+    ship(tokens.sparkSession)
     with open(path, "rb") as f:
         shared = tokens.sparkSession.sparkContext.broadcast(f.read())
 

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import paylake
 from paylake.session import fresh_dir
 
+_SHIPPED: set[str] = set()
+
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -14,6 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, once per application, so that
+    Arrow functions can import it wherever the driver found it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(paylake.__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="paylake-code-"), "paylake.zip")  # Spark sends it on
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "paylake")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared folder and read it back.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm import words as W
-from paylake.llm.common import stored
+from paylake.llm.common import ship, stored
 from paylake.llm.segments import distinct_pieces
 
 _SLICE = 1 << 21
@@ -81,6 +81,7 @@ def _tokenizer(raw: bytes) -> PieceTokenizer:
 
 def document_pieces(docs: DataFrame, path: str, capacity: int, separator: int = 0) -> DataFrame:
     """Pieces of every document's ids: doc_id, piece, start, length, ids_crc32."""
+    ship(docs.sparkSession)
     with open(path, "rb") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary: its size doesn't follow the data
 

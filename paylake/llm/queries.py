@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paylake.llm.ann import nearest
 from paylake.llm.bpe import bpe_round_trip
 from paylake.llm.common import table
 from paylake.llm.exact_dedup import exact_dedup
@@ -22,6 +23,7 @@ from paylake.llm.pii import find_private, private_counts
 from paylake.llm.sharding import interleave_shards
 from paylake.llm.simhash import near_duplicates
 from paylake.llm.substring_dedup import substring_dedup
+from paylake.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +147,13 @@ def op7_best_fit_packing(spark, sf_dir):
 @register("op8_private_spans")
 def op8_private_spans(spark, sf_dir):
     return private_counts(find_private(table(spark, sf_dir, "documents")))
+
+
+@register("op9_nearest_neighbours")
+def op9_nearest_neighbours(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

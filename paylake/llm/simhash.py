@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.llm import words as W
-from paylake.llm.common import stored
+from paylake.llm.common import ship, stored
 from paylake.llm.components import components
 
 BITS = 64
@@ -84,6 +84,7 @@ def with_fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, column:
                 fp = fingerprints_of(part.column("text"), shingle, seed)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(fp.view(np.int64))], names=[*part.schema.names, column])
 
+    ship(docs.sparkSession)
     docs = docs.withColumn("text", F.col("text").cast("string"))
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.LongType())]))
 
@@ -264,3 +265,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed:
     least = joined.groupBy("label").agg(F.min("least").alias("component_id"), F.sum("n").alias("component_size"))
     classes = joined.select("fp", "label").join(least, "label").select(F.col("fp").alias("simhash"), "component_id", "component_size")
     return fps.join(classes, "simhash").select("doc_id", "simhash", "component_id", "component_size")
+
+
+def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with its columns: of each component only the document whose
+    doc_id names it (rows without doc_id stay if their whole component has
+    none; rows that repeat a doc_id stay or go together)."""
+    found = near_duplicates(docs, **options).where("component_size > 1")
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")), "left_anti")

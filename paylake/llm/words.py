@@ -74,13 +74,14 @@ def slices(table, column: str, budget: int) -> Iterator:
         at = end
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte start, byte end and number of words per row, of all rows' words."""
+def word_spans(data: np.ndarray, offs: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte start, byte end and number of words per row, of all rows' words;
+    ``between`` tells which bytes lie between words."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs) - 1, np.int64)
-    solid = ~WHITE[data]
+    solid = ~between[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     row_starts = offs[:-1][offs[:-1] < n]
