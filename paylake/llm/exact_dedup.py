@@ -80,8 +80,8 @@ def drop_exact_copies(docs: DataFrame, prefix_chars: int = 256) -> DataFrame:
     keepers = stored(verdict.where("kept and group_size > 1").select(F.col("text_sha256").alias("sha"), F.col("keep_id")), "exact-keepers")
     copies = verdict.where("not kept and doc_id <=> keep_id").select(F.col("text_sha256").alias("twice")).distinct()
     keepers = keepers.join(copies, F.col("sha") == F.col("twice"), "left").select("sha", "keep_id", F.col("twice").isNotNull().alias("twice"))
-    hashed = docs.withColumn("__sha", F.sha2(normalised(), 256))
-    met = hashed.join(keepers, F.col("__sha") == F.col("sha"), "left").where(F.col("sha").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    once = met.where(F.col("twice").isNull() | ~F.col("twice")).select(docs.columns)
-    repeated = met.where("twice").dropDuplicates(["__sha"]).select(docs.columns)  # rows given twice, id and text
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(), 256).alias("own_sha"))
+    met = rows.join(keepers, F.col("own_sha") == F.col("sha"), "left").where(F.col("sha").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
+    once = met.where(F.col("twice").isNull() | ~F.col("twice")).select("row.*")
+    repeated = met.where("twice").dropDuplicates(["own_sha"]).select("row.*")  # rows given twice, id and text
     return once.unionByName(repeated)

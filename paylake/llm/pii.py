@@ -175,17 +175,20 @@ def mask_private(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with its columns; in ``text`` every span became [KIND], spans
     that overlap became one, named after the first."""
     found = find_private(docs, **options).where(F.size("spans") > 0)
-    found = found.groupBy(F.col("doc_id").alias("__doc"), F.col("text_id").alias("__text")).agg(F.first("spans").alias("__spans"))  # equal rows, equal spans
-    text = text_or_empty()
-    rows = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__text")), "left")
-    merged = F.aggregate("__spans", F.expr("cast(array() as array<struct<start:int,end:int,kind:string>>)"), lambda acc, s: F.when(
+    found = found.groupBy(F.col("doc_id").alias("found_id"), F.col("text_id").alias("found_text")).agg(F.first("spans").alias("spans"))  # equal rows, equal spans
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.xxhash64(text_or_empty()) == F.col("found_text")), "left")
+    span = "array<struct<start:int,end:int,kind:string>>"
+    # spans that overlap the last one widen it
+    merged = F.aggregate("spans", F.expr(f"cast(array() as {span})"), lambda acc, s: F.when(
         (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] > s["start"]),
-        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), F.greatest(
-            F.element_at(acc, -1)["end"], s["end"]).alias("end"), F.element_at(acc, -1)["kind"].alias("kind"))))).otherwise(
+        F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(
+            F.element_at(acc, -1)["start"].alias("start"), F.greatest(F.element_at(acc, -1)["end"], s["end"]).alias("end"),
+            F.element_at(acc, -1)["kind"].alias("kind"))))).otherwise(
         F.concat(acc, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))))
-    rows = rows.withColumn("__merged", F.when(F.col("__spans").isNotNull(), merged))
-    rows = rows.withColumn("__from", F.concat(F.array(F.lit(0)), F.transform("__merged", lambda s: s["end"])))
-    parts = F.zip_with("__from", "__merged", lambda a, s: F.when(s.isNull(), F.substr("text", a + 1, F.length("text"))).otherwise(
+    rows = rows.withColumn("merged", F.when(F.col("spans").isNotNull(), merged))
+    rows = rows.withColumn("kept_from", F.concat(F.array(F.lit(0)), F.transform("merged", lambda s: s["end"])))
+    parts = F.zip_with("kept_from", "merged", lambda a, s: F.when(s.isNull(), F.substr("text", a + 1, F.length("text"))).otherwise(
         F.concat(F.substr("text", a + 1, s["start"] - a), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
-    masked = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.array_join(parts, ""))
-    return rows.withColumn("text", masked).select(docs.columns)
+    masked = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(parts, ""))
+    return rows.select(*[(masked if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -272,5 +272,6 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     doc_id names it (rows without doc_id stay if their whole component has
     none; rows that repeat a doc_id stay or go together)."""
     found = near_duplicates(docs, **options).where("component_size > 1")
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")), "left_anti")
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, F.col("id").eqNullSafe(F.col("gone")), "left_anti").select("row.*")

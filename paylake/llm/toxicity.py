@@ -239,4 +239,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` with its columns, without the documents predicted toxic."""
-    return with_scores(docs, train(docs, labels, **options), "__toxicity").where(F.col("__toxicity") < 0.5).drop("__toxicity")
+    score = "toxicity"
+    while score.lower() in {c.lower() for c in docs.columns}:
+        score += "_"
+    return with_scores(docs, train(docs, labels, **options), score).where(F.col(score) < 0.5).drop(score)
