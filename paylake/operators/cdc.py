@@ -11,11 +11,16 @@ Scale notes
   shuffle, so even a key holding a third of all rows is reduced to one row per
   task before it moves, as a partial aggregate would be.
 * SCD2 needs the previous and next change of each key, i.e. windows ordered by
-  the sequence. A plain ``Window.partitionBy(key)`` would put a hot key's whole
-  history into one task. With ``chunk`` set, each key's history is cut into
-  contiguous sequence ranges (e.g. the hour of the sequence timestamp); the
-  windows run per (key, chunk) and a small per-chunk summary (one row per key
-  and chunk) stitches neighbouring chunks together.
+  the sequence: one shuffle by key. A key with a very long history would put
+  it into one task, so keys are counted first (a partial aggregate over the
+  key columns). Only keys above ``hot_rows`` changes are treated apart: tied
+  changes are reduced before the shuffle, the history is cut into contiguous
+  sequence ranges by approximate percentiles, the windows run per (key, range),
+  and one summary row per range stitches neighbours together.
+* Changes of a key that share a sequence are one change: the last by the
+  tie-break columns and then by the row's values. So a history is a function of
+  the set of changes, whatever order they arrive in, and holds at most one
+  version per key and sequence.
 """
 
 from __future__ import annotations
@@ -59,28 +64,58 @@ def _tracked_struct(cols) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
+HOT_ROWS = 1_000_000
+#: At most this many keys are treated as hot; their number bounds a broadcast.
+MAX_HOT_KEYS = 1_000
+
+
 def scd2(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=(),
-         chunk: Column | None = None) -> DataFrame:
+         hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Full history per key (G2): one row per version with ``__START_AT`` /
     ``__END_AT`` taken from ``sequence_by``.
 
     A change whose tracked columns equal the previous change of the same key
     opens no version (S28). Tracked columns are all columns except keys,
-    ordering columns and ``except_cols``.
+    ordering columns and ``except_cols``. ``hot_rows`` is the length from
+    which a key's history is split over tasks (None: never).
     """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
     tracked = _value_columns(changes, keys, order_cols, except_cols)
     base = changes.select(*keys, *order_cols, *tracked)
-    if chunk is None:
-        return _scd2_single(base, keys, sequence_by, order_cols, tracked)
-    return _scd2_chunked(base.withColumn("_chunk", chunk), keys, sequence_by, order_cols, tracked)
+    hot, longest = _hot_keys(base, keys, hot_rows) if hot_rows else (None, 0)
+    if hot is None:
+        return _scd2_single(base, keys, sequence_by, [*order_cols, *tracked], tracked)
+    cold = base.join(F.broadcast(hot), keys, "left_anti")  # MAX_HOT_KEYS rows at most
+    last = Window.partitionBy(*keys, sequence_by).orderBy(*[F.col(c).desc() for c in [*tiebreak, *tracked]])
+    long = (base.join(F.broadcast(hot), keys, "left_semi")
+            .withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn"))
+    pieces = min(1_000, -(-longest // hot_rows))
+    cuts = [i / pieces for i in range(1, pieces)]
+    ranges = long.groupBy(*keys).agg(F.percentile_approx(sequence_by, cuts, 10_000).alias("_cuts"))
+    long = (long.join(F.broadcast(ranges), keys)
+            .withColumn("_chunk", F.size(F.filter("_cuts", lambda c: c < F.col(sequence_by)))).drop("_cuts"))
+    return (_scd2_single(cold, keys, sequence_by, [*order_cols, *tracked], tracked)
+            .unionByName(_scd2_chunked(long, keys, sequence_by, [sequence_by], tracked)))
+
+
+def _hot_keys(base: DataFrame, keys, hot_rows: int) -> tuple[DataFrame | None, int]:
+    """The keys with more than ``hot_rows`` changes and the longest history."""
+    counted = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    found = counted.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).collect()
+    if not found:
+        return None, 0
+    hot = base.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in found], base.select(*keys).schema)
+    return hot, found[0]["_n"]
 
 
 def _scd2_single(df, keys, seq, order_cols, tracked):
     w = Window.partitionBy(*keys).orderBy(*order_cols)
-    t = _tracked_struct(tracked)
-    kept = (df.withColumn("_t", t)
+    # of changes that share a sequence the last one counts
+    df = df.withColumn("_next", F.lead(F.struct(F.col(seq))).over(w)).where(
+        F.col("_next").isNull() | ~F.col("_next")[seq].eqNullSafe(F.col(seq)))
+    w = Window.partitionBy(*keys).orderBy(seq)
+    kept = (df.withColumn("_t", _tracked_struct(tracked))
             .withColumn("_prev", F.lag("_t").over(w))
             .where(~F.col("_prev").eqNullSafe(F.col("_t"))))
     return kept.select(*keys, *tracked,

@@ -1,18 +1,14 @@
 """Dimension joins that stay safe at scale.
 
-* :func:`broadcast_if_bounded` broadcasts a side only after proving it has at
-  most ``max_rows`` rows (a ``limit(n+1).count()`` that stops reading as soon
-  as the bound is exceeded); otherwise the join is left to a shuffle, where
-  AQE can still switch to a broadcast from measured sizes.
-* :func:`salted_join` joins a fact to a dimension keyed by one row per key
-  when a few keys may carry a large share of the fact (a hot user holding a
-  third of all transactions). A key is hot when it holds at least
-  ``hot_fraction`` of the fact's rows (a scalar subquery for the total, a
-  partial aggregate for the per-key counts). At most ``1 / hot_fraction``
-  keys can qualify, so the hot set is bounded by construction and safe to
-  broadcast. Hot keys' fact rows are spread over ``salts`` sub-keys and their
-  dimension rows replicated ``salts`` times, so no task receives a whole hot
-  key; all other keys join as usual.
+* :func:`is_bounded` proves a stored table small (a row count, which Parquet
+  answers from its footers, times a width) before it may be broadcast. A larger
+  one is joined by shuffle.
+* :func:`hot_keys` finds, once and from the narrow key column of the stored
+  fact, the keys that hold at least ``fraction`` of its rows: at most
+  ``1 / fraction`` of them exist, so the list is small whatever the data.
+* :func:`salted_join` spreads each hot key over as many sub-keys as its own
+  row count asks for and replicates only those keys' dimension rows. All
+  other keys join as usual, and without a hot key it is a plain join.
 """
 
 from __future__ import annotations
@@ -20,46 +16,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
 DEFAULT_HOT_FRACTION = 1e-3
-DEFAULT_SALTS = 32
+DEFAULT_ROWS_PER_SALT = 2_000_000
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_bounded(stored: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, row_bytes: int = 64) -> bool:
+    """True when a stored table's rows, at ``row_bytes`` each, fit the bound."""
+    return stored.count() * row_bytes <= max_bytes
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+def hot_keys(fact: DataFrame, key: str, fraction: float = DEFAULT_HOT_FRACTION,
+             rows_per_salt: int = DEFAULT_ROWS_PER_SALT) -> DataFrame | None:
+    """(key, _salts) of the keys with at least ``fraction`` of the rows and
+    more than one task's worth of them; None if there is none."""
+    total = fact.count()
+    least = max(total * fraction, rows_per_salt)
+    rows = (fact.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= least) & F.col(key).isNotNull())
+            .select(key, F.ceil(F.col("n") / F.lit(rows_per_salt)).cast("int").alias("_salts")).collect())
+    if not rows:
+        return None
+    return fact.sparkSession.createDataFrame(rows, fact.select(key, F.lit(0).alias("_salts")).schema)
 
 
-def hot_keys(fact: DataFrame, keys, fraction: float = DEFAULT_HOT_FRACTION) -> DataFrame:
-    """Keys holding at least ``fraction`` of ``fact``'s rows: at most
-    ``1 / fraction`` of them exist, whatever the data size."""
-    total = fact.select(F.count(F.lit(1))).scalar()
-    return (fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= total * F.lit(fraction)).select(*keys))
-
-
-def salted_join(fact: DataFrame, dim: DataFrame, keys, how: str = "inner",
-                hot_fraction: float = DEFAULT_HOT_FRACTION, salts: int = DEFAULT_SALTS,
+def salted_join(fact: DataFrame, dim: DataFrame, key: str, hot: DataFrame | None, how: str = "inner",
                 salt_by=None) -> DataFrame:
-    """Equi-join ``fact`` to ``dim`` (unique per key) with hot keys salted.
+    """Equi-join ``fact`` to ``dim`` (one row per key) with the hot keys salted.
 
     ``salt_by`` names fact columns whose hash picks a row's salt (default: all
     fact columns), so the split is deterministic and survives task retries.
     """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(fact, keys, hot_fraction).withColumn("_hot", F.lit(True)))
+    if hot is None:
+        return fact.join(dim, key, how)
+    hot = F.broadcast(hot)  # at most 1 / fraction rows
     salt_cols = [F.col(c) for c in (salt_by or fact.columns)]
-    f = (fact.join(hot, keys, "left")
-         .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_cols), F.lit(salts)))
+    f = (fact.join(hot, key, "left")
+         .withColumn("_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(*salt_cols), F.col("_salts").cast("long")))
                      .otherwise(F.lit(0).cast("long")))
-         .drop("_hot"))
-    d = (dim.join(hot, keys, "left")
-         .withColumn("_salt", F.explode(
-             F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-             .otherwise(F.array(F.lit(0).cast("long")))))
-         .drop("_hot"))
-    return f.join(d, [*keys, "_salt"], how).drop("_salt")
+         .drop("_salts"))
+    d = (dim.join(hot, key, "left")
+         .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1)).cast("long") - 1)))
+         .drop("_salts"))
+    return f.join(d, [key, "_salt"], how).drop("_salt")

@@ -6,8 +6,7 @@ of users and merchants, so the star-schema joins never fan out over history.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from paylake.functions.keys import date_key, local_currency
 from paylake.operators.cdc import current_rows, scd1, scd2
@@ -24,14 +23,11 @@ def silver_transactions(raw_tx: DataFrame, sequence_by: str | None = None) -> Da
                 except_cols=[c for c in EXCEPT_COLUMNS if c != seq])
 
 
-def silver_history(raw: DataFrame, feed: str, sequence_by: str | None = None,
-                   chunk: Column | None = None) -> DataFrame:
+def silver_history(raw: DataFrame, feed: str, sequence_by: str | None = None, **options) -> DataFrame:
     """SCD2 history of valid users or merchants."""
     seq = sequence_by or SEQUENCE[feed]
-    if chunk is None:
-        chunk = F.col(seq)  # each sequence value is its own contiguous range
     return scd2(valid(raw, feed), KEYS[feed], seq,
-                except_cols=[c for c in EXCEPT_COLUMNS if c != seq], chunk=chunk)
+                except_cols=[c for c in EXCEPT_COLUMNS if c != seq], **options)
 
 
 def gold_users(silver_users: DataFrame) -> DataFrame:

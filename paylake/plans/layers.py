@@ -9,14 +9,11 @@ of replaying the whole pipeline. Tables go to the shared work folder.
 Layout: silver and gold are written unpartitioned. No mart filters on the
 date or country, so partition folders would only multiply small files here
 (SURVEY §4: keep a layout only where a reader prunes on it);
-the streaming upkeep (:mod:`paylake.streaming.silver`) keeps its key-bucketed
-layout for incremental rewrites.
+the streaming upkeep (:mod:`paylake.streaming.silver`) keeps a change log by batch.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from paylake.plans import gold as G
@@ -27,8 +24,8 @@ from paylake.sources.sinks import write_concurrently
 SILVER = ("silver_transactions", "silver_users", "silver_merchants")
 GOLD = ("gold_transactions", "gold_users", "gold_merchants")
 
-# (application, root) -> {table: path}
-_BUILT: dict[tuple[str, str], dict[str, str]] = {}
+# (application, landed feeds) -> {table: path}
+_BUILT: dict[tuple, dict[str, str]] = {}
 
 
 def build_layers(spark: SparkSession, root: str, work: str | None = None) -> dict[str, str]:
@@ -53,7 +50,8 @@ def build_layers(spark: SparkSession, root: str, work: str | None = None) -> dic
 
 def layers(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Stored silver and gold tables for ``root``, built once per session."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(root))
+    landed = tuple(fx.landed_view(spark, root, v).inputFiles()[0] for v in ("raw_transactions", "raw_users", "raw_merchants"))
+    key = (spark.sparkContext.applicationId, landed)  # a changed source is landed anew
     paths = _BUILT.get(key)
     if paths is None:
         paths = build_layers(spark, root)

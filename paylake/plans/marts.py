@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from paylake.functions.keys import (CHANNEL_ID_PREFIX, date_key, normalized_amount, quarter_label,
                                     risk_ordinal, static_channel_id, week_label)
-from paylake.operators.joins import salted_join
+from paylake.operators.joins import hot_keys, salted_join
+from paylake.operators.rules import CHANNELS
 
 # Fixed values (must equal the reference).
 APPROVED = "aprobado"
@@ -41,6 +42,8 @@ TENURE_RISK = ((360, "alto"), (180, "medio"), (90, "bajo"))
 AS_OF = dt.date(2024, 1, 2)
 CALENDAR_START = dt.date(2018, 1, 1)
 CALENDAR_END = dt.date(2024, 12, 31)
+CALENDAR_EARLIEST = dt.date(2000, 1, 1)
+CALENDAR_LATEST = dt.date(2039, 12, 31)
 CHANNEL_ID_WIDTH = 3
 
 
@@ -131,13 +134,16 @@ def dim_channel(gold_tx: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(gold_tx: DataFrame, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END) -> DataFrame:
-    """One row per day from ``start`` to ``end``, widened to cover every
-    transaction date so no fact key lacks its calendar row (S14).
+def dim_date(gold_tx: DataFrame, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END,
+             earliest: dt.date = CALENDAR_EARLIEST, latest: dt.date = CALENDAR_LATEST) -> DataFrame:
+    """One row per day from ``start`` to ``end`` (S14). Transaction dates
+    outside widen the range, but never beyond ``earliest`` and ``latest``, so
+    a mistyped year makes no calendar of centuries.
     """
+    date = F.when(F.col("transaction_date").between(F.lit(earliest), F.lit(latest)), F.col("transaction_date"))
     bounds = gold_tx.agg(
-        F.least(F.lit(start), F.min("transaction_date")).alias("lo"),
-        F.greatest(F.lit(end), F.max("transaction_date")).alias("hi"),
+        F.least(F.lit(start), F.min(date)).alias("lo"),
+        F.greatest(F.lit(end), F.max(date)).alias("hi"),
     )
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
     return days.select(
@@ -177,18 +183,17 @@ def risk_score(currency, merchant_currency, tx_type, m_risk, u_risk) -> F.Column
 
 
 def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant: DataFrame,
-                             channel_ids: DataFrame | None = None, hot_fraction: float | None = None,
-                             merchants_bounded: bool = False, users_bounded: bool = False) -> DataFrame:
+                             channel_ids: DataFrame | None = None, merchants_bounded: bool = False,
+                             users_bounded: bool = False, **hot) -> DataFrame:
     """Eligible transactions with normalised amount, channel id and risk score
     (C3, C4, C5, B19-B23).
 
     A dimension is broadcast only when the caller has proven its size
-    (``*_bounded``, e.g. a bounded row count of the stored table it projects);
-    a broadcast join is immune to hot keys. Otherwise the join is a salted
-    shuffle join, so one merchant or user holding a large share of the
-    transactions is spread over several tasks. The channel lookup is bounded
-    by the ``valid_channel`` rule (at most three channels survive validation),
-    so it is always broadcast.
+    (``*_bounded``, from the row count of the stored table it projects); a
+    broadcast join is immune to hot keys. Otherwise the join is a shuffle join
+    whose hot keys, found before any join in the key column of the stored
+    gold table, are salted (``hot``: options of ``hot_keys``). The channel
+    lookup is cut to the three channels that pass validation and broadcast.
     """
     users = (d_user.where(F.col("local_currency").isNotNull())
              .select("user_id", "user_risk_level"))
@@ -198,20 +203,17 @@ def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant:
     t = gold_tx.where(F.col("status").isin(*FACT_STATUSES)).select(
         "PK_Tiempo", "transaction_id", "user_id", "merchant_id", "channel", "transaction_type",
         "currency", "amount")
-    kw = {} if hot_fraction is None else {"hot_fraction": hot_fraction}
     salt_by = ["transaction_id", "PK_Tiempo"]
-    if merchants_bounded:
-        t = t.join(F.broadcast(merchants), "merchant_id", "inner")
-    else:
-        t = salted_join(t, merchants, ["merchant_id"], "inner", salt_by=salt_by, **kw)
-    if users_bounded:
-        t = t.join(F.broadcast(users), "user_id", "inner")
-    else:
-        t = salted_join(t, users, ["user_id"], "inner", salt_by=salt_by, **kw)
+    for key, dim, bounded in (("merchant_id", merchants, merchants_bounded), ("user_id", users, users_bounded)):
+        if bounded:
+            t = t.join(F.broadcast(dim), key, "inner")
+        else:
+            t = salted_join(t, dim, key, hot_keys(gold_tx, key, **hot), salt_by=salt_by)
     if channel_ids is None:
         channel_id = static_channel_id("channel")
     else:
-        t = t.join(F.broadcast(channel_ids), "channel", "left")
+        known = channel_ids.where(F.col("channel").isin(*CHANNELS)).dropDuplicates(["channel"])  # three rows at most
+        t = t.join(F.broadcast(known), "channel", "left")
         channel_id = F.col("channel_id")
     return t.select(
         "PK_Tiempo", "transaction_id", "user_id", "merchant_id",
@@ -232,16 +234,11 @@ def fact_from_scored(scored: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("transaction_count")))
 
 
-def fact_transactions(gold_tx, d_user, d_merchant, hot_fraction: float | None = None,
-                      merchants_bounded: bool = False, users_bounded: bool = False) -> DataFrame:
+def fact_transactions(gold_tx, d_user, d_merchant, **options) -> DataFrame:
     """The fact with the reference's hard-coded channel ids."""
-    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, hot_fraction=hot_fraction,
-                                                     merchants_bounded=merchants_bounded,
-                                                     users_bounded=users_bounded))
+    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, **options))
 
 
-def fact_keyed(gold_tx, d_user, d_merchant, d_channel, hot_fraction: float | None = None,
-               merchants_bounded: bool = False, users_bounded: bool = False) -> DataFrame:
+def fact_keyed(gold_tx, d_user, d_merchant, d_channel, **options) -> DataFrame:
     """The fact with channel ids looked up in ``dim_channel``."""
-    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, hot_fraction,
-                                                     merchants_bounded, users_bounded))
+    return fact_from_scored(risk_scored_transactions(gold_tx, d_user, d_merchant, d_channel, **options))

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded
+from paylake.operators.joins import is_bounded
 from paylake.plans import marts as M
 from paylake.sources import sinks
 
@@ -30,8 +30,8 @@ MARTS: dict[str, tuple[tuple[str, ...], MartBuilder]] = {
     "fact_transactions": (("dim_user", "dim_merchant"),
                           lambda i: M.fact_transactions(
                               i["gold_transactions"], i["dim_user"], i["dim_merchant"],
-                              merchants_bounded=is_bounded(i["dim_merchant"], DEFAULT_BROADCAST_ROWS),
-                              users_bounded=is_bounded(i["dim_user"], DEFAULT_BROADCAST_ROWS))),
+                              merchants_bounded=is_bounded(i["dim_merchant"]),
+                              users_bounded=is_bounded(i["dim_user"]))),
 }
 # The reference's refresh order.
 REFRESH_ORDER = ("dim_date", "dim_user", "dim_merchant", "dim_channel", "fact_transactions")

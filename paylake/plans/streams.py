@@ -7,10 +7,13 @@ deleted.
 
 from __future__ import annotations
 
+import dataclasses
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.sources.feeds import FEED_COLUMNS, FeedConfig, land_files
+from paylake.sources.feeds import FEED_COLUMNS, FeedConfig, land_files, load_feed_config
 from paylake.streaming.ingest import read_table_stream, start_bronze
 from paylake.streaming.silver import SilverTarget, start_silver
 
@@ -32,13 +35,16 @@ def as_landed(raw: DataFrame, feed: str) -> DataFrame:
     return raw.select(*[F.col(c).cast("string").alias(c) for c in cols])
 
 
-def land(raw: DataFrame, feed: str, landing: str, split_by: Column, files: int,
+def land(raw: DataFrame, feed: str, landing: str, files: int, split_by: Column | None = None,
          order: list[Column] | None = None) -> None:
-    """Write the feed as delimited files; with ``order``, each filter's rows are
-    landed in turn (later files arrive later)."""
-    landed = as_landed(raw, feed)
+    """Write the feed as delimited files; with ``order``, the rows of each
+    condition are landed in turn (later files arrive later). By default rows
+    are spread by a hash of all their columns, so a key's changes fall into
+    different files, and so into different batches."""
     for cond in (order or [F.lit(True)]):
-        land_files(landed.where(cond), landing, split_by, files, DELIMITER)
+        landed = as_landed(raw.where(cond), feed)
+        spread = F.pmod(F.crc32(F.concat_ws("|", *landed.columns)), F.lit(files))
+        land_files(landed, landing, spread if split_by is None else split_by, files, DELIMITER)
 
 
 def ingest(spark: SparkSession, feed: str, landing: str, work: str, partition_by: str | None = None,
@@ -52,7 +58,7 @@ def ingest(spark: SparkSession, feed: str, landing: str, work: str, partition_by
 
 def silver(spark: SparkSession, feed: str, bronze_path: str, work: str, sequence_by: str = "seq",
            sequence_type: str | None = None, run_log_path: str | None = None,
-           max_files_per_trigger: int = 1, **kw) -> SilverTarget:
+           max_files_per_trigger: int | None = 1, **kw) -> SilverTarget:
     target = SilverTarget(feed=feed, root=f"{work}/silver/{feed}", quarantine_path=f"{work}/silver/quarantine",
                           sequence_by=sequence_by, sequence_type=sequence_type, run_log_path=run_log_path,
                           source_table=f"bronze.{feed}", **kw)
@@ -65,13 +71,56 @@ def silver(spark: SparkSession, feed: str, bronze_path: str, work: str, sequence
 SEQUENCE_TYPES = {"transactions": "timestamp_ntz", "users": "int", "merchants": "int"}
 
 
-def run_feed(spark: SparkSession, raw: DataFrame, feed: str, work: str, files: int = 4,
-             split_by: Column | None = None, order: list[Column] | None = None,
-             partition_by: str | None = None, run_log_path: str | None = None) -> SilverTarget:
-    """Land ``raw`` as ``files`` files, stream it through bronze and silver."""
+def land_and_ingest(spark: SparkSession, raw: DataFrame, feed: str, work: str, files: int | None = None,
+                    order: list[Column] | None = None, partition_by: str | None = None) -> FeedConfig:
+    """Land ``raw`` as delimited files and stream them into a bronze table."""
+    files = files or landing_files(raw)
     landing = f"{work}/landing/{feed}"
-    key = {"transactions": "transaction_id", "users": "user_id", "merchants": "merchant_id"}[feed]
-    split = split_by if split_by is not None else F.pmod(F.crc32(F.col(key)), F.lit(files))
-    land(raw, feed, landing, split, files, order)
-    cfg = ingest(spark, feed, landing, work, partition_by)
+    land(raw, feed, landing, files, order=order)
+    return ingest(spark, feed, landing, work, partition_by, max_files_per_trigger=_per_trigger(files))
+
+
+LANDING_FILE_BYTES = 64 << 20
+
+
+def landing_files(raw: DataFrame) -> int:
+    """Files by the size of the stored feed, and enough for several batches."""
+    sizes = raw.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n")).distinct()
+    return max(4, (sizes.agg(F.sum("n")).first()[0] or 0) // LANDING_FILE_BYTES)
+
+
+def _per_trigger(files: int) -> int:
+    """A quarter of the files in a batch: batches grow with the feed."""
+    return max(1, files // 4)
+
+
+def run_feed(spark: SparkSession, raw: DataFrame, feed: str, work: str, files: int | None = None,
+             order: list[Column] | None = None, partition_by: str | None = None,
+             run_log_path: str | None = None) -> SilverTarget:
+    """Land ``raw`` as files, stream it through bronze and silver."""
+    cfg = land_and_ingest(spark, raw, feed, work, files, order, partition_by)
     return silver(spark, feed, cfg.target_table, work, "seq", SEQUENCE_TYPES[feed], run_log_path)
+
+
+def write_config(spark: SparkSession, work: str, feeds: dict[str, tuple[str | None, bool]], active) -> str:
+    """A feed config in the shared folder: feed -> (partition column, multiline)."""
+    rows = [dataclasses.asdict(dataclasses.replace(
+        feed_config(feed, f"{work}/landing/{feed}", f"{work}/bronze/{feed}", column),
+        active=feed in active, multiline=multiline, schema_location=f"{work}/schema/{feed}"))
+        for feed, (column, multiline) in feeds.items()]
+    path = f"{work}/config"
+    spark.createDataFrame([(json.dumps(rows),)], "s string").coalesce(1).write.text(path)
+    return path
+
+
+def run_ingest(spark: SparkSession, config_path: str, work: str, feeds=tuple(FEED_COLUMNS)) -> dict[str, FeedConfig]:
+    """Ingest every feed that the config lists as active (A1-A5): looked up,
+    read with its remembered schema, appended to its target table."""
+    done = {}
+    for feed in feeds:
+        cfg = load_feed_config(spark, config_path, feed)
+        if cfg is None:
+            continue
+        start_bronze(spark, cfg, f"{work}/_checkpoints/bronze_{feed}").awaitTermination()
+        done[feed] = cfg
+    return done

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from paylake.operators.cdc import scd2
 from paylake.operators.clean import clean_merchants, clean_transactions, clean_users
-from paylake.operators.joins import DEFAULT_BROADCAST_ROWS, is_bounded
+from paylake.operators.joins import is_bounded
+from paylake.operators.rules import quarantine_records
 from paylake.operators.masking import USER_COLUMN_TAGS, apply_masks, tag_columns
 from paylake.plans import gold as G
 from paylake.plans import marts as M
@@ -27,7 +28,9 @@ from paylake.plans.scalars import scalar_functions
 from paylake.session import fresh_dir
 from paylake.sources import fixtures as fx
 from paylake.sources.tables import read_table
-from paylake.streaming.silver import read_current
+from paylake.sources.sinks import SILVER_LAYOUT, publish_partitioned
+from paylake.sources.sinks import read_current as read_mart
+from paylake.streaming.silver import read_current, write_snapshot
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -143,22 +146,21 @@ def _dims(spark, root):
 def _fact_inputs(spark, root):
     """Fact inputs plus proven size bounds of the two dimensions.
 
-    Each dimension has exactly one row per stored gold user / merchant, so a
-    bounded count of the stored table (cheap: a scan stopped after n+1 rows)
-    proves the dimension's size before it may be broadcast.
+    Each dimension has exactly one row per stored gold user / merchant, so the
+    row count of the stored table proves the dimension's size before it may be
+    broadcast.
     """
     g_tx, g_users, g_merchants = _stored_gold(spark, root)
-    bounds = {"merchants_bounded": is_bounded(g_merchants, DEFAULT_BROADCAST_ROWS),
-              "users_bounded": is_bounded(g_users, DEFAULT_BROADCAST_ROWS)}
+    bounds = {"merchants_bounded": is_bounded(g_merchants),
+              "users_bounded": is_bounded(g_users)}
     return g_tx, M.dim_user(g_users, g_tx), M.dim_merchant(g_merchants), bounds
 
 
-def events_history(events):
-    """SCD2 over the raw event stream: key user_id, sequence (ts, event_id),
-    tracked event_type; histories cut into hourly chunks so one busy user is
-    spread over many tasks."""
+def events_history(events, **options):
+    """SCD2 over the raw event stream: key user_id, sequence ts (of events of
+    one moment the last event_id counts), tracked event_type."""
     return scd2(events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], "ts",
-                tiebreak=["event_id"], chunk=F.date_trunc("hour", "ts"))
+                tiebreak=["event_id"], **options)
 
 
 @register("scd1_transactions")
@@ -355,8 +357,9 @@ def q_ingest_stream(spark, root):
     lineage columns (ingestion time, file name) are left out of the result."""
     work = fresh_dir(spark, "ingest-stream")
     landing = f"{work}/landing/transactions"
-    ST.land(fx.raw_transactions(spark, root), "transactions", landing,
-            F.pmod(F.crc32("transaction_id"), F.lit(4)), 4)
+    raw = fx.raw_transactions(spark, root)
+    files = ST.landing_files(raw)
+    ST.land(raw, "transactions", landing, files)
     cfg = ST.ingest(spark, "transactions", landing, work)
     return spark.read.parquet(cfg.target_table).drop("ingestion_at", "source_file", "_corrupt_record")
 
@@ -434,3 +437,136 @@ def q_run_log_by_table_users(spark, root):
 @register("run_log_by_table_merchants")
 def q_run_log_by_table_merchants(spark, root):
     return RL.run_log_by_table(_log(spark, root), _PIPE, _CAT, "merchants")
+
+
+# --- ties, late batches, committed marts, page defaults ----------------------
+
+
+@register("scd2_ties")
+def q_scd2_ties(spark, root):
+    """SCD2 where most changes of a key share their sequence (the day): the
+    last by value counts, whatever order the rows come in (E4, G2)."""
+    days = read_table(spark, root, "events").select("user_id", F.col("ts").cast("date").alias("day"), "event_type")
+    return scd2(days, ["user_id"], "day")
+
+
+@register("scd2_stream_one_batch")
+def q_scd2_stream_one_batch(spark, root):
+    """Users streamed with the reference's own sequence, the ingestion time: a
+    whole batch ties, so each key has one version, its greatest row (G2, E4)."""
+    work = fresh_dir(spark, "scd2-batch-stream")
+    cfg = ST.land_and_ingest(spark, fx.raw_users(spark, root), "users", work, files=1)
+    history = read_current(spark, ST.silver(spark, "users", cfg.target_table, work, "ingestion_at", max_files_per_trigger=None))
+    return history.drop("__START_AT")
+
+
+@register("scd2_merchants_stream")
+def q_scd2_merchants_stream(spark, root):
+    work = fresh_dir(spark, "scd2-merchants-stream")
+    return read_current(spark, ST.run_feed(spark, fx.raw_merchants(spark, root), "merchants", work))
+
+
+@register("scd1_stream_out_of_order")
+def q_scd1_stream_out_of_order(spark, root):
+    """Newer transactions land first; a transaction's earlier state, derived
+    from the same row, lands last and must not win (G1, G3)."""
+    work = fresh_dir(spark, "scd1-ooo-stream")
+    raw = fx.raw_transactions(spark, root)
+    older = raw.withColumn("status", F.lit("Pendiente")).withColumn("ingestion_at", F.expr("ingestion_at - INTERVAL '1' DAY"))
+    both = raw.withColumn("late", F.lit(0)).unionByName(older.withColumn("late", F.lit(1)))
+    target = ST.run_feed(spark, both, "transactions", work, ST.landing_files(raw), order=[F.col("late") == 0, F.col("late") == 1])
+    return read_current(spark, target)
+
+
+def _gold_of_stream(spark, root, feed, raw, build):
+    target = ST.run_feed(spark, raw, feed, fresh_dir(spark, f"gold-{feed}-stream"))
+    return build(spark.read.parquet(write_snapshot(spark, target)))
+
+
+@register("gold_users_stream")
+def q_gold_users_stream(spark, root):
+    return _gold_of_stream(spark, root, "users", fx.raw_users(spark, root), G.gold_users)
+
+
+@register("gold_merchants_stream")
+def q_gold_merchants_stream(spark, root):
+    return _gold_of_stream(spark, root, "merchants", fx.raw_merchants(spark, root), G.gold_merchants)
+
+
+@register("published_users")
+def q_published_users(spark, root):
+    """Silver users as published, partitioned by country."""
+    path = fresh_dir(spark, "published-users")
+    publish_partitioned(_stored(spark, root)["silver_users"], path, SILVER_LAYOUT["users"])
+    return spark.read.parquet(path)
+
+
+@register("published_transactions")
+def q_published_transactions(spark, root):
+    """Silver transactions as published, partitioned by date."""
+    path = fresh_dir(spark, "published-transactions")
+    publish_partitioned(_stored(spark, root)["silver_transactions"], path, SILVER_LAYOUT["transactions"])
+    return spark.read.parquet(path)
+
+
+@register("committed_fact")
+def q_committed_fact(spark, root):
+    """Contents of the fact as committed by a refresh."""
+    g_tx, g_users, g_merchants = _stored_gold(spark, root)
+    path = fresh_dir(spark, "marts-fact")
+    refresh(spark, {"gold_transactions": g_tx, "gold_users": g_users, "gold_merchants": g_merchants}, path, ["fact_transactions"]).collect()
+    return read_mart(spark, path, "fact_transactions")
+
+
+@register("ingest_config_stream")
+def q_ingest_config_stream(spark, root):
+    """Bronze tables of the feeds that the config lists as active (A1, A3-A5):
+    remembered schema, a quoted line break, a partition column, and the folder
+    of the source file. Transactions are listed but inactive."""
+    work = fresh_dir(spark, "ingest-config")
+    raws = _raws(spark, root)
+    broken = raws["users"].withColumn("full_name", F.concat(F.lit("Sr.\n"), "full_name"))
+    config = ST.write_config(spark, work, {"users": ("country", True), "merchants": (None, False), "transactions": (None, False)}, active=("users", "merchants"))
+    for feed, raw in (("users", broken), ("merchants", raws["merchants"]), ("transactions", raws["transactions"])):
+        ST.land(raw, feed, f"{work}/landing/{feed}", ST.landing_files(raws[feed]))
+    tables = ST.run_ingest(spark, config, work)
+    parts = []
+    for feed, cfg in tables.items():
+        key, name = {"users": ("user_id", "full_name"), "merchants": ("merchant_id", "merchant_name")}[feed]
+        parts.append(spark.read.parquet(cfg.target_table).select(
+            F.lit(feed).alias("feed"), F.col(key).alias("id"), F.col(name).alias("name"), "country",
+            F.col("source_file").rlike("^part-.*[.]csv$").alias("from_file"), F.col("ingestion_at").isNotNull().alias("timed")))
+    return parts[0].unionByName(parts[1])
+
+
+@register("dash_rate_by_table_page")
+def q_dash_rate_by_table_page(spark, root):
+    """D6 under the page's default layer."""
+    rates = RL.run_log_rates(_log(spark, root), _PIPE, _CAT)
+    return RL.dash_rate_by_table(rates.where(F.col("layer") == RL.DEFAULT_LAYER))
+
+
+def _page_expectations(spark, root):
+    e = RL.run_log_expectations(_log(spark, root), _PIPE, _CAT)
+    return e.where(F.col("processing_date") == F.lit(RL.DEFAULT_EXPECTATION_DATE))
+
+
+@register("dash_rejected_by_rule_page")
+def q_dash_rejected_by_rule_page(spark, root):
+    """D7 under the page's default date."""
+    return RL.dash_rejected_by_rule(_page_expectations(spark, root), _EXP_TABLE)
+
+
+@register("dash_rate_month_page")
+def q_dash_rate_month_page(spark, root):
+    """D8 and D9 under the page's default date."""
+    e = _page_expectations(spark, root)
+    return RL.dash_max_rate_month(e, _EXP_TABLE).join(RL.dash_avg_rate_month(e, _EXP_TABLE), "month")
+
+
+@register("quarantine_reference")
+def q_quarantine_reference(spark, root):
+    """The reference's null policy and slot trail."""
+    parts = [quarantine_records(silver.validated(raw, feed, "reference", "slots"), silver.PAYLOAD_COLUMNS[feed]).select("payload", "rejected_by")
+             for feed, raw in _raws(spark, root).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,10 +130,12 @@ def remembered_schema(spark: SparkSession, cfg: FeedConfig) -> T.StructType:
     if cfg.schema_location:
         try:
             text = spark.read.text(cfg.schema_location).first()
-            if text is not None:
-                return T.StructType.fromJson(json.loads(text[0]))
-        except Exception:  # noqa: BLE001 - nothing stored yet
-            pass
+        except AnalysisException as e:  # nothing stored yet; any other failure is an error
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            text = None
+        if text is not None:
+            return T.StructType.fromJson(json.loads(text[0]))
     header = (spark.read.option("sep", cfg.delimiter).option("header", "true")
               .option("multiLine", str(bool(cfg.multiline)).lower()).csv(cfg.source_path).schema)
     schema = T.StructType([T.StructField(f.name, T.StringType()) for f in header]

@@ -11,9 +11,8 @@ All feed columns are strings, as landed from delimited files.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paylake.sources.tables import read_table
 
@@ -23,41 +22,50 @@ SELECT CAST(seq AS INT) AS seq, concat('U', CAST(c_custkey AS STRING)) AS user_i
  CASE WHEN c_custkey % 37 = 0 THEN 'bad.mail' ELSE concat('c', CAST(c_custkey AS STRING), '@mail.com') END AS email,
  concat('+51', lpad(CAST(c_custkey AS STRING), 9, '0')) AS phone,
  CASE WHEN c_custkey % 53 = 0 THEN 'br' WHEN c_nationkey % 5 = 0 THEN 'pe' WHEN c_nationkey % 5 = 1 THEN 'Co' WHEN c_nationkey % 5 = 2 THEN 'MX' WHEN c_nationkey % 5 = 3 THEN 'cl' ELSE 'AR' END AS country,
- CASE WHEN c_custkey % 43 = 0 THEN 'vip' WHEN seq = 1 AND c_custkey % 2 = 0 THEN 'PREMIUM' WHEN c_mktsegment = 'BUILDING' THEN ' Premium ' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'ESTANDAR' WHEN c_mktsegment = 'HOUSEHOLD' THEN CAST(NULL AS STRING) ELSE 'nuevo' END AS segment,
+ CASE WHEN alt = 1 THEN 'ESTANDAR' WHEN c_custkey % 43 = 0 THEN 'vip' WHEN seq = 1 AND c_custkey % 2 = 0 THEN 'PREMIUM' WHEN c_mktsegment = 'BUILDING' THEN ' Premium ' WHEN c_mktsegment = 'AUTOMOBILE' THEN 'ESTANDAR' WHEN c_mktsegment = 'HOUSEHOLD' THEN CAST(NULL AS STRING) ELSE 'nuevo' END AS segment,
  CASE WHEN c_custkey % 2 = 0 THEN concat(lpad(CAST(1 + c_custkey % 28 AS STRING),2,'0'),'/',lpad(CAST(1 + c_custkey % 12 AS STRING),2,'0'),'/',CAST(2018 + c_custkey % 6 AS STRING))
       ELSE concat(CAST(2018 + c_custkey % 6 AS STRING),'-',lpad(CAST(1 + c_custkey % 12 AS STRING),2,'0'),'-',lpad(CAST(1 + c_custkey % 28 AS STRING),2,'0')) END AS registration_date
-FROM (SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 0 AS seq FROM {customer}
+FROM (SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 0 AS seq, 0 AS alt FROM {customer}
+      UNION ALL
+      SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 1 AS seq, 0 AS alt FROM {customer} WHERE c_custkey % 10 < 4
       UNION ALL
-      SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 1 AS seq FROM {customer} WHERE c_custkey % 10 < 4) c
+      SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 1 AS seq, 1 AS alt FROM {customer} WHERE c_custkey % 20 = 2) c
 """
 
 RAW_MERCHANTS = """
-SELECT 0 AS seq, concat('M', CAST(s_suppkey AS STRING)) AS merchant_id, s_name AS merchant_name,
+SELECT CAST(seq AS INT) AS seq, concat('M', CAST(s_suppkey AS STRING)) AS merchant_id, s_name AS merchant_name,
  CASE s_suppkey % 6 WHEN 0 THEN 'Retail' WHEN 1 THEN 'MODA' WHEN 2 THEN 'salud' WHEN 3 THEN 'restaurante' WHEN 4 THEN 'Farmacia' ELSE 'transporte' END AS category,
  CASE WHEN s_nationkey % 5 = 0 THEN 'pe' WHEN s_nationkey % 5 = 1 THEN 'Co' WHEN s_nationkey % 5 = 2 THEN 'MX' WHEN s_nationkey % 5 = 3 THEN 'cl' ELSE 'AR' END AS country,
  concat(CAST(2022 + s_suppkey % 2 AS STRING),'-',lpad(CAST(1 + s_suppkey % 12 AS STRING),2,'0'),'-',lpad(CAST(1 + s_suppkey % 28 AS STRING),2,'0')) AS affiliation_date,
- CASE WHEN s_suppkey % 19 = 7 THEN 'cerrado' WHEN s_suppkey % 3 = 0 THEN 'ACTIVO' WHEN s_suppkey % 3 = 1 THEN 'inactivo' ELSE 'suspendido' END AS status,
- CASE s_suppkey % 4 WHEN 0 THEN 'ALTO' WHEN 1 THEN 'medio' WHEN 2 THEN 'Bajo' ELSE CAST(NULL AS STRING) END AS risk_level
-FROM {supplier}
+ CASE WHEN s_suppkey % 19 = 7 THEN 'cerrado' WHEN seq = 1 THEN 'suspendido' WHEN seq = 2 OR s_suppkey % 3 = 0 THEN 'ACTIVO' WHEN s_suppkey % 3 = 1 THEN 'inactivo' ELSE 'suspendido' END AS status,
+ CASE (s_suppkey + alt) % 4 WHEN 0 THEN 'ALTO' WHEN 1 THEN 'medio' WHEN 2 THEN 'Bajo' ELSE CAST(NULL AS STRING) END AS risk_level
+FROM (SELECT s_suppkey, s_name, s_nationkey, 0 AS seq, 0 AS alt FROM {supplier}
+      UNION ALL
+      SELECT s_suppkey, s_name, s_nationkey, 1 AS seq, 0 AS alt FROM {supplier} WHERE s_suppkey % 2 = 0
+      UNION ALL
+      SELECT s_suppkey, s_name, s_nationkey, 2 AS seq, 0 AS alt FROM {supplier} WHERE s_suppkey % 3 = 0
+      UNION ALL
+      SELECT s_suppkey, s_name, s_nationkey, 1 AS seq, 1 AS alt FROM {supplier} WHERE s_suppkey % 4 = 0) s
 """
 
 RAW_TRANSACTIONS = """
 WITH raw_tx0 AS (
- SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_returnflag, l_linestatus, l_shipdate, o_custkey,
+ SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 4 = 0 THEN l_orderkey % 7 ELSE l_suppkey END AS l_suppkey, l_partkey, l_returnflag, l_linestatus,
+  CASE WHEN l_orderkey % 4 = 0 THEN o_orderdate ELSE l_shipdate END AS l_paid, l_shipdate, o_custkey,
   CAST(l_extendedprice AS DECIMAL(10,2)) AS p, CAST(floor(l_extendedprice) AS INT) AS w
  FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 )
 SELECT concat('T', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS transaction_id,
  concat('U', CAST(o_custkey AS STRING)) AS user_id, concat('M', CAST(l_suppkey AS STRING)) AS merchant_id,
- CASE WHEN l_partkey % 59 = 0 THEN 'kiosk' WHEN l_linenumber % 3 = 0 THEN 'APP' WHEN l_linenumber % 3 = 1 THEN 'web' ELSE 'Pos' END AS channel,
+ CASE WHEN l_partkey % 59 = 0 THEN 'kiosk' WHEN l_orderkey % 4 = 0 THEN 'web' WHEN l_linenumber % 3 = 0 THEN 'APP' WHEN l_linenumber % 3 = 1 THEN 'web' ELSE 'Pos' END AS channel,
  CASE l_returnflag WHEN 'R' THEN 'Reversa' WHEN 'N' THEN 'pago' ELSE 'RETIRO' END AS transaction_type,
  CASE WHEN l_partkey % 61 = 0 THEN '' WHEN l_partkey % 67 = 0 THEN concat('-', CAST(p AS STRING)) WHEN l_partkey % 3 = 0 THEN CAST(p AS STRING)
       WHEN l_partkey % 3 = 1 OR w < 1000 THEN replace(CAST(p AS STRING), '.', ',')
       ELSE concat(CAST(CAST(floor(w / 1000) AS INT) AS STRING), '.', lpad(CAST(w % 1000 AS STRING), 3, '0'), ',', right(CAST(p AS STRING), 2)) END AS amount,
  CASE WHEN l_partkey % 47 = 0 THEN 'EUR' WHEN l_partkey % 101 = 0 THEN CAST(NULL AS STRING)
       ELSE CASE l_partkey % 8 WHEN 0 THEN 'PEN' WHEN 1 THEN 'sol' WHEN 2 THEN 'US$' WHEN 3 THEN 'usd' WHEN 4 THEN 'COP' WHEN 5 THEN 'mxn' WHEN 6 THEN 'CLP' ELSE 'ARS' END END AS currency,
- CASE WHEN l_partkey % 2 = 0 THEN concat(lpad(CAST(day(l_shipdate) AS STRING),2,'0'),'/',lpad(CAST(month(l_shipdate) AS STRING),2,'0'),'/',CAST(year(l_shipdate)+23 AS STRING))
-      ELSE concat(CAST(year(l_shipdate)+23 AS STRING),'-',lpad(CAST(month(l_shipdate) AS STRING),2,'0'),'-',lpad(CAST(day(l_shipdate) AS STRING),2,'0')) END AS transaction_date,
+ CASE WHEN l_partkey % 2 = 0 THEN concat(lpad(CAST(day(l_paid) AS STRING),2,'0'),'/',lpad(CAST(month(l_paid) AS STRING),2,'0'),'/',CAST(year(l_paid)+23 AS STRING))
+      ELSE concat(CAST(year(l_paid)+23 AS STRING),'-',lpad(CAST(month(l_paid) AS STRING),2,'0'),'-',lpad(CAST(day(l_paid) AS STRING),2,'0')) END AS transaction_date,
  CASE WHEN l_partkey % 10 = 9 THEN 'Pendiente' WHEN l_linestatus = 'O' THEN 'APROBADO' ELSE 'rechazado' END AS status,
  CASE WHEN l_partkey % 71 = 0 THEN (CASE WHEN l_returnflag = 'R' THEN CAST(NULL AS STRING) ELSE 'REF-X' END) WHEN l_returnflag = 'R' THEN concat('T', CAST(l_orderkey AS STRING), '-0') END AS reference_id,
  l_shipdate AS ingestion_at
@@ -65,7 +73,7 @@ FROM raw_tx0
 """
 
 RAW_RUN_LOG = """
-SELECT event_id, ts AS timestamp, CASE WHEN event_type IN ('click','view','purchase') THEN 'flow_progress' ELSE 'update_progress' END AS event_type,
+SELECT event_id, ts + INTERVAL '1' DAY * CAST(785 + event_id % 120 AS INT) AS timestamp, CASE WHEN event_type IN ('click','view','purchase') THEN 'flow_progress' ELSE 'update_progress' END AS event_type,
  'payments_etl' AS pipeline_name,
  CASE WHEN user_id % 5 = 4 THEN 'lake.silver.quarantine' WHEN user_id % 5 = 0 THEN 'lake.silver.transactions' WHEN user_id % 5 = 1 THEN 'lake.silver.users' WHEN user_id % 5 = 2 THEN 'lake.silver.merchants' ELSE 'lake.bronze.transactions' END AS flow_name,
  CASE WHEN event_id % 4 = 0 THEN 'Running batch' ELSE concat('Completed batch ', CAST(event_id AS STRING)) END AS message,
@@ -98,26 +106,38 @@ def raw_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.sql(text, **frames)
 
 
-# (application, root, view) -> folder of the landed copy
-_LANDED: dict[tuple[str, str, str], str] = {}
+# (application, root, view, state of its sources) -> folder of the landed copy
+_LANDED: dict[tuple, str] = {}
+LANDED_FILE_BYTES = 128 << 20
+
+
+def _source_state(spark: SparkSession, root: str, table: str) -> tuple:
+    """(files, bytes, newest change) of a stored table."""
+    files = read_table(spark, root, table).select(
+        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n"),
+        F.col("_metadata.file_modification_time").cast("string").alias("t")).distinct()
+    return tuple(files.agg(F.count("f"), F.sum("n"), F.max("t")).first())
 
 
 def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The derived feed as a landed bronze table: written once per session
-    into the shared work folder, then read like any Parquet table.
+    and set of source files into the shared work folder, then read like any
+    Parquet table.
 
     Feeds arrive as stored text, not as expressions over other tables; reading
     them from storage keeps the fixture's derivation out of every silver plan
     (Catalyst would otherwise inline it into each pushed-down rule filter).
+    The number of files follows the size of the sources, and at least every
+    core gets a share.
     """
     from paylake.session import fresh_dir
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(root), name)
+    sources = tuple(_source_state(spark, root, t) for t in VIEWS[name][1])
+    key = (spark.sparkContext.applicationId, root, name, sources)
     path = _LANDED.get(key)
     if path is None:
         path = fresh_dir(spark, f"landed-{name}")
-        # enough files that every core gets a share of each scan
-        files = max(2 * spark.sparkContext.defaultParallelism, 8)
+        files = max(2 * spark.sparkContext.defaultParallelism, sum(n or 0 for _, n, _ in sources) // LANDED_FILE_BYTES)
         raw_view(spark, root, name).repartition(files).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(path)
@@ -137,8 +157,6 @@ def raw_transactions(spark, root):
 
 def raw_run_log(spark: SparkSession, root: str) -> DataFrame:
     """Run log with ``origin`` as a struct, the shape the log queries read."""
-    from pyspark.sql import functions as F
-
     df = landed_view(spark, root, "raw_run_log")
     return df.select(
         "event_id", "timestamp", "event_type",

@@ -1,6 +1,6 @@
 """Table sinks on shared storage.
 
-Only plain Parquet and Spark's own writers are used: appends, dynamic
+Only plain Parquet and Spark's own writers are used: dynamic
 partition overwrite (so a replayed micro-batch rewrites exactly the
 partitions it owns), and versioned directories with an append-only manifest
 as the commit point of a refresh.
@@ -9,7 +9,9 @@ as the commit point of a refresh.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,18 +25,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by) -> None:
      .parquet(path))
 
 
-def append(df: DataFrame, path: str, partition_by=()) -> None:
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a Parquet table, or an empty frame if nothing was written yet."""
+    """Read a Parquet table, or an empty frame if nothing was written yet. Any
+    other failure of the storage is an error."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - missing path
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -65,7 +63,9 @@ def next_version(spark: SparkSession, root: str, mart: str) -> int:
 
 
 def version_path(root: str, mart: str, version: int) -> str:
-    return f"{root}/{mart}/v{version:06d}"
+    """A folder of its own for every attempt, so that a refresh that failed
+    before its commit can be run again."""
+    return f"{root}/{mart}/v{version:06d}-{uuid.uuid4().hex[:8]}"
 
 
 def commit_versions(spark: SparkSession, root: str, written: dict[str, tuple[int, str]]) -> None:
@@ -104,6 +104,7 @@ def publish_partitioned(df: DataFrame, path: str, column: str) -> None:
     """
     (df.hint("rebalance", column)
      .write.mode("overwrite")
+     .option("partitionOverwriteMode", "static")  # the whole table, whatever the session says
      .partitionBy(column)
      .parquet(path))
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from paylake.operators.cdc import END_AT, START_AT, scd2
-from paylake.operators.joins import salted_join
+from paylake.operators.joins import hot_keys, salted_join
 from paylake.plans import gold as G
 from paylake.plans import marts as M
 from paylake.plans import silver
@@ -45,15 +45,57 @@ def test_scd2_intervals_do_not_overlap_or_gap(spark):
     assert same.count() == 0
 
 
-def test_chunked_scd2_equals_single_window(spark):
-    """Chunks must be contiguous ranges of the sequence (hour, day, constant)."""
+def test_split_histories_equal_single_window(spark):
+    """Hot keys are split by sequence ranges; the result is the same."""
     ev = read_table(spark, SF_SMALL, "events").select("user_id", "ts", "event_id", "event_type")
-    single = scd2(ev, ["user_id"], "ts", tiebreak=["event_id"])
-    for label, chunk in (("hour", F.date_trunc("hour", "ts")), ("day", F.date_trunc("day", "ts")),
-                         ("one", F.lit(0))):
-        chunked = scd2(ev, ["user_id"], "ts", tiebreak=["event_id"], chunk=chunk)
-        assert single.exceptAll(chunked).count() == 0, label
-        assert chunked.exceptAll(single).count() == 0, label
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(7)).otherwise(F.col("user_id")))  # one holds a third
+    days = ev.withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    for rows, tie in ((ev, ["event_id"]), (days, ["event_id"]), (days.drop("event_id"), [])):
+        single = scd2(rows, ["user_id"], "ts", tiebreak=tie, hot_rows=None)
+        for hot in (100, 20):
+            split = scd2(rows, ["user_id"], "ts", tiebreak=tie, hot_rows=hot)
+            assert single.exceptAll(split).count() == 0, (tie, hot)
+            assert split.exceptAll(single).count() == 0, (tie, hot)
+
+
+def test_split_history_bounds_the_rows_of_a_task(spark):
+    """No (key, range) holds more than a few times its share of a hot key."""
+    ev = read_table(spark, SF_SMALL, "events").select(F.lit(1).alias("k"), "ts", F.col("event_id").cast("string").alias("v"))
+    df = scd2(ev, ["k"], "ts", hot_rows=100)
+    assert df.count() == ev.count()
+    chunks = ev.agg(F.percentile_approx("ts", [i / 10 for i in range(1, 10)], 10_000).alias("c")).crossJoin(ev).groupBy(
+        F.size(F.filter("c", lambda c: c < F.col("ts")))).count()
+    assert chunks.agg(F.max("count")).first()[0] <= 2 * ev.count() / 10
+
+
+def test_scd2_does_not_depend_on_input_order(spark):
+    rows = [("k", s, v) for s, v in [(1, "a"), (1, "b"), (1, "a"), (2, "b"), (2, "b"), (3, None), (3, "c"), (4, "c"), (5, "a")]]
+    want = [("b", 1, 3), ("c", 3, 5), ("a", 5, None)]
+    import random
+
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        for hot in (None, 2):
+            df = scd2(spark.createDataFrame(rows, "k string, s int, v string").repartition(1 + seed), ["k"], "s", hot_rows=hot)
+            assert sorted(((r["v"], r[START_AT], r[END_AT]) for r in df.collect()), key=lambda x: x[1]) == want
+
+
+def test_keys_span_batches_and_facts_have_several_rows(spark):
+    from paylake.plans import streams as ST
+    from paylake.session import fresh_dir
+
+    work = fresh_dir(spark, "t-span")
+    target = ST.run_feed(spark, _raws(spark, SF_SMALL)["users"], "users", work)
+    log = spark.read.parquet(target.changes_path)
+    assert log.groupBy("user_id").agg(F.countDistinct("batch_id").alias("n")).where("n > 1").count() > 0
+    fact = M.fact_transactions(*_dims(spark, SF_SMALL), merchants_bounded=True, users_bounded=True)
+    assert fact.agg(F.max("transaction_count")).first()[0] > 1
+
+
+def test_calendar_ignores_impossible_years(spark):
+    tx = spark.createDataFrame([("0001-01-01",), ("2025-02-03",)], "d string").select(F.to_date("d").alias("transaction_date"))
+    days = M.dim_date(tx).agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    assert tuple(days) == ("2018-01-01", "2025-02-03")
 
 
 def test_salted_join_equals_plain_join(spark):
@@ -61,9 +103,10 @@ def test_salted_join_equals_plain_join(spark):
     fact = g_tx.select("transaction_id", "user_id", "merchant_id", "PK_Tiempo")
     users = d_user.select("user_id", "user_risk_level")
     plain = fact.join(users, "user_id", "inner")
-    # a fraction this small makes most users "hot", so the salted path is exercised
-    salted = salted_join(fact, users, ["user_id"], hot_fraction=1e-4, salts=8,
-                         salt_by=["transaction_id", "merchant_id", "PK_Tiempo"])
+    # bounds this small make many users hot, with several salts each
+    hot = hot_keys(fact, "user_id", fraction=1e-4, rows_per_salt=5)
+    assert hot.agg(F.max("_salts")).first()[0] > 1
+    salted = salted_join(fact, users, "user_id", hot, salt_by=["transaction_id", "merchant_id", "PK_Tiempo"])
     assert plain.count() == salted.count()
     assert plain.exceptAll(salted.select(*plain.columns)).count() == 0
 
@@ -90,8 +133,7 @@ def test_gold_has_one_row_per_key(spark):
 def test_fact_same_with_broadcast_or_salted_dimensions(spark):
     g_tx, d_user, d_merchant = _dims(spark, SF_SMALL)
     broadcast = M.fact_transactions(g_tx, d_user, d_merchant, merchants_bounded=True, users_bounded=True)
-    # at sf0.001 nearly every key holds >= 1/1000 of the rows, so both joins salt
-    salted = M.fact_transactions(g_tx, d_user, d_merchant)
+    salted = M.fact_transactions(g_tx, d_user, d_merchant, rows_per_salt=5)
     assert broadcast.count() == salted.count()
     assert broadcast.exceptAll(salted.select(*broadcast.columns)).count() == 0
 

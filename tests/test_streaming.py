@@ -18,8 +18,7 @@ from paylake.streaming.silver import SilverBatchWriter, SilverTarget, read_curre
 def test_rerun_from_checkpoint_adds_nothing(spark):
     work = fresh_dir(spark, "t-rerun")
     landing = f"{work}/landing/transactions"
-    ST.land(_raws(spark, SF_SMALL)["transactions"], "transactions", landing,
-            F.pmod(F.crc32("transaction_id"), F.lit(3)), 3)
+    ST.land(_raws(spark, SF_SMALL)["transactions"], "transactions", landing, 3)
     cfg = ST.ingest(spark, "transactions", landing, work)
     first = spark.read.parquet(cfg.target_table).count()
     ST.ingest(spark, "transactions", landing, work)  # same checkpoint: no new files
@@ -39,9 +38,9 @@ def _replay_counts(spark, feed, seq_type, batch_id=7):
     batch = (ST.as_landed(_raws(spark, SF_SMALL)[feed], feed)
              .withColumn("ingestion_at", F.current_timestamp()).withColumn("source_file", F.lit("f1")))
     target = SilverTarget(feed=feed, root=f"{work}/silver", quarantine_path=f"{work}/q",
-                          sequence_by="seq", sequence_type=seq_type)
+                          sequence_by="seq", sequence_type=seq_type, run_log_path=f"{work}/log")
     writer = SilverBatchWriter(target)
-    tables = [target.quarantine_path, target.current_path] + ([target.changes_path] if feed == "users" else [])
+    tables = [target.quarantine_path, target.changes_path, target.run_log_path]
     out = []
     for _ in range(2):  # the second call replays the same batch id
         writer(batch, batch_id)
@@ -89,7 +88,7 @@ def test_schema_is_remembered(spark):
 
     work = fresh_dir(spark, "t-schema")
     landing = f"{work}/landing"
-    land(_raws(spark, SF_SMALL)["merchants"], "merchants", landing, F.lit(0), 1)
+    land(_raws(spark, SF_SMALL)["merchants"], "merchants", landing, 1)
     cfg = feed_config("merchants", landing, f"{work}/bronze")
     from dataclasses import replace
 
@@ -138,7 +137,7 @@ def test_bronze_partitioned_by_config_column(spark):
     work = fresh_dir(spark, "t-bronze-part")
     landing = f"{work}/landing"
     raw = _raws(spark, SF_SMALL)["users"]
-    land(raw, "users", landing, F.pmod(F.crc32("user_id"), F.lit(2)), 2)
+    land(raw, "users", landing, 2)
     cfg = replace(feed_config("users", landing, f"{work}/bronze"), partition_by="country")
     start_bronze(spark, cfg, f"{work}/_chk", extra_columns=("seq",)).awaitTermination()
     bronze = spark.read.parquet(cfg.target_table)
@@ -167,3 +166,60 @@ def test_late_change_revives_dropped_noop(spark):
     writer(batch([("premium", 15)]), 1)
     got = sorted((r["segment"], r["__START_AT"], r["__END_AT"]) for r in read_current(spark, target).collect())
     assert got == [("nuevo", 10, 15), ("nuevo", 20, None), ("premium", 15, 20)]
+
+
+def test_batch_that_died_midway_is_made_good_by_its_replay(spark, monkeypatch):
+    """A crash after the change log was written, before the run log: the
+    replay gives the same tables as an undisturbed run."""
+    work = fresh_dir(spark, "t-crash")
+    raw = _raws(spark, SF_SMALL)["transactions"]
+    batch = (ST.as_landed(raw, "transactions").withColumn("ingestion_at", F.current_timestamp())
+             .withColumn("source_file", F.lit("f1")))
+
+    def target(name):
+        return SilverTarget(feed="transactions", root=f"{work}/{name}", quarantine_path=f"{work}/{name}-q", sequence_by="seq",
+                            sequence_type="timestamp_ntz", run_log_path=f"{work}/{name}-log")
+
+    calm, hit = target("calm"), target("hit")
+    half = F.pmod(F.crc32("transaction_id"), F.lit(2))
+    for n in (0, 1):
+        SilverBatchWriter(calm)(batch.where(half == n), n)
+    SilverBatchWriter(hit)(batch.where(half == 0), 0)
+    writer = SilverBatchWriter(hit)
+    monkeypatch.setattr(writer, "_log_progress", lambda *a: (_ for _ in ()).throw(RuntimeError("executor lost")))
+    with pytest.raises(RuntimeError):
+        writer(batch.where(half == 1), 1)
+    SilverBatchWriter(hit)(batch.where(half == 1), 1)
+    a, b = read_current(spark, calm), read_current(spark, hit)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
+    assert spark.read.parquet(hit.run_log_path).select("event_id").distinct().count() == spark.read.parquet(hit.run_log_path).count() == 2
+
+
+def test_storage_failures_are_errors(spark):
+    from paylake.sources.sinks import MANIFEST_SCHEMA, read_or_empty
+
+    assert read_or_empty(spark, fresh_dir(spark, "t-none"), MANIFEST_SCHEMA).count() == 0
+    with pytest.raises(Exception):
+        read_or_empty(spark, "nosuchfs://x/y", MANIFEST_SCHEMA).count()
+
+
+def test_failed_refresh_can_be_run_again(spark, monkeypatch):
+    from paylake.plans import refresh as R
+    from paylake.registry import _stored_gold
+
+    gold = dict(zip(("gold_transactions", "gold_users", "gold_merchants"), _stored_gold(spark, SF_SMALL)))
+    root = fresh_dir(spark, "t-refresh-fails")
+    with monkeypatch.context() as m:
+        m.setattr(R.sinks, "commit_versions", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError):
+            R.refresh(spark, gold, root, ["dim_channel"])
+    assert [r["version"] for r in R.refresh(spark, gold, root, ["dim_channel"]).collect()] == [0]
+
+
+def test_published_table_is_overwritten_whole(spark):
+    from paylake.sources.sinks import publish_partitioned
+
+    path = fresh_dir(spark, "t-overwrite")
+    for day in ("2020-01-01", "2020-01-02"):  # the row moves to another partition
+        publish_partitioned(spark.createDataFrame([("T1", day)], "id string, day string"), path, "day")
+    assert spark.read.parquet(path).count() == 1
