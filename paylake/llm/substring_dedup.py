@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm import words as W
-from paylake.llm.common import partitions, stored
+from paylake.llm.common import partitions, ship, stored
 
 _LAST_ID = (1 << 63) - 1
 _SLICE = 1 << 20
@@ -381,14 +381,15 @@ def substring_dedup(docs: DataFrame, min_words: int = 20, chunk_bytes: int = 8 <
     of chunks and hash ranges follows the input.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST_ID)).alias("order_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     stat = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     n, total = stat["n"], stat["bytes"] or 0
     parts = partitions(spark)
-    chunks = max(1, min(n, max(2 * parts, total // chunk_bytes)))
+    chunks = max(1, min(n, max(parts, total // chunk_bytes)))
     estimate = max(1, total // 5)  # windows; only sizes depend on it
-    buckets = max(1, min(max(4 * parts, estimate // range_hashes), estimate))
+    buckets = max(1, min(max(parts, estimate // range_hashes), estimate))
     bits = min(64, math.ceil(math.log2(estimate + 1)) + 12)
     if chunks > 1:
         cuts = [i / chunks for i in range(1, chunks)]
