@@ -49,11 +49,11 @@ def repeated_chunks(docs: DataFrame, mean_lines: int = 3, min_lines: int = 2) ->
     chunks = chunks.select("doc_id", "text_id", F.col("c.start").alias("start"), F.col("c.n").alias("n"), F.col("c.body").alias("body"))
     chunks = chunks.withColumn("key", F.xxhash64("body"))
     keys = stored(chunks.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "chunk-keys")
-    found = stored(chunks.join(keys, "key", "left_semi"), "chunks")
+    found = stored(chunks.join(keys.hint("merge"), "key", "left_semi"), "chunks")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start"))
     firsts = found.groupBy("key", "body").agg(first.alias("first"), F.count("*").alias("times")).where("times > 1")
     later = ~(found["doc_id"].eqNullSafe(F.col("first.doc_id")) & (found["start"] == F.col("first.start")))
-    return found.join(firsts, ["key", "body"]).where(later).select("doc_id", "text_id", "start", "n")
+    return found.join(firsts.hint("merge"), ["key", "body"]).where(later).select("doc_id", "text_id", "start", "n")
 
 
 def line_dedup(docs: DataFrame, mean_lines: int = 3, min_lines: int = 2, with_text: bool = False) -> DataFrame:
@@ -64,7 +64,7 @@ def line_dedup(docs: DataFrame, mean_lines: int = 3, min_lines: int = 2, with_te
         F.sort_array(F.collect_list(F.struct("start", "n"))).alias("gone"))
     gone = gone.select(F.col("doc_id").alias("gone_doc"), F.col("text_id").alias("gone_text"), "gone")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).withColumn("text_id", F.xxhash64("text"))
-    rows = rows.join(gone, rows["doc_id"].eqNullSafe(F.col("gone_doc")) & (F.col("text_id") == F.col("gone_text")), "left")
+    rows = rows.join(gone.hint("merge"), rows["doc_id"].eqNullSafe(F.col("gone_doc")) & (F.col("text_id") == F.col("gone_text")), "left")
     rows = rows.withColumn("lines", F.split("text", "\n", -1))
     none = F.expr("cast(array() as array<struct<start:int,n:int>>)")
     rows = rows.withColumn("gone", F.coalesce("gone", none))
