@@ -4,7 +4,7 @@ A partition's distinct words (matches of the splitting pattern) become rows
 (word, position, token) of an in-process DuckDB. A recursive query joins
 neighbouring rows with the merge table and contracts each word's leftmost pair
 of least rank until no pair merges; decoding joins the ids with the vocabulary
-and aggregates the bytes in order of position. Words seen before in the same
+and aggregates the bytes in order of position. Words seen lately in the same
 Python worker are not encoded again.
 
 A word of over 512 bytes is contracted by the same step in a loop, one table
@@ -34,12 +34,12 @@ from pyspark.sql import types as T
 
 from paylake.llm import words as W
 from paylake.llm.common import ship
-from paylake.llm.segments import distinct_pieces
+from paylake.llm.segments import Recent, distinct_pieces
 
 _SLICE = 1 << 21
 _SHARE = 1 << 19
 _LONG = 512
-_KEEP_PIECES = 400_000
+_KEEP_PIECES = 250_000
 _MEMORY = "256MB"
 
 # One row (word, step, pos, id) per token, pos counting all bytes of the batch.
@@ -128,9 +128,7 @@ class Codec:
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
         self.db.unregister("v")
         self.names = [b"%d" % i for i in range(max(ranks.values()) + 1)]
-        self.pieces: dict[bytes, int] = {}
-        self.tokens: list[bytes] = []  # per piece its ids as 32-bit integers
-        self.shown: list[bytes] = []  # and as decimal text
+        self.known = Recent(_KEEP_PIECES)  # piece -> (ids as 32-bit integers, ids as decimal text)
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Ids of distinct words by the recursive query, a share at a time."""
@@ -174,22 +172,16 @@ class Codec:
         names = self.names
         for piece, ws in zip(pieces, split):
             tokens = ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]]
-            self.pieces[piece] = len(self.tokens)
-            self.tokens.append(array("i", tokens).tobytes())
-            self.shown.append(b" ".join([names[i] for i in tokens]))
+            self.known.new[piece] = (array("i", tokens).tobytes(), b" ".join([names[i] for i in tokens]))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(all ids, ids per row, per row its ids as text)."""
         pieces, order, per_row = distinct_pieces(texts)
-        if len(self.pieces) > _KEEP_PIECES:
-            self.pieces.clear()
-            self.tokens.clear()
-            self.shown.clear()
-        fresh = [p for p in pieces if p not in self.pieces]
+        fresh = self.known.missing(pieces)
         if fresh:
             self._learn(fresh)
-        at = [self.pieces[p] for p in pieces]
-        tokens = [self.tokens[i] for i in at]
+        found = self.known.values(pieces)
+        tokens = [x[0] for x in found]
         sizes = np.array([len(x) // 4 for x in tokens], np.int64)
         flat = np.frombuffer(b"".join(tokens), np.int32)
         first = np.concatenate(([0], np.cumsum(sizes)))
@@ -197,7 +189,7 @@ class Codec:
         ids = flat[W.ragged(first[order], each)] if len(order) else flat
         ends = np.cumsum(per_row)
         counts = np.diff(np.concatenate(([0], np.cumsum(each)))[np.concatenate(([0], ends))])
-        shown = np.array([*(self.shown[i] for i in at), b""], object)[order].tolist()
+        shown = np.array([*(x[1] for x in found), b""], object)[order].tolist()
         lines = [b" ".join(shown[a:b]) for a, b in zip((ends - per_row).tolist(), ends.tolist())]
         return ids, counts, lines
 

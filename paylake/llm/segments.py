@@ -42,3 +42,31 @@ def distinct_pieces(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarra
     coded = pc.dictionary_encode(pieces)
     per_row = np.diff(np.searchsorted(at, offs))
     return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), per_row
+
+
+class Recent:
+    """What is known of pieces, in two generations: when the new one is full it
+    becomes the old one, and pieces met again move over. So memory is bounded
+    and common pieces stay."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.new: dict[bytes, object] = {}
+        self.old: dict[bytes, object] = {}
+
+    def missing(self, pieces: list[bytes]) -> list[bytes]:
+        """The pieces that must be added before ``values`` is called."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        out = []
+        for p in pieces:
+            if p not in self.new:
+                known = self.old.get(p)
+                if known is None:
+                    out.append(p)
+                else:
+                    self.new[p] = known
+        return out
+
+    def values(self, pieces: list[bytes]) -> list:
+        return [self.new[p] for p in pieces]

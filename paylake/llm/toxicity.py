@@ -128,7 +128,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], words: np.ndarray, count
     y = np.array([r[0] for r in rows], float)
     prior = (y.sum() + 0.5) / (len(y) + 2)
     model = Model(words, np.zeros(len(words)), float(np.log(prior / (1 - prior))))
-    if not len(words) or y.min(initial=1) == y.max(initial=0):
+    if not len(words) or not 0 < y.sum() < len(y):
         return model
     n = len(y)
     size = np.array([len(r[1]) for r in rows])
