@@ -10,10 +10,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from paylake.session import build_session
 
-    s = build_session("local[*]", shuffle_partitions=8, app_name="paylake-tests")
+    s = build_session("local[*]", shuffle_partitions=8, app_name="paylake-tests",
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()
 

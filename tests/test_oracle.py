@@ -6,12 +6,21 @@ import __spark_entry__ as se
 from conftest import SF_SMALL
 from tools.check_oracle import rows_of
 
-ORACLES = se.oracle_sql()
-QUERIES = se.queries()
+from paylake.registry import QUERIES
+
+ORACLES = {k: v for k, v in se.oracle_sql().items() if k in QUERIES}
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(se.queries())
+
+
+def test_oracle_restates_its_values():
+    """The oracle takes the feeds' SQL from the package, but no operator."""
+    import checks.oracle as oracle
+
+    assert not [n for n in vars(oracle) if getattr(vars(oracle)[n], "__module__", "").startswith("paylake.operators")]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
