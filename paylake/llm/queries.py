@@ -38,24 +38,44 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-@register("op1_substring_dedup", """
+def _op1_sql(levels: int = 14) -> str:
+    """Windows of 20 words and, by the hash of two neighbours, of 40, 80, ..;
+    enough levels for texts of 300,000 words."""
+    doubled = "".join(f""", l{k} AS (
+  SELECT doc_id, i, md5(h || lead(h, {10 << k}) OVER w) AS h FROM l{k - 1} WINDOW w AS (PARTITION BY doc_id ORDER BY i) QUALIFY lead(h, {10 << k}) OVER w IS NOT NULL
+)""" for k in range(1, levels))
+    repeats = " UNION ALL ".join(
+        f"SELECT DISTINCT doc_id, {20 << k} AS longest FROM (SELECT doc_id FROM l{k} QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, i) > 1)"
+        for k in range(levels))
+    return f"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents
 ), words AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM w
 ), windows AS (
   SELECT doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS seq FROM words
+), l0 AS (
+  SELECT doc_id, i, md5(seq) AS h FROM windows WHERE i + 19 <= n
+){doubled}, repeats AS (
+  {repeats}
+  UNION ALL SELECT doc_id, len(ws) FROM (SELECT * FROM w WHERE len(ws) >= 20 QUALIFY row_number() OVER (PARTITION BY ws ORDER BY doc_id) > 1)
+), longest AS (
+  SELECT doc_id, max(longest) AS longest FROM repeats GROUP BY doc_id
 ), gone AS (
   SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i
   FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) AS nth FROM windows WHERE i + 19 <= n) WHERE nth > 1
 ), kept AS (
   SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS txt, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
 )
-SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
-FROM w LEFT JOIN kept USING (doc_id)
-""")
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256,
+       coalesce(longest, 0)::BIGINT AS longest_repeat
+FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN longest USING (doc_id)
+"""
+
+
+@register("op1_substring_dedup", _op1_sql())
 def op1_substring_dedup(spark, sf_dir):
-    return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return substring_dedup(table(spark, sf_dir, "documents"))
 
 
 @register("op2_bpe_round_trip")
