@@ -44,3 +44,35 @@ def test_reversal_rate_is_one_aggregate(spark):
     text = plan_text(registry.QUERIES["reversal_rate"](spark, SF_SMALL))
     # SCD1 of the transactions (partial + final) and the per-user counts (partial + final)
     assert text.count("Join") == 0
+
+
+def test_scd2_is_one_shuffle_on_ordinary_data(spark):
+    for name in ("scd2_users", "scd2_merchants", "scd2_ties"):
+        text = plan_text(registry.QUERIES[name](spark, SF_SMALL))
+        assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text, name
+
+
+def test_unbounded_fact_scans_gold_once_per_use(spark):
+    """The salted path reads the gold transactions for the rates and for the
+    fact; hot keys are found before, and no limit gathers rows in one task."""
+    from paylake.plans import marts as M
+    from paylake.registry import _dims
+
+    for options in ({}, {"rows_per_salt": 5}):
+        text = plan_text(M.risk_scored_transactions(*_dims(spark, SF_SMALL), **options))
+        assert "Limit" not in text and "Subquery" not in text
+        assert text.count("gold_transactions") <= 2, text.count("gold_transactions")
+
+
+def test_changed_source_is_seen(spark, tmp_path_factory):
+    """Landed feeds are kept by the state of their sources."""
+    import shutil
+
+    from paylake.sources import fixtures as fx
+
+    root = str(tmp_path_factory.mktemp("source"))
+    shutil.copy(f"{SF_SMALL}/supplier.parquet", f"{root}/supplier.parquet")
+    first = fx.raw_merchants(spark, root).count()
+    assert fx.raw_merchants(spark, root).inputFiles() == fx.raw_merchants(spark, root).inputFiles()
+    shutil.copy("/root/testdata/sf0.01/supplier.parquet", f"{root}/supplier.parquet")
+    assert fx.raw_merchants(spark, root).count() > first
