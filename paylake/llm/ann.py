@@ -5,7 +5,7 @@ indexed. A vector goes to its nearest centroid's posting list and, near a
 boundary, also to the lists of centroids hardly further away. A query finds
 its lists by best-first search in an in-memory neighbour graph of the
 centroids and keeps those whose distance is at most ``ratio`` times that of
-the nearest. The ratio is not guessed: it is the least one that finds
+the nearest (or the median nearest distance, if that is more). The ratio is not guessed: it is the least one that finds
 ``target_recall`` of the true neighbours of a bounded set of calibration
 queries, which are compared with every vector.
 
@@ -55,20 +55,38 @@ def lifted(x: np.ndarray, largest: float) -> np.ndarray:
     return np.column_stack((x, np.sqrt(np.maximum(largest * largest - (x * x).sum(1), 0))))
 
 
-def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 12, seed: int = 42) -> np.ndarray:
-    """K-means whose assignment charges crowded clusters more each round."""
+def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 15, seed: int = 42) -> np.ndarray:
+    """K-means whose assignment charges crowded clusters more each round, and
+    whose tiny clusters are given up to halve the largest ones."""
     rng = np.random.default_rng(seed)
     centroids = sample[rng.choice(len(sample), lists, replace=False)].copy()
     charge = np.zeros(lists)
-    for _ in range(rounds):
+    even = len(sample) / lists
+    for turn in range(rounds):
         d = _distances(sample, centroids) ** 2
         own = (d + charge).argmin(1)
         size = np.bincount(own, minlength=lists)
-        charge += 0.2 * d[np.arange(len(sample)), own].mean() * (size * lists / len(sample) - 1).clip(-1, 3)
+        charge += 0.2 * d[np.arange(len(sample)), own].mean() * (size / even - 1).clip(-1, 3)
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, sample)
         some = size > 0
         centroids[some] = sums[some] / size[some, None]
+        if turn == rounds - 1:
+            break
+        for j in np.flatnonzero(size < even / 4).tolist():
+            large = int(size.argmax())
+            members = np.flatnonzero(own == large)
+            if len(members) < max(2, 2 * size[j]):
+                break
+            axis = sample[members] @ rng.normal(size=sample.shape[1])
+            half = members[axis > np.median(axis)]
+            if not 0 < len(half) < len(members):
+                break
+            own[half] = j
+            size[j], size[large] = len(half), len(members) - len(half)
+            centroids[j] = sample[half].mean(0)
+            centroids[large] = sample[own == large].mean(0)
+            charge[[j, large]] = 0.0
     return centroids
 
 
@@ -77,6 +95,7 @@ class CentroidGraph:
 
     def __init__(self, centroids: np.ndarray, degree: int = 16):
         self.points = centroids
+        self.least = 0.0  # a nearest distance below this counts as this
         near = np.argsort(_distances(centroids, centroids), axis=1)[:, 1:degree + 1]
         links = [set(row.tolist()) for row in near]
         for i, row in enumerate(near):
@@ -94,7 +113,7 @@ class CentroidGraph:
         best, reached = start, [(start, 0)]
         while queue:
             d, i = heapq.heappop(queue)
-            if d > ratio * best and d > -found[0][0] and len(found) >= beam:
+            if d > ratio * max(best, self.least) and d > -found[0][0] and len(found) >= beam:
                 break
             fresh = [j for j in self.links[i].tolist() if j not in seen]
             if not fresh:
@@ -117,7 +136,7 @@ class CentroidGraph:
             reached = sorted(zip(np.linalg.norm(self.points - q, axis=1).tolist(), range(len(self.points))))
         out, held = [], 0
         for d, j in reached:
-            if d > ratio * reached[0][0] and held >= least:
+            if d > ratio * max(reached[0][0], self.least) and held >= least:
                 break
             out.append(j)
             held += int(sizes[j])
@@ -151,7 +170,7 @@ def _top(rows: DataFrame, key: str, id_column: str, k: int) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding",
-            sample_rows: int = 20_000, calibration_queries: int = 200, target_recall: float = 0.96, copies: int = 3,
+            sample_rows: int = 20_000, calibration_queries: int = 200, target_recall: float = 0.97, copies: int = 3,
             boundary: float = 0.04, max_lists: int = 4096, block_rows: int = 20_000) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of every row that
     ``is_query`` selects among all rows but itself, by inner product.
@@ -180,7 +199,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     sample = np.array([r["vec"] for r in entries.orderBy(F.xxhash64("vid"), "vid").limit(sample_rows).select("vec").collect()])
     lists = int(max(1, min(max_lists, len(sample) // 4, round(n ** 0.5 / 2))))
     centroids = balanced_centroids(lifted(sample, largest), lists)
-    graph = spark.sparkContext.broadcast(CentroidGraph(centroids))  # max_lists bounds it
+    found = CentroidGraph(centroids)
+    # an outlier may be a centroid itself, and no ratio of its distance reaches others
+    found.least = float(np.median(_distances(np.column_stack((sample, np.zeros(len(sample)))), centroids).min(1)))
+    graph = spark.sparkContext.broadcast(found)  # max_lists bounds it
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points = graph.value.points
@@ -208,7 +230,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     truth = _top(entries.select("vid", "vec").mapInArrow(scan, _SCORED), "query", "vid", k + 1)
     where = truth.join(postings.select("vid", "list"), "vid").select("query", "vid", "list").collect()  # trial * (k + 1) * copies rows at most
     d = _distances(np.column_stack((trial_vecs, np.zeros(len(trial_vecs)))), centroids)
-    ratios = d / d.min(1, keepdims=True)
+    ratios = d / np.maximum(d.min(1, keepdims=True), found.least)
     row_of = {v: i for i, v in enumerate(trial_ids.tolist())}
     need: dict[tuple[int, int], float] = {}
     for r in where:
@@ -223,10 +245,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vecs = _matrix(batch.column("vec"))
-            found = [graph.value.lists_for(np.append(v, 0.0), ratio, sizes, least) for v in vecs]
-            row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            chosen = [graph.value.lists_for(np.append(v, 0.0), ratio, sizes, least) for v in vecs]
+            row = np.repeat(np.arange(len(chosen)), [len(x) for x in chosen])
             taken = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array([j for x in found for j in x], pa.int32()), taken.column("vid"), taken.column("vec")], names=["list", "vid", "vec"])
+            yield pa.RecordBatch.from_arrays([pa.array([j for x in chosen for j in x], pa.int32()), taken.column("vid"), taken.column("vec")], names=["list", "vid", "vec"])
 
     blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
     routed = stored(queries.mapInArrow(route, "list int, vid long, vec array<double>"), "ann-routed")
