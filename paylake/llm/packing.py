@@ -31,36 +31,33 @@ from pyspark.sql import functions as F
 
 from paylake.llm import words as W
 from paylake.llm.common import ship, stored
-from paylake.llm.segments import distinct_pieces
+from paylake.llm.segments import Recent, distinct_pieces
 
 _SLICE = 1 << 21
-_KEEP_PIECES = 400_000
+_KEEP_PIECES = 300_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLACED = _PIECES + ", rid long, sequence_id long, offset long, filled int, bins long, bound long"
 
 
 class PieceTokenizer:
-    """A public tokenizer that sees every distinct piece of text once."""
+    """A public tokenizer that sees common pieces of text once."""
 
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[bytes, bytes] = {}
+        self.known = Recent(_KEEP_PIECES)  # piece -> its ids as 32-bit integers
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per row)."""
         pieces, order, per_row = distinct_pieces(texts)
-        if len(self.known) > _KEEP_PIECES:
-            self.known.clear()
-        known = self.known
-        fresh = [p for p in pieces if p not in known]
+        fresh = self.known.missing(pieces)
         for lo in range(0, len(fresh), 1 << 14):
             part = fresh[lo:lo + (1 << 14)]
             for p, e in zip(part, self.tokenizer.encode_batch_fast([x.decode() for x in part], add_special_tokens=False)):
-                known[p] = array("I", e.ids).tobytes()
-        tokens = [known[p] for p in pieces]
+                self.known.new[p] = array("I", e.ids).tobytes()
+        tokens = self.known.values(pieces)
         sizes = np.array([len(x) // 4 for x in tokens], np.int64)
         flat = np.frombuffer(b"".join(tokens), np.uint32)
         each = sizes[order]
