@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paylake.llm.common import stored, text_or_empty
+from paylake.llm.common import partitions, stored, text_or_empty
 
 _HASH_BITS = 60
 
@@ -54,7 +54,7 @@ def interleave_shards(docs: DataFrame, shards: int = 16, seed: int = 42, range_r
         _hash60(F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("u"))
     rows = stored(rows, "shard-rows")
     total = rows.count()
-    ranges = max(1, -(-total // range_rows))
+    ranges = max(partitions(docs.sparkSession), -(-total // range_rows))
     by_hash = F.shiftright(F.shiftright("u", _HASH_BITS // 2) * F.lit(ranges), _HASH_BITS // 2)
     ranked = _ranked(rows, ["stratum"], by_hash, ["u", "doc_id", "text_crc32", "size"], "rank")
     offset = _hash60(F.lit(str(seed)), F.col("stratum")).cast("double") / F.lit(float(1 << _HASH_BITS))
