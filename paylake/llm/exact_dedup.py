@@ -76,12 +76,12 @@ def drop_exact_copies(docs: DataFrame, prefix_chars: int = 256) -> DataFrame:
 
     Only documents that share a text with another are looked up by its hash.
     """
-    verdict = exact_dedup(docs, prefix_chars, hash_all=True)
-    keepers = stored(verdict.where("kept and group_size > 1").select(F.col("text_sha256").alias("sha"), F.col("keep_id")), "exact-keepers")
-    copies = verdict.where("not kept and doc_id <=> keep_id").select(F.col("text_sha256").alias("twice")).distinct()
-    keepers = keepers.join(copies, F.col("sha") == F.col("twice"), "left").select("sha", "keep_id", F.col("twice").isNotNull().alias("twice"))
+    verdict = stored(exact_dedup(docs, prefix_chars, hash_all=True).where("group_size > 1"), "exact-verdict")
+    keepers = verdict.where("kept").select(F.col("text_sha256").alias("sha"), F.col("keep_id"))
+    twice = verdict.where("not kept and doc_id <=> keep_id").select(F.col("text_sha256").alias("twice")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.sha2(normalised(), 256).alias("own_sha"))
     met = rows.join(keepers, F.col("own_sha") == F.col("sha"), "left").where(F.col("sha").isNull() | F.col("id").eqNullSafe(F.col("keep_id")))
-    once = met.where(F.col("twice").isNull() | ~F.col("twice")).select("row.*")
-    repeated = met.where("twice").dropDuplicates(["own_sha"]).select("row.*")  # rows given twice, id and text
-    return once.unionByName(repeated)
+    if twice.isEmpty():
+        return met.select("row.*")
+    met = met.join(twice, F.col("own_sha") == F.col("twice"), "left")  # rows given twice, id and text
+    return met.where("twice is null").select("row.*").unionByName(met.where("twice is not null").dropDuplicates(["own_sha"]).select("row.*"))
