@@ -47,7 +47,7 @@ def main() -> None:
     from paylake.session import build_session
 
     spark = build_session("local[8]", 8)
-    import __spark_entry__ as se
+    from paylake.registry import QUERIES
 
     print(f"# Plan shapes (final adaptive plans, {os.path.basename(args.sf)}, local[8])\n")
     print("Generated by `python tools/plan_report.py`. Counts of physical operators in the plan AQE executed; "
@@ -55,7 +55,7 @@ def main() -> None:
           "tables; silver and gold queries compute from the landed feeds.\n")
     print("| query | " + " | ".join(n for n, _ in OPERATORS) + " |")
     print("| --- | " + " | ".join("---" for _ in OPERATORS) + " |")
-    for name, fn in se.queries().items():
+    for name, fn in QUERIES.items():
         if name in STREAMING:
             continue
         df = fn(spark, args.sf)
