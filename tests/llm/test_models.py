@@ -100,6 +100,28 @@ def test_patterns_find_unseen_identifiers_and_spare_the_rest(spark):
     assert masked[101] == "the badge number: [PHONE], end" and masked[301] == rows[17][1]
 
 
+def found_spans(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    return [r["spans"] for r in private_counts(find_private(docs)).orderBy("doc_id").collect()]
+
+
+@pytest.mark.parametrize("before, unseen, shown", [
+    ("please call", "(555) 123-4567", "(555) 123-4567"), ("please call", "555 123 4567", "555 123 4567"), ("Line 2:", "98-44001", "98-44001"),
+    ("ID#4", "98-44001", "98-44001"), ("see " + "x" * 90 + "1", "98-44001", "98-44001")])
+def test_context_is_taken_from_the_whole_text(spark, before, unseen, shown):
+    seeds = [f"{before} +1 555 010 {1000 + i} ok" for i in range(12)]
+    text = f"we {before} {unseen}, end"
+    at = text.index(shown)
+    got = found_spans(spark, [*seeds, text, "nothing 12 here"])
+    assert f"phone:{at}:{at + len(shown)}" in got[12].split(",") and got[13] == ""
+
+
+def test_context_holds_in_a_list(spark):
+    seeds = [f"the badges are 98-{44000 + i} +1 555 010 {1000 + i} ok" for i in range(12)]
+    got = found_spans(spark, [*seeds, "the badges are 98-55001 98-55002 98-55003"])
+    assert got[12] == "phone:24:32,phone:33:41"
+
+
 def test_masking_keeps_columns_and_clean_texts(clashing, rows):
     got = mask_private(clashing)
     assert got.columns == clashing.columns
