@@ -172,14 +172,15 @@ def _identifier_like(value: Column) -> Column:
     return (F.length(value) >= 6) & ((F.length(F.regexp_replace(value, "[^0-9]", "")) >= 4) | F.contains(value, F.lit("@")))
 
 
-def discovered(matches: DataFrame, candidates: DataFrame, min_support: int = 5, min_confidence: float = 0.8, max_rounds: int = 5) -> DataFrame:
-    """(value, kind) of identifiers found by patterns of high confidence."""
+def discovered(matches: DataFrame, candidates: DataFrame, min_support: int = 5, min_confidence: float = 0.8) -> DataFrame:
+    """(value, kind) of identifiers found by patterns of high confidence. Every
+    round but the last adds values of the corpus, so the rounds end."""
     base = matches.where("holds and kind <> 'token'")
     instances = _patterns(base.select("value", "words")).unionByName(_patterns(candidates.select("value", "words")))
     edges = stored(instances.distinct(), "pii-edges")  # (value, pattern), once each
     sizes = stored(edges.groupBy("pattern").agg(F.count("*").alias("instances")).where(F.col("instances") >= min_support), "pii-patterns")
     known = stored(base.groupBy("value").agg(F.min("kind").alias("kind")).withColumn("seed", F.lit(True)), "pii-known")
-    for _ in range(max_rounds):
+    while True:
         support = edges.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("support"))
         scored = support.join(sizes, "pattern").withColumn("confidence", F.col("support") / F.col("instances"))
         good = scored.where((F.col("support") >= min_support) & (F.col("confidence") >= min_confidence))
@@ -192,12 +193,12 @@ def discovered(matches: DataFrame, candidates: DataFrame, min_support: int = 5,
     return known.where("not seed").select("value", "kind")
 
 
-def find_private(docs: DataFrame, min_support: int = 5, min_confidence: float = 0.8, max_rounds: int = 5) -> DataFrame:
+def find_private(docs: DataFrame, min_support: int = 5, min_confidence: float = 0.8) -> DataFrame:
     """One row per document: doc_id, text_id, ``base`` and ``spans``, arrays of
     (start, order, kind, end) by start, then kind as listed."""
     matches = all_matches(docs)
     candidates = stored(_candidates(matches), "pii-candidates")
-    found = discovered(matches, candidates, min_support, min_confidence, max_rounds).withColumnRenamed("kind", "found_kind")
+    found = discovered(matches, candidates, min_support, min_confidence).withColumnRenamed("kind", "found_kind")
     tokens = candidates.join(found, "value").select("rid", "doc_id", "text_id", F.col("found_kind").alias("kind"), "start", "end", F.lit(False).alias("base"))
     base = matches.where("kind is null or kind <> 'token'").select("rid", "doc_id", "text_id", "kind", "start", "end", "holds")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))

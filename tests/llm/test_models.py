@@ -122,6 +122,17 @@ def test_context_holds_in_a_list(spark):
     assert got[12] == "phone:24:32,phone:33:41"
 
 
+def test_rounds_go_on_until_nothing_is_new(spark):
+    seeds = [f"+1 555 010 {1000 + i}" for i in range(8)]
+    texts = [f"we keya: {s} ok" for s in seeds]
+    links = [[f"98-44{k}{j}1" for j in range(2)] for k in range(9)]
+    for k, link in enumerate(links):  # a link's values are found once those of the one before are known
+        known = [] if k == 0 else seeds[:6] + links[k - 1]
+        texts += [f"we key{chr(97 + k)}: {v} ok" for v in [*known, *link]]
+    got = found_spans(spark, texts)
+    assert all(got) and sum("phone:9:17" in s for s in got) == 2 * 9 + 2 * 8
+
+
 def test_masking_keeps_columns_and_clean_texts(clashing, rows):
     got = mask_private(clashing)
     assert got.columns == clashing.columns
