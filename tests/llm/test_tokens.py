@@ -44,6 +44,15 @@ def test_bpe_equals_the_library(odd):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_words_around_the_long_limit_equal_the_library(spark):
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice(signs) for _ in range(n)) for n in range(509, 516) for signs in ("a", "ab", "aeinrst", "=-", "abcdefghijklmnopqrstuvwxyz")]
+    texts += [unit * n for unit in ("é", "日", "the") for n in (170, 171, 255, 256, 257)]
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=read_ranks(open(RANKS, "rb").read()), special_tokens={})
+    ids = bpe_encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), RANKS, PATTERN)
+    assert {r["doc_id"]: list(r["ids"]) for r in ids.collect()} == {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
+
+
 def test_cuts_never_change_tokens():
     """Random strings of the signs that matter to the cuts."""
     rnd = random.Random(5)
