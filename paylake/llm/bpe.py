@@ -38,6 +38,8 @@ from paylake.llm.segments import Recent, distinct_pieces
 
 _SLICE = 1 << 21
 _SHARE = 1 << 19
+#: A word keeps a row per token and step, so up to half its length squared.
+_SHARE_SQUARES = 1 << 22
 _LONG = 512
 _KEEP_PIECES = 250_000
 _MEMORY = "256MB"
@@ -135,10 +137,11 @@ class Codec:
         found = {w: self._encode_long(w) for w in words if len(w) > _LONG}
         words = [w for w in words if len(w) <= _LONG]
         lengths = np.array([len(x) for x in words], np.int64)
-        at = np.concatenate(([0], np.cumsum(lengths)))
+        at, squares = (np.concatenate(([0], np.cumsum(x))) for x in (lengths, lengths * lengths))
         lo = 0
         while lo < len(words):
-            hi = max(lo + 1, int(np.searchsorted(at, at[lo] + _SHARE, side="right")) - 1)
+            hi = min(int(np.searchsorted(at, at[lo] + _SHARE, side="right")), int(np.searchsorted(squares, squares[lo] + _SHARE_SQUARES, side="right"))) - 1
+            hi = max(lo + 1, hi)
             raw = np.frombuffer(b"".join(words[lo:hi]), np.uint8)
             self.db.register("bytes", pa.table({"word": np.repeat(np.arange(hi - lo, dtype=np.int32), lengths[lo:hi]),
                                                 "pos": np.arange(len(raw), dtype=np.int64), "id": self.byte_id[raw]}))

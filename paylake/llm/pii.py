@@ -48,7 +48,7 @@ KINDS = list(BASE)
 #: A token with a digit, @ or +, tried only where a token starts; every base match starts in one.
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@+]*+[0-9@+][^\x20\x09-\x0D]*+"
 _SPACE = r"[\x20\x09-\x0D]+"
-_IP_PART = r"0*+(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_IP_PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
 def _pattern_word(word: Column) -> Column:

@@ -69,9 +69,10 @@ def brute_base(text):
 
 def private_texts():
     rnd = random.Random(11)
-    signs = ["a", "b.c", "@", "x-y", ".", "1", "23", "255", "256", "007", " ", "-", "+", "(", ")", "4111 1111-1111 1111", "1.2.3.4", "+1 (456) 555-2186",
+    signs = ["a", "b.c", "@", "x-y", ".", "1", "23", "255", "256", "007", "0", "00", "000", "10.0.0.1", " ", "-", "+", "(", ")", "4111 1111-1111 1111", "1.2.3.4", "+1 (456) 555-2186",
              "mail@host.example.com", "é", "☃", "_", "%", "\n"]
     return ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 16))) for _ in range(400)] + [
+        "10.0.0.1 127.0.0.1 192.168.0.12 0.0.0.0 10.20.30.0", "000.00.0.1", "0.0.0.256", "00255.0.0.00001", "0" * 3000 + ".0.0.0",
         None, "", "9" * 3000, "a" * 3000 + "@", "+" + "(" * 3000, "1.2." * 900, "a@b.c@d.e", "a@b.com_x@y.z", " ".join(["mail@host.com"] * 500)]
 
 
@@ -139,6 +140,11 @@ def test_masking_keeps_columns_and_clean_texts(clashing, rows):
     assert Counter(r["text"] for r in got.collect()) == Counter(r[1] for r in rows)
 
 
+def test_addresses_with_zero_parts_are_masked(spark):
+    docs = spark.createDataFrame([(1, "from 10.0.0.1 to 127.0.0.1"), (2, "0.0.0.0"), (3, "0.0.0.256")], "doc_id long, text string")
+    assert [r["text"] for r in mask_private(docs).orderBy("doc_id").collect()] == ["from [IP] to [IP]", "[IP]", "0.0.0.256"]
+
+
 def test_overlapping_spans_share_a_mask(spark):
     docs = spark.createDataFrame([(1, "x 1.2.3.4@host.com, +12345678901 é")], "doc_id long, text string")
     assert mask_private(docs).first()["text"] == "x [EMAIL], [PHONE] é"

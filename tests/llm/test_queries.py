@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from samples import SF_SMALL
 from paylake.llm.queries import ORACLES, QUERIES
 from tools.check_oracle import rows_of
 

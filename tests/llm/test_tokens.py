@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from paylake.llm.bpe import bpe_decode, bpe_encode, bpe_round_trip, read_ranks
+from paylake.llm.bpe import Codec, bpe_decode, bpe_encode, bpe_round_trip, read_ranks
 from paylake.llm.packing import PieceTokenizer, best_fit_decreasing, best_fit_packing, lower_bound
 from paylake.llm.segments import distinct_pieces
 
@@ -53,6 +53,15 @@ def test_words_around_the_long_limit_equal_the_library(spark):
     assert {r["doc_id"]: list(r["ids"]) for r in ids.collect()} == {i: enc.encode_ordinary(t) for i, t in enumerate(texts)}
 
 
+def test_many_long_words_fit_the_memory():
+    """400 different words of 500 letters in one text (its rows would not fit at once)."""
+    rnd = random.Random(9)
+    text = " ".join("".join(rnd.choice("ACGT") for _ in range(500)) for _ in range(400))
+    raw = open(RANKS, "rb").read()
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=read_ranks(raw), special_tokens={})
+    assert Codec(raw, PATTERN).encode(pa.array([text]))[0].tolist() == enc.encode_ordinary(text)
+
+
 def test_cuts_never_change_tokens():
     """Random strings of the signs that matter to the cuts."""
     rnd = random.Random(5)
