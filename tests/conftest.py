@@ -4,9 +4,9 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF_SMALL = "/root/testdata/sf0.001"
+from samples import SF_SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
