@@ -24,6 +24,7 @@ from paylake.llm.sharding import interleave_shards
 from paylake.llm.simhash import near_duplicates
 from paylake.llm.substring_dedup import substring_dedup
 from paylake.llm.toxicity import toxicity
+from paylake.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -177,3 +178,8 @@ def op9_nearest_neighbours(spark, sf_dir):
 @register("op10_toxicity")
 def op10_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op11_embedding_whitening")
+def op11_embedding_whitening(spark, sf_dir):
+    return whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
