@@ -17,6 +17,7 @@ from paylake.llm.ann import nearest
 from paylake.llm.bpe import bpe_round_trip
 from paylake.llm.common import table
 from paylake.llm.exact_dedup import exact_dedup
+from paylake.llm.hard_negatives import hard_negatives
 from paylake.llm.line_dedup import line_dedup
 from paylake.llm.packing import best_fit_packing
 from paylake.llm.pii import find_private, private_counts
@@ -24,6 +25,7 @@ from paylake.llm.sharding import interleave_shards
 from paylake.llm.simhash import near_duplicates
 from paylake.llm.substring_dedup import substring_dedup
 from paylake.llm.toxicity import toxicity
+from paylake.llm.vectors import finite, scaled
 from paylake.llm.whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +185,11 @@ def op10_toxicity(spark, sf_dir):
 @register("op11_embedding_whitening")
 def op11_embedding_whitening(spark, sf_dir):
     return whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+
+
+@register("op13_hard_negatives")
+def op13_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").where(finite("embedding"))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), scaled("embedding", 256).alias("x"))
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, lowest=50, highest=95)
