@@ -18,6 +18,7 @@ from paylake.llm.bpe import bpe_round_trip
 from paylake.llm.common import table
 from paylake.llm.exact_dedup import exact_dedup
 from paylake.llm.hard_negatives import hard_negatives
+from paylake.llm.language import language_id
 from paylake.llm.line_dedup import line_dedup
 from paylake.llm.packing import best_fit_packing
 from paylake.llm.pii import find_private, private_counts
@@ -187,6 +188,11 @@ def op11_embedding_whitening(spark, sf_dir):
     return whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
 
 
+@register("op12_language_id")
+def op12_language_id(spark, sf_dir):
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 @register("op13_hard_negatives")
 def op13_hard_negatives(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").where(finite("embedding"))
