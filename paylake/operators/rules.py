@@ -192,14 +192,27 @@ def rule_failure_counts(df: DataFrame, rules, flow_name: str | None = None) -> D
 
 
 def observe_rules(df: DataFrame, rules, name: str) -> tuple[DataFrame, Observation]:
-    """Attach per-rule failure counters to ``df``.
+    """Attach per-rule failure counters to a frame that is not validated yet.
 
-    Works on batch and streaming frames; the counters are filled by the next
-    action (batch) or appear in ``StreamingQueryProgress.observedMetrics``.
-    """
-    obs = Observation(name)
+    The counters are filled by the next action."""
     passes = _passes(rules, "strict")
-    metrics = [F.count(F.lit(1)).alias("total_records"),
-               F.count_if(~reduce(lambda a, b: a & b, [p for _, p in passes])).alias("warned_records")]
-    metrics += [F.count_if(~p).alias(n) for n, p in passes]
-    return df.observe(obs, *metrics), obs
+    metrics = [F.count_if(~p).alias(n) for n, p in passes]
+    return _observed(df, ~reduce(lambda a, b: a & b, [p for _, p in passes]), metrics, name)
+
+
+def observe_verdicts(validated: DataFrame, rules, name: str, null_policy: str = "strict") -> tuple[DataFrame, Observation]:
+    """Attach the counters to a validated frame (D12, G7): they are filled
+    while the first action on it runs, so no pass of their own is needed. The
+    trail already tells which rules failed; only under the reference's policy,
+    whose trail leaves unknown results out, the rules are evaluated."""
+    if null_policy != "strict":
+        return observe_rules(validated, rules, name)
+    trail = F.concat(F.lit(TRAIL_SEPARATOR), F.col("rejected_by"), F.lit(TRAIL_SEPARATOR))
+    metrics = [F.count_if(F.contains(trail, F.lit(f"{TRAIL_SEPARATOR}{n}{TRAIL_SEPARATOR}"))).alias(n) for n, _ in rules]
+    return _observed(validated, F.col("is_quarantined"), metrics, name)
+
+
+def _observed(df: DataFrame, fails: Column, metrics: list[Column], name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    totals = [F.count(F.lit(1)).alias("total_records"), F.count_if(fails).alias("warned_records")]
+    return df.observe(obs, *totals, *metrics), obs

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.sources.feeds import FEED_COLUMNS, FeedConfig, land_files, load_feed_config
+from paylake.sources.tables import stored_bytes
 from paylake.streaming.ingest import read_table_stream, start_bronze
 from paylake.streaming.silver import SilverTarget, start_silver
 
@@ -47,22 +48,22 @@ def land(raw: DataFrame, feed: str, landing: str, files: int, split_by: Column |
         land_files(landed, landing, spread if split_by is None else split_by, files, DELIMITER)
 
 
-def ingest(spark: SparkSession, feed: str, landing: str, work: str, partition_by: str | None = None,
-           max_files_per_trigger: int = 1) -> FeedConfig:
+def ingest(spark: SparkSession, feed: str, landing: str, work: str, partition_by: str | None = None, **admit) -> FeedConfig:
+    """Stream landed files into bronze; by default in batches of :func:`batch_bytes`."""
     cfg = feed_config(feed, landing, f"{work}/bronze/{feed}", partition_by)
     q = start_bronze(spark, cfg, f"{work}/_checkpoints/bronze_{feed}", extra_columns=("seq",),
-                     max_files_per_trigger=max_files_per_trigger)
+                     **(admit or {"max_bytes_per_trigger": batch_bytes(spark, landing)}))
     q.awaitTermination()
     return cfg
 
 
 def silver(spark: SparkSession, feed: str, bronze_path: str, work: str, sequence_by: str = "seq",
-           sequence_type: str | None = None, run_log_path: str | None = None,
-           max_files_per_trigger: int | None = 1, **kw) -> SilverTarget:
+           sequence_type: str | None = None, run_log_path: str | None = None, whole: bool = False, **kw) -> SilverTarget:
+    """Keep silver up from the bronze table, in batches of :func:`batch_bytes` (or the ``whole`` table in one)."""
     target = SilverTarget(feed=feed, root=f"{work}/silver/{feed}", quarantine_path=f"{work}/silver/quarantine",
                           sequence_by=sequence_by, sequence_type=sequence_type, run_log_path=run_log_path,
                           source_table=f"bronze.{feed}", **kw)
-    stream = read_table_stream(spark, bronze_path, max_files_per_trigger)
+    stream = read_table_stream(spark, bronze_path, max_bytes_per_trigger=None if whole else batch_bytes(spark, bronze_path))
     q = start_silver(stream, target, f"{work}/_checkpoints/silver_{feed}")
     q.awaitTermination()
     return target
@@ -77,29 +78,33 @@ def land_and_ingest(spark: SparkSession, raw: DataFrame, feed: str, work: str, f
     files = files or landing_files(raw)
     landing = f"{work}/landing/{feed}"
     land(raw, feed, landing, files, order=order)
-    return ingest(spark, feed, landing, work, partition_by, max_files_per_trigger=_per_trigger(files))
+    return ingest(spark, feed, landing, work, partition_by)
 
 
 LANDING_FILE_BYTES = 64 << 20
+BATCHES = 4
+LARGEST_BATCH_BYTES = 16 << 30
 
 
 def landing_files(raw: DataFrame) -> int:
     """Files by the size of the stored feed, and enough for several batches."""
-    sizes = raw.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n")).distinct()
-    return max(4, (sizes.agg(F.sum("n")).first()[0] or 0) // LANDING_FILE_BYTES)
+    spark = raw.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in raw.inputFiles()}
+    return max(4, sum(stored_bytes(spark, f) for f in folders) // LANDING_FILE_BYTES)
 
 
-def _per_trigger(files: int) -> int:
-    """A quarter of the files in a batch: batches grow with the feed."""
-    return max(1, files // 4)
+def batch_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a micro-batch: a quarter of what waits, within a bound that a
+    cluster's batch shall not exceed."""
+    return max(1, min(-(-stored_bytes(spark, path) // BATCHES), LARGEST_BATCH_BYTES))
 
 
 def run_feed(spark: SparkSession, raw: DataFrame, feed: str, work: str, files: int | None = None,
              order: list[Column] | None = None, partition_by: str | None = None,
-             run_log_path: str | None = None) -> SilverTarget:
+             run_log_path: str | None = None, **options) -> SilverTarget:
     """Land ``raw`` as files, stream it through bronze and silver."""
     cfg = land_and_ingest(spark, raw, feed, work, files, order, partition_by)
-    return silver(spark, feed, cfg.target_table, work, "seq", SEQUENCE_TYPES[feed], run_log_path)
+    return silver(spark, feed, cfg.target_table, work, "seq", SEQUENCE_TYPES[feed], run_log_path, **options)
 
 
 def write_config(spark: SparkSession, work: str, feeds: dict[str, tuple[str | None, bool]], active) -> str:

@@ -31,6 +31,7 @@ from paylake.sources.tables import read_table
 from paylake.sources.sinks import SILVER_LAYOUT, publish_partitioned
 from paylake.sources.sinks import read_current as read_mart
 from paylake.streaming.silver import read_current, write_snapshot
+from paylake.streaming.state import KeyedState
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -456,7 +457,7 @@ def q_scd2_stream_one_batch(spark, root):
     whole batch ties, so each key has one version, its greatest row (G2, E4)."""
     work = fresh_dir(spark, "scd2-batch-stream")
     cfg = ST.land_and_ingest(spark, fx.raw_users(spark, root), "users", work, files=1)
-    history = read_current(spark, ST.silver(spark, "users", cfg.target_table, work, "ingestion_at", max_files_per_trigger=None))
+    history = read_current(spark, ST.silver(spark, "users", cfg.target_table, work, "ingestion_at", whole=True))
     return history.drop("__START_AT")
 
 
@@ -570,3 +571,36 @@ def q_quarantine_reference(spark, root):
     parts = [quarantine_records(silver.validated(raw, feed, "reference", "slots"), silver.PAYLOAD_COLUMNS[feed]).select("payload", "rejected_by")
              for feed, raw in _raws(spark, root).items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- tables kept up batch by batch -------------------------------------------
+
+
+@register("scd1_stream_incremental")
+def q_scd1_stream_incremental(spark, root):
+    """SCD1 kept up by every batch from the leaves it touches (G1); older
+    states of the same rows land last and must not win (G3)."""
+    raw = fx.raw_transactions(spark, root)
+    older = raw.withColumn("status", F.lit("Pendiente")).withColumn("ingestion_at", F.expr("ingestion_at - INTERVAL '1' DAY"))
+    both = raw.withColumn("late", F.lit(0)).unionByName(older.withColumn("late", F.lit(1)))
+    target = ST.run_feed(spark, both, "transactions", fresh_dir(spark, "scd1-state"), ST.landing_files(raw),
+                         order=[F.col("late") == 0, F.col("late") == 1], keep_state=True)
+    return target.state.table(spark)
+
+
+@register("scd2_stream_incremental")
+def q_scd2_stream_incremental(spark, root):
+    """SCD2 by interval splices, resends before first loads."""
+    target = ST.run_feed(spark, fx.raw_users(spark, root), "users", fresh_dir(spark, "scd2-state"),
+                         order=[F.col("seq") == 1, F.col("seq") != 1], keep_state=True)
+    return target.state.table(spark)
+
+
+@register("scd2_ties_incremental")
+def q_scd2_ties_incremental(spark, root):
+    """Three folds of changes that mostly share their sequence."""
+    days = read_table(spark, root, "events").select("user_id", F.col("ts").cast("date").alias("day"), "event_type", (F.col("event_id") % 3).alias("batch"))
+    state = KeyedState(fresh_dir(spark, "ties-state"), ("user_id",), "day", history=True)
+    for b in range(3):
+        state.fold(days.where(F.col("batch") == b).drop("batch"), b)
+    return state.table(spark)

@@ -88,17 +88,24 @@ def with_lineage(df: DataFrame) -> DataFrame:
             .withColumn("source_file", F.col("_metadata.file_name")))
 
 
-def read_feed_stream(spark: SparkSession, cfg: FeedConfig, schema: T.StructType,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+def admission(reader, max_files: int | None = None, max_bytes: int | None = None):
+    """Bound a micro-batch by files or by bytes."""
+    if max_bytes:
+        return reader.option("maxBytesPerTrigger", max_bytes)
+    return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+
+
+def read_feed_stream(spark: SparkSession, cfg: FeedConfig, schema: T.StructType, max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: int | None = None, archive: str | None = None) -> DataFrame:
     """Incremental read of new files only (A2, G8); the checkpoint remembers
-    which files were taken."""
-    r = _reader(spark.readStream, cfg, schema)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    which files were taken. With ``archive`` the files of committed batches are
+    moved there, so that listing the source does not take longer for ever."""
+    r = admission(_reader(spark.readStream, cfg, schema), max_files_per_trigger, max_bytes_per_trigger)
+    if archive:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return with_lineage(r.load(cfg.source_path))
 
 
-
 def land_files(df: DataFrame, path: str, split_by, files: int, delimiter: str = "|") -> None:
     """Write a feed as ``files`` delimited files with header, one per value of
     ``split_by`` (an integer Column in ``[0, files)``): test landing (FIXTURES §5).

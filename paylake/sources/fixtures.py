@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylake.sources.tables import read_table
+from paylake.sources.tables import read_table, stored_files, table_path
 
 RAW_USERS = """
 SELECT CAST(seq AS INT) AS seq, concat('U', CAST(c_custkey AS STRING)) AS user_id, c_name AS full_name,
@@ -113,10 +113,8 @@ LANDED_FILE_BYTES = 128 << 20
 
 def _source_state(spark: SparkSession, root: str, table: str) -> tuple:
     """(files, bytes, newest change) of a stored table."""
-    files = read_table(spark, root, table).select(
-        F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n"),
-        F.col("_metadata.file_modification_time").cast("string").alias("t")).distinct()
-    return tuple(files.agg(F.count("f"), F.sum("n"), F.max("t")).first())
+    files = stored_files(spark, table_path(root, table))
+    return len(files), sum(size for _, size, _ in files), max((changed for *_, changed in files), default=None)
 
 
 def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -137,7 +135,7 @@ def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = _LANDED.get(key)
     if path is None:
         path = fresh_dir(spark, f"landed-{name}")
-        files = max(2 * spark.sparkContext.defaultParallelism, sum(n or 0 for _, n, _ in sources) // LANDED_FILE_BYTES)
+        files = max(2 * spark.sparkContext.defaultParallelism, sum(n for _, n, _ in sources) // LANDED_FILE_BYTES)
         raw_view(spark, root, name).repartition(files).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(path)

@@ -50,10 +50,10 @@ def manifest(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_versions(spark: SparkSession, root: str) -> DataFrame:
-    """Newest committed version per mart."""
+    """Newest committed version per mart; of a version committed twice the later one."""
     m = manifest(spark, root)
     return (m.groupBy("mart")
-            .agg(F.max_by(F.struct("version", "row_count", "path"), "version").alias("v"))
+            .agg(F.max_by(F.struct("version", "row_count", "path"), F.struct("version", "refreshed_at", "path")).alias("v"))
             .select("mart", "v.*"))
 
 

@@ -22,5 +22,21 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 
 
-def read_tables(spark: SparkSession, root: str, names) -> dict[str, DataFrame]:
-    return {n: read_table(spark, root, n) for n in names}
+def stored_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of change in ms) of the files under ``path``, from the
+    store's own listing: no job, no row is read."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, folders = [], [root]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            name = status.getPath().getName()
+            if status.isDirectory():
+                folders.append(status.getPath())
+            elif not name.startswith(("_", ".")):
+                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    return sum(size for _, size, _ in stored_files(spark, path))
