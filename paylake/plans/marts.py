@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylake.functions.keys import (CHANNEL_ID_PREFIX, date_key, normalized_amount, quarter_label,
@@ -134,17 +134,17 @@ def dim_channel(gold_tx: DataFrame) -> DataFrame:
     )
 
 
-def dim_date(gold_tx: DataFrame, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END,
+def dim_date(spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END, widen_by: DataFrame | None = None,
              earliest: dt.date = CALENDAR_EARLIEST, latest: dt.date = CALENDAR_LATEST) -> DataFrame:
-    """One row per day from ``start`` to ``end`` (S14). Transaction dates
-    outside widen the range, but never beyond ``earliest`` and ``latest``, so
-    a mistyped year makes no calendar of centuries.
+    """One row per day from ``start`` to ``end`` (S14). With ``widen_by`` the
+    dates of those transactions widen the range, but never beyond ``earliest``
+    and ``latest``, so a mistyped year makes no calendar of centuries.
     """
-    date = F.when(F.col("transaction_date").between(F.lit(earliest), F.lit(latest)), F.col("transaction_date"))
-    bounds = gold_tx.agg(
-        F.least(F.lit(start), F.min(date)).alias("lo"),
-        F.greatest(F.lit(end), F.max(date)).alias("hi"),
-    )
+    if widen_by is None:
+        bounds = spark.range(1).select(F.lit(start).alias("lo"), F.lit(end).alias("hi"))
+    else:
+        date = F.when(F.col("transaction_date").between(F.lit(earliest), F.lit(latest)), F.col("transaction_date"))
+        bounds = widen_by.agg(F.least(F.lit(start), F.min(date)).alias("lo"), F.greatest(F.lit(end), F.max(date)).alias("hi"))
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
     return days.select(
         date_key("date").alias("PK_Tiempo"),

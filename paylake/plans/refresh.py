@@ -23,7 +23,7 @@ from paylake.sources import sinks
 # gold tables under "gold_*" and committed marts under their names.
 MartBuilder = Callable[[dict[str, DataFrame]], DataFrame]
 MARTS: dict[str, tuple[tuple[str, ...], MartBuilder]] = {
-    "dim_date": ((), lambda i: M.dim_date(i["gold_transactions"])),
+    "dim_date": ((), lambda i: M.dim_date(i["gold_transactions"].sparkSession)),
     "dim_user": ((), lambda i: M.dim_user(i["gold_users"], i["gold_transactions"])),
     "dim_merchant": ((), lambda i: M.dim_merchant(i["gold_merchants"])),
     "dim_channel": ((), lambda i: M.dim_channel(i["gold_transactions"])),

@@ -178,33 +178,31 @@ def dash_rejected_by_day(expectations: DataFrame, sink_table: str | None = None)
             .groupBy("processing_date").agg(F.sum("rejected_records").alias("sum_rejected_records")))
 
 
-def filter_values(ds: DataFrame, field: str, name: str, **other_filters) -> DataFrame:
-    """Values of one selector with how many rows also match the other
-    selectors (D11): ``groupBy(value).agg(count_if(predicate))``."""
-    pred = F.lit(True)
-    for col, value in other_filters.items():
-        if value is not None:
-            pred = pred & (F.col(col) == F.lit(value))
-    return (ds.groupBy(F.col(field).cast("string").alias("value"))
-            .agg(F.count_if(pred).alias("associativity"))
-            .select(F.lit(name).alias("filter_name"), "value", "associativity"))
-
-
-def dash_filter_values(rates: DataFrame, expectations: DataFrame, catalog: str) -> DataFrame:
-    """All five selector lists of the dashboard with their default selections."""
+def dash_filter_values(log: DataFrame, pipeline: str, catalog: str) -> DataFrame:
+    """All five selector lists of the dashboard with their default selections
+    (D11): each value with how many rows also match the other selectors.
+
+    One scan: every latest event gives a row for the summary and one for each
+    of its expectations (silver flows); one aggregate over grouping sets counts
+    them by layer, day and table, and every list picks its counter.
+    """
     table = f"{catalog}.{DEFAULT_EXPECTATION_TABLE}"
-    parts = [
-        filter_values(rates, "layer", "summary.layer"),
-        filter_values(rates, "processing_date", "summary.processing_date", layer=DEFAULT_LAYER),
-        filter_values(expectations, "sink_table", "expectations.sink_table",
-                      processing_date=DEFAULT_EXPECTATION_DATE),
-        filter_values(expectations, "processing_date", "expectations.processing_date", sink_table=table),
-        filter_values(expectations, "sink_table", "trend.sink_table"),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    latest = latest_per_flow_day(log, pipeline, catalog, silver_only=False)
+    expected = F.when(F.col("flow_name").like(f"{catalog}.silver.%"), F.col("_d.flow_progress.data_quality.expectations"))
+    kinds = F.concat(F.array(F.lit("summary")), F.coalesce(F.transform(expected, lambda _: F.lit("expectations")), F.expr("cast(array() as array<string>)")))
+    rows = latest.select("processing_date", F.get(F.split("flow_name", r"\.", 3), 1).alias("layer"), F.col("flow_name").alias("sink_table"), F.explode(kinds).alias("kind"))
+    sets = [["kind", c] for c in ("layer", "processing_date", "sink_table")]
+    counted = rows.groupingSets([[F.col(c) for c in s] for s in sets], "kind", "layer", "processing_date", "sink_table").agg(
+        *[F.grouping(c).alias(f"_no_{c}") for _, c in sets],
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("layer") == DEFAULT_LAYER).alias("of_layer"),
+        F.count_if(F.col("processing_date") == F.lit(DEFAULT_EXPECTATION_DATE)).alias("of_date"), F.count_if(F.col("sink_table") == table).alias("of_table"))
+    # list, what it counts, by which column, with which selection of the others
+    lists = [("summary.layer", "summary", "layer", "rows"), ("summary.processing_date", "summary", "processing_date", "of_layer"),
+             ("expectations.sink_table", "expectations", "sink_table", "of_date"), ("expectations.processing_date", "expectations", "processing_date", "of_table"),
+             ("trend.sink_table", "expectations", "sink_table", "rows")]
+    facets = F.array(*[F.when((F.col("kind") == kind) & (F.col(f"_no_{c}") == 0), F.struct(
+        F.lit(name).alias("filter_name"), F.col(c).cast("string").alias("value"), F.col(n).alias("associativity"))) for name, kind, c, n in lists])
+    return counted.select(F.explode(F.filter(facets, lambda x: x.isNotNull())).alias("f")).select("f.*")
 
 
 def expectation_totals(log: DataFrame, pipeline: str) -> DataFrame:

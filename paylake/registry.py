@@ -16,13 +16,13 @@ from paylake.operators.cdc import scd2
 from paylake.operators.clean import clean_merchants, clean_transactions, clean_users
 from paylake.operators.joins import is_bounded
 from paylake.operators.rules import quarantine_records
-from paylake.operators.masking import USER_COLUMN_TAGS, apply_masks, tag_columns
+from paylake.operators.masking import USER_COLUMN_TAGS, USER_TABLE_TAGS, apply_masks, register_views, store_policy, tag_columns
 from paylake.plans import gold as G
 from paylake.plans import marts as M
 from paylake.plans import runlog as RL
 from paylake.plans import silver
 from paylake.plans import streams as ST
-from paylake.plans.layers import layers
+from paylake.plans.layers import layers, register_temp_views
 from paylake.plans.refresh import refresh
 from paylake.plans.scalars import scalar_functions
 from paylake.session import fresh_dir
@@ -201,7 +201,13 @@ def q_gold_merchants(spark, root):
 
 @register("dim_date")
 def q_dim_date(spark, root):
-    return M.dim_date(_stored_gold(spark, root)[0])
+    return M.dim_date(spark)
+
+
+@register("dim_date_widened")
+def q_dim_date_widened(spark, root):
+    """The calendar widened by the transactions' dates, within two bounds (F2)."""
+    return M.dim_date(spark, widen_by=_stored_gold(spark, root)[0])
 
 
 @register("dim_channel")
@@ -327,9 +333,7 @@ def q_dash_rejected_by_day(spark, root):
 
 @register("dash_filter_values")
 def q_dash_filter_values(spark, root):
-    log = _log(spark, root)
-    return RL.dash_filter_values(RL.run_log_rates(log, _PIPE, _CAT),
-                                 RL.run_log_expectations(log, _PIPE, _CAT), _CAT)
+    return RL.dash_filter_values(_log(spark, root), _PIPE, _CAT)
 
 
 # --- masking and scalar functions -----------------------------------------
@@ -604,3 +608,26 @@ def q_scd2_ties_incremental(spark, root):
     for b in range(3):
         state.fold(days.where(F.col("batch") == b).drop("batch"), b)
     return state.table(spark)
+
+
+# --- masks bound to tables, views for SQL users ------------------------------
+
+
+@register("masked_view")
+def q_masked_view(spark, root):
+    """Users as an analyst sees them through SQL: the policy stored beside the
+    table decides what its view masks (H6, H7)."""
+    policy = fresh_dir(spark, "policy")
+    store_policy(spark, policy, "silver_users", USER_TABLE_TAGS, USER_COLUMN_TAGS)
+    tables = {n: _stored(spark, root)[n] for n in ("silver_users", "silver_merchants")}
+    names = register_views(spark, policy, tables, ANALYST_ROLE, prefix="as_analyst_")
+    return spark.sql(f"SELECT * FROM {names['silver_users']}")
+
+
+@register("view_totals")
+def q_view_totals(spark, root):
+    """Totals by country and channel, in SQL over the gold views."""
+    L = _stored(spark, root)
+    register_temp_views({n: L[n] for n in ("gold_transactions", "gold_users")})
+    return spark.sql("SELECT u.country, t.channel, count(*) AS transactions, sum(t.amount) AS total_amount "
+                     "FROM gold_transactions t JOIN gold_users u ON t.user_id = u.user_id GROUP BY u.country, t.channel")

@@ -94,8 +94,9 @@ def test_keys_span_batches_and_facts_have_several_rows(spark):
 
 def test_calendar_ignores_impossible_years(spark):
     tx = spark.createDataFrame([("0001-01-01",), ("2025-02-03",)], "d string").select(F.to_date("d").alias("transaction_date"))
-    days = M.dim_date(tx).agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
+    days = M.dim_date(spark, widen_by=tx).agg(F.min("date").cast("string"), F.max("date").cast("string")).first()
     assert tuple(days) == ("2018-01-01", "2025-02-03")
+    assert M.dim_date(spark).count() == 2557  # 2018 to 2024, whatever the data
 
 
 def test_salted_join_equals_plain_join(spark):
