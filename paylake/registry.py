@@ -7,6 +7,7 @@ with the data; none runs on made-up input.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from paylake.operators.clean import clean_merchants, clean_transactions, clean_u
 from paylake.operators.joins import is_bounded
 from paylake.operators.rules import quarantine_records
 from paylake.operators.masking import USER_COLUMN_TAGS, USER_TABLE_TAGS, apply_masks, register_views, store_policy, tag_columns
+from paylake.plans import changes as C
 from paylake.plans import gold as G
 from paylake.plans import marts as M
 from paylake.plans import runlog as RL
@@ -27,9 +29,11 @@ from paylake.plans.refresh import refresh
 from paylake.plans.scalars import scalar_functions
 from paylake.session import fresh_dir
 from paylake.sources import fixtures as fx
+from paylake.sources.feeds import FEED_COLUMNS, land_files
 from paylake.sources.tables import read_table
 from paylake.sources.sinks import SILVER_LAYOUT, publish_partitioned
 from paylake.sources.sinks import read_current as read_mart
+from paylake.streaming.drift import ingest_by_name, schema_versions
 from paylake.streaming.silver import read_current, write_snapshot
 from paylake.streaming.state import KeyedState
 
@@ -631,3 +635,84 @@ def q_view_totals(spark, root):
     register_temp_views({n: L[n] for n in ("gold_transactions", "gold_users")})
     return spark.sql("SELECT u.country, t.channel, count(*) AS transactions, sum(t.amount) AS total_amount "
                      "FROM gold_transactions t JOIN gold_users u ON t.user_id = u.user_id GROUP BY u.country, t.channel")
+
+
+# --- feeds that change their columns -----------------------------------------
+
+
+@register("ingest_drift_stream")
+def q_ingest_drift_stream(spark, root):
+    """Users in files of three kinds (A3): columns in another order, one more
+    column, and one column missing; every row is read by its file's header."""
+    work = fresh_dir(spark, "drift-stream")
+    landing = f"{work}/landing"
+    raw = ST.as_landed(fx.raw_users(spark, root), "users")
+    kind = (F.substring("user_id", 2, 20).cast("int") + F.col("seq").cast("int")) % 3
+    known = [*FEED_COLUMNS["users"], "seq"]
+    land_files(raw.where(kind == 0).select(*reversed(known)), landing, F.lit(0), 1, ST.DELIMITER)
+    land_files(raw.where(kind == 1).select("user_id", F.length("full_name").cast("string").alias("Loyalty"), *known[1:]), landing, F.lit(0), 1, ST.DELIMITER)
+    land_files(raw.where(kind == 2).select(*[c for c in known if c != "phone"]), landing, F.lit(0), 1, ST.DELIMITER)
+    cfg = dataclasses.replace(ST.feed_config("users", landing, f"{work}/bronze"), schema_location=f"{work}/schema")
+    rows = ingest_by_name(spark, "users", cfg, known, work, max_bytes_per_trigger=ST.batch_bytes(spark, landing))
+    versions = schema_versions(spark, cfg.schema_location).agg(F.max("version").alias("newest"))
+    return rows.select(*known, F.col("_rescued_data")["loyalty"].alias("loyalty")).crossJoin(F.broadcast(versions))  # one row
+
+
+# --- gold and the fact kept up from changes ----------------------------------
+
+
+_PROJECTIONS = {"transactions": G.gold_transactions, "users": G.gold_users, "merchants": G.gold_merchants}
+
+
+def _two_folds(spark, root, feed, work):
+    """A silver state in two folds (the second has resends and every third key
+    of the rest) and its gold table."""
+    valid = silver.valid(_raws(spark, root)[feed], feed)
+    keys, seq = silver.KEYS[feed], G.SEQUENCE[feed]
+    rows = valid.drop(*[c for c in silver.EXCEPT_COLUMNS if c != seq])
+    late = F.pmod(F.xxhash64(*keys), F.lit(3)) == 0
+    if feed != "transactions":
+        late = late | (F.col(seq) > 0)
+    state = KeyedState(f"{work}/silver/{feed}", keys, seq, history=feed != "transactions")
+    state.fold(rows.where(~late), 0)
+    state.fold(rows.where(late), 1)
+    return C.GoldTable(f"{work}/gold/{feed}", state, _PROJECTIONS[feed])
+
+
+def _gold_changes(spark, root, feed):
+    """Gold after the first silver fold, then the second one's changes put in."""
+    gold = _two_folds(spark, root, feed, fresh_dir(spark, f"gold-changes-{feed}"))
+    gold.catch_up(spark, upto=0)
+    gold.catch_up(spark)
+    return gold.table(spark)
+
+
+@register("gold_changes_transactions")
+def q_gold_changes_transactions(spark, root):
+    return _gold_changes(spark, root, "transactions")
+
+
+@register("gold_changes_users")
+def q_gold_changes_users(spark, root):
+    return _gold_changes(spark, root, "users")
+
+
+@register("gold_changes_merchants")
+def q_gold_changes_merchants(spark, root):
+    return _gold_changes(spark, root, "merchants")
+
+
+@register("fact_incremental")
+def q_fact_incremental(spark, root):
+    """The fact from partial aggregates: the first refresh adds all, the second
+    takes changed transactions away and adds them anew (A12)."""
+    work = fresh_dir(spark, "fact-incremental")
+    gold = {f: _two_folds(spark, root, f, work) for f in silver.FEEDS}
+    for g in gold.values():
+        g.catch_up(spark, upto=0)
+        g.catch_up(spark)
+    at = [C.Gold(*[gold[f].table_at(spark, n) for f in ("transactions", "users", "merchants")]) for n in (0, 1)]
+    bounds = {"merchants_bounded": is_bounded(at[1].merchants), "users_bounded": is_bounded(at[1].users)}
+    C.add_delta(spark, work, C.fact_delta(None, at[0], None, **bounds), 0)
+    C.add_delta(spark, work, C.fact_delta(at[0], at[1], gold["transactions"].changes(spark, 0, 1), **bounds), 1)
+    return C.fact(spark, work)

@@ -61,6 +61,24 @@ class KeyedState:
         except KeyError:
             return None
 
+    def folds(self, spark: SparkSession) -> list[int]:
+        """Numbers of the committed folds."""
+        done = sinks.manifest(spark, self.root).where(F.col("mart") == LEAVES).select("version").distinct().collect()
+        return sorted(r["version"] for r in done)
+
+    def leaves_at(self, spark: SparkSession, number: int) -> DataFrame:
+        """The list as fold ``number`` committed it (of a fold that ran twice the later one)."""
+        row = sinks.manifest(spark, self.root).where((F.col("mart") == LEAVES) & (F.col("version") == number)).orderBy(F.desc("refreshed_at")).first()
+        return spark.read.parquet(row["path"])
+
+    def between(self, spark: SparkSession, older: int | None, newer: int) -> tuple[DataFrame | None, DataFrame | None]:
+        """(rows before, rows after) of the leaves in which two folds differ;
+        what both lists hold is not read. None where there are none."""
+        after = {r["path"] for r in self.leaves_at(spark, newer).select("path").collect()}
+        before = {r["path"] for r in self.leaves_at(spark, older).select("path").collect()} if older is not None else set()
+        gone, come = sorted(before - after), sorted(after - before)
+        return (self._read(spark, gone) if gone else None), (self._read(spark, come) if come else None)
+
     def read(self, spark: SparkSession) -> DataFrame | None:
         """All stored rows (a history with its marks); None before the first fold."""
         live = self.leaves(spark)
