@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from paylake.operators.cdc import scd2
 from paylake.operators.clean import clean_merchants, clean_transactions, clean_users
-from paylake.operators.joins import is_bounded
+from paylake.operators.joins import hot_keys, is_bounded
 from paylake.operators.rules import quarantine_records
 from paylake.operators.masking import USER_COLUMN_TAGS, USER_TABLE_TAGS, apply_masks, register_views, store_policy, tag_columns
 from paylake.plans import changes as C
@@ -24,7 +24,7 @@ from paylake.plans import marts as M
 from paylake.plans import runlog as RL
 from paylake.plans import silver
 from paylake.plans import streams as ST
-from paylake.plans.layers import layers, register_temp_views
+from paylake.plans.layers import bucket_gold, layers, register_temp_views
 from paylake.plans.refresh import refresh
 from paylake.plans.scalars import scalar_functions
 from paylake.session import fresh_dir
@@ -716,3 +716,14 @@ def q_fact_incremental(spark, root):
     C.add_delta(spark, work, C.fact_delta(None, at[0], None, **bounds), 0)
     C.add_delta(spark, work, C.fact_delta(at[0], at[1], gold["transactions"].changes(spark, 0, 1), **bounds), 1)
     return C.fact(spark, work)
+
+
+@register("fact_bucketed")
+def q_fact_bucketed(spark, root):
+    """The fact from gold tables bucketed by user (C3): its join with the users
+    and the reversal rates shuffles nothing. With a hot user, salted instead."""
+    g_merchants = _stored_gold(spark, root)[2]
+    gold = bucket_gold(spark, root)
+    d_user = M.dim_user(gold["gold_users"].hint("merge"), gold["gold_transactions"])
+    return M.fact_transactions(gold["gold_transactions"], d_user, M.dim_merchant(g_merchants), merchants_bounded=is_bounded(g_merchants),
+                               users_bucketed=hot_keys(gold["gold_transactions"], "user_id") is None)

@@ -76,3 +76,30 @@ def test_changed_source_is_seen(spark, tmp_path_factory):
     assert fx.raw_merchants(spark, root).inputFiles() == fx.raw_merchants(spark, root).inputFiles()
     shutil.copy("/root/testdata/sf0.01/supplier.parquet", f"{root}/supplier.parquet")
     assert fx.raw_merchants(spark, root).count() > first
+
+
+def test_bucketed_fact_joins_without_a_shuffle(spark):
+    """Neither the rates, the joins with users, nor the fact's aggregate (its keys hold the user) move a row."""
+    df = registry.QUERIES["fact_bucketed"](spark, SF_SMALL)
+    text = plan_text(df)
+    assert "Exchange hashpartitioning" not in text, text
+    assert text.count("SortMergeJoin") == 2
+
+
+def test_selector_lists_scan_the_log_once(spark):
+    text = plan_text(registry.QUERIES["dash_filter_values"](spark, SF_SMALL))
+    assert text.count("FileScan") == 1 and text.count("Exchange") <= 3
+
+
+def test_building_a_query_reads_no_rows(spark):
+    """The state of the sources comes from the listing."""
+    from paylake.sources import fixtures as fx
+
+    fx.raw_transactions(spark, SF_SMALL)  # landed once
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    spark.sparkContext.setJobGroup("build", "build")
+    fx._source_state(spark, SF_SMALL, "lineitem")
+    fx.raw_transactions(spark, SF_SMALL)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 1, (before, jobs)  # at most the schema from a footer
