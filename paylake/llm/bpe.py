@@ -39,7 +39,7 @@ from paylake.llm.segments import Recent, distinct_pieces
 _SLICE = 1 << 21
 _SHARE = 1 << 19
 #: A word keeps a row per token and step, so up to half its length squared.
-_SHARE_SQUARES = 1 << 22
+_SHARE_SQUARES = 1 << 23
 _LONG = 512
 _KEEP_PIECES = 250_000
 _MEMORY = "256MB"

@@ -176,7 +176,7 @@ def _duels(names: list[str], label: np.ndarray, row: np.ndarray, bucket: np.ndar
     return Duels(tuple(names), np.array([f[0] for f in found]).reshape(len(found), buckets), np.array([f[1] for f in found]), np.array([f[2] for f in found]))
 
 
-def train(docs: DataFrame, max_rows: int = 4000, buckets: int = 1 << 13, ridge: float = 1e-6, rounds: int = 200) -> Hierarchy | None:
+def train(docs: DataFrame, max_rows: int = 2000, buckets: int = 1 << 13, ridge: float = 1e-6, rounds: int = 200) -> Hierarchy | None:
     """Fit on at most ``max_rows`` labelled rows that are not held out; None without any."""
     ship(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -185,9 +185,14 @@ def train(docs: DataFrame, max_rows: int = 4000, buckets: int = 1 << 13, ridge:
     languages = rows.select("lang").distinct().count()
     if not languages:
         return None
+    each = max(1, max_rows // languages)
     keys = rows.select("lang", "doc_id", F.xxhash64("doc_id", "text").alias("mix")).distinct()
+    # of a language with more than twice its share only hashes that low come into the ranking
+    limit = -(1 << 63) + F.lit(2.0 * each) / F.col("of_lang") * F.lit(float(1 << 64))
+    sizes = keys.groupBy("lang").agg(F.count("*").alias("of_lang"))
+    keys = keys.join(sizes, "lang").where((F.col("of_lang") <= 2 * each) | (F.col("mix") < limit))
     first = Window.partitionBy("lang").orderBy("mix", "doc_id")
-    chosen = keys.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= max(1, max_rows // languages)).drop("nth")
+    chosen = keys.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= each).select("lang", "doc_id", "mix")
     chosen = stored(chosen.limit(max_rows) if languages > max_rows else chosen, "language-sample")
     rows = rows.withColumn("mix", F.xxhash64("doc_id", "text"))
     texts = rows.join(F.broadcast(chosen), ["lang", "doc_id", "mix"]).dropDuplicates(["lang", "doc_id", "mix"])  # max_rows bounds the broadcast
