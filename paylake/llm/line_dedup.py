@@ -1,17 +1,21 @@
 """Line dedup over content-defined chunks, with DataFrame functions only.
 
 A document's lines are hashed; a hash rolled over each line and the one before
-it marks a boundary after the line when it is zero modulo ``mean_lines``. The
-boundaries depend on two lines only, so lines put in before a repeated passage
-shift no boundary inside it. Of all chunks of two lines or more that occur
-again later in the corpus (by doc_id, then place), every occurrence but the
-first is removed.
+it makes a line a candidate when it is zero modulo ``mean_lines``. A chunk ends
+after a candidate whose line before is none, so no chunk has one line only; a
+boundary that would cut a single line off either end of a document is left out.
+The boundaries depend on three lines only, so lines put in before a repeated
+passage shift no boundary inside it. Of all chunks of two lines or more that
+occur again later in the corpus (by doc_id, then place), every occurrence but
+the first is removed: of an exact copy of a document nothing is left, unless it
+is one line.
 
 Chunks are first counted by a 64-bit hash (narrow rows, partial aggregates).
 Only those whose hash repeats are read as text and grouped by the text itself,
 which is the comparison of bytes: equal hashes of different texts never meet.
-Occurrences meet the first one of their text in a join that adaptive execution
-splits when one passage holds a large share of the rows.
+The first occurrence of each text is found with map-side partial aggregates and
+stored, so that occurrences meet it in a join of two plain exchanges, which
+adaptive execution splits when one passage holds a large share of the rows.
 
 Edge cases: null or empty text is one empty line; a trailing line break ends in
 an empty line; the last chunk of a document ends with it; rows that repeat a
@@ -26,6 +30,9 @@ from pyspark.sql import functions as F
 
 from paylake.llm.common import stored, text_or_empty
 
+#: The rolling hash: a line's hash plus this times the one of the line before, modulo a prime.
+_ROLL, _PRIME = 1_000_003, (1 << 31) - 1
+
 
 def content_chunks(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
     """doc_id, text_id, lines and ``chunks``: (start, n, body) of each chunk."""
@@ -33,10 +40,11 @@ def content_chunks(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_id"), F.split("text", "\n", -1).alias("lines"))
     rows = rows.withColumn("h", F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")))
     rows = rows.withColumn("prior", F.slice(F.concat(F.array(F.lit(0).cast("long")), "h"), F.lit(1), F.size("h")))
-    rows = rows.withColumn("ends", F.zip_with("h", "prior", lambda x, p: F.pmod(x + p * 31, F.lit(mean_lines)) == 0))
-    last = F.array(F.size("lines") - 1)
-    rows = rows.withColumn("ends", F.array_distinct(F.concat(
-        F.filter(F.transform("ends", lambda x, i: F.when(x, i).otherwise(-1)), lambda i: i >= 0), last)))
+    rows = rows.withColumn("may", F.zip_with("h", "prior", lambda x, p: F.pmod(F.pmod(x + p * _ROLL, F.lit(_PRIME)), F.lit(mean_lines)) == 0))
+    rows = rows.withColumn("before", F.slice(F.concat(F.array(F.lit(False)), "may"), F.lit(1), F.size("may")))
+    last = F.size("lines") - 1
+    cuts = F.filter(F.transform(F.zip_with("may", "before", lambda m, b: m & ~b), lambda x, i: F.when(x, i).otherwise(-1)), lambda i: (i >= 1) & (i < last - 1))
+    rows = rows.withColumn("ends", F.concat(cuts, F.array(last)))
     rows = rows.withColumn("starts", F.slice(F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e + 1)), F.lit(1), F.size("ends")))
     return rows.withColumn("chunks", F.zip_with("starts", "ends", lambda s, e: F.struct(
         s.alias("start"), (e - s + 1).alias("n"), F.array_join(F.slice("lines", s + 1, e - s + 1), "\n").alias("body")))).select(
@@ -51,7 +59,7 @@ def repeated_chunks(docs: DataFrame, mean_lines: int = 3, min_lines: int = 2) ->
     keys = stored(chunks.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "chunk-keys")
     found = stored(chunks.join(keys.hint("merge"), "key", "left_semi"), "chunks")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "start"))
-    firsts = found.groupBy("key", "body").agg(first.alias("first"), F.count("*").alias("times")).where("times > 1")
+    firsts = stored(found.groupBy("key", "body").agg(first.alias("first"), F.count("*").alias("times")).where("times > 1"), "chunk-firsts")
     later = ~(found["doc_id"].eqNullSafe(F.col("first.doc_id")) & (found["start"] == F.col("first.start")))
     return found.join(firsts.hint("merge"), ["key", "body"]).where(later).select("doc_id", "text_id", "start", "n")
 

@@ -95,9 +95,11 @@ WITH d AS (
 ), h AS (
   SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l
 ), b AS (
-  SELECT *, (h + 31 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 3 = 0 AS cut FROM h
+  SELECT *, (h + 1000003 * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % 2147483647 % 3 = 0 AS may FROM h
+), bounds AS (
+  SELECT *, may AND NOT coalesce(lag(may) OVER (PARTITION BY doc_id ORDER BY i), false) AND i >= 1 AND i < max(i) OVER (PARTITION BY doc_id) - 1 AS cut FROM b
 ), numbered AS (
-  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b
+  SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM bounds
 ), c AS (
   SELECT doc_id, chunk, min(i) AS s, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk
 ), later AS (

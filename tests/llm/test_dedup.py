@@ -1,6 +1,7 @@
 """Substring, line, exact and near dedup against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from paylake.llm.components import components
 from paylake.llm.exact_dedup import drop_exact_copies, exact_dedup
 from paylake.llm.line_dedup import content_chunks, line_dedup
+from paylake.llm.pii import find_private, private_counts
+from paylake.llm.sharding import interleave_shards
 from paylake.llm.simhash import allocate, keep_one_of_each, near_duplicates
 from paylake.llm.substring_dedup import substring_dedup
 
@@ -63,14 +66,25 @@ def test_substring_repeats_inside_one_document(spark):
 def brute_chunks(text, mean=3):
     lines = (text or "").split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
+    may = [(h[i] + 1_000_003 * (h[i - 1] if i else 0)) % (2**31 - 1) % mean == 0 for i in range(len(lines))]
     out, start = [], 0
     for i in range(len(lines)):
-        if (h[i] + 31 * (h[i - 1] if i else 0)) % mean == 0 or i == len(lines) - 1:
+        cut = may[i] and not may[i - 1] and 1 <= i <= len(lines) - 3
+        if cut or i == len(lines) - 1:
             out.append((start, i - start + 1, "\n".join(lines[start:i + 1])))
             start = i + 1
     return out
 
 
+def test_chunks_have_two_lines_and_a_copy_loses_all(spark):
+    rnd = random.Random(3)
+    texts = ["\n".join(f"{rnd.random()}" for _ in range(100)) for _ in range(40)]
+    assert all(n >= 2 for t in texts for _, n, _ in brute_chunks(t))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in line_dedup(docs).collect()}
+    assert all(got[i] == (100, 0) and got[40 + i] == (100, 100) for i in range(40))
+
+
 def test_chunks_equal_brute_force(docs, rows):
     got = {(r["doc_id"], tuple(map(tuple, r["chunks"]))) for r in content_chunks(docs).collect()}
     assert got == {(r[0], tuple(brute_chunks(r[1]))) for r in rows}
@@ -222,10 +236,16 @@ def test_extra_columns_change_nothing(docs, clashing):
 
 
 def test_native_operators_run_no_python(docs):
-    for df in (line_dedup(docs), exact_dedup(docs)):
+    for df in (line_dedup(docs), exact_dedup(docs), interleave_shards(docs, shards=4), find_private(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
 
 
 def test_documents_have_an_id_column_only(docs):
     assert near_duplicates(docs.select("doc_id", F.col("text"))).count() == docs.count()
+
+
+def test_sharding_and_spans_of_empty_and_clashing_tables(docs, clashing, empty):
+    assert interleave_shards(empty, shards=4).collect() == [] and private_counts(find_private(empty)).collect() == []
+    for of in (lambda d: interleave_shards(d, shards=4), lambda d: private_counts(find_private(d))):
+        assert Counter(map(tuple, of(clashing).collect())) == Counter(map(tuple, of(docs).collect()))
