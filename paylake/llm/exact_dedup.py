@@ -4,9 +4,10 @@ Documents are grouped by length, the groups of several by the hash of a prefix
 too, and what is left by the SHA-256 of the whole text. Each step works on the
 narrow rows (doc_id, length, prefix hash) that are stored once; the full hash
 is taken only of documents whose length and prefix are shared, unless the
-caller wants it for all. Groups are counted with map-side partial aggregates,
-so a group that holds a third of all rows costs one row per task; rows meet
-their group's result in a join that adaptive execution splits when skewed.
+caller wants it for all. Groups are counted straight from stored rows, with
+map-side partial aggregates, so a group that holds a third of all rows costs
+one row per task; rows meet their group's stored result in joins of two plain
+exchanges, which adaptive execution splits when skewed.
 
 Texts are equal when identical after every run of white space (space and
 0x09-0x0D) became one space. Edge cases: null text counts as empty; rows
@@ -29,11 +30,6 @@ def normalised(column: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(column), "[\\x20\\x09-\\x0D]+", " ")
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values that several rows have."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").drop("n")
-
-
 def _keyed(docs: DataFrame, prefix_chars: int) -> DataFrame:
     norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("norm"))
     return norm.select("doc_id", "norm", F.length("norm").alias("length"), F.xxhash64(F.substring("norm", 1, prefix_chars)).alias("prefix"))
@@ -51,10 +47,13 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False
     sha = F.sha2("norm", 256)
     row = F.monotonically_increasing_id().alias("row_id")
     narrow = stored(keyed.select("doc_id", *_KEY, (sha if hash_all else F.lit(None).cast("string")).alias("text_sha256"), row), "exact-keys")
-    same_length = narrow.join(_shared(narrow, ["length"]), "length", "left_semi")
-    pairs = stored(_shared(same_length, _KEY), "exact-pairs")
+    # counts per length and prefix are taken straight from the narrow rows (map-side first);
+    # a length counts the prefixes' counts, so each step joins one row per key
+    counts = stored(narrow.groupBy(*_KEY).agg(F.count("*").alias("n")), "exact-counts")
+    lengths = counts.groupBy("length").agg(F.sum("n").alias("of_length")).where("of_length > 1")
+    pairs = stored(counts.where("n > 1").join(lengths, "length", "left_semi").select(*_KEY), "exact-pairs")
     if hash_all:
-        alive = narrow.join(pairs, _KEY, "left_semi")
+        alive = stored(narrow.join(pairs, _KEY, "left_semi"), "exact-full")
     elif pairs.count() <= broadcast_groups:
         alive = keyed.join(F.broadcast(pairs), _KEY, "left_semi").select("doc_id", *_KEY, sha.alias("text_sha256"), row)
         alive = stored(alive, "exact-full")
@@ -62,7 +61,7 @@ def exact_dedup(docs: DataFrame, prefix_chars: int = 256, hash_all: bool = False
         alive = stored(keyed.select("doc_id", *_KEY, sha.alias("text_sha256"), row).join(pairs, _KEY, "left_semi"), "exact-full")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id"))
     full = [*_KEY, "text_sha256"]
-    groups = alive.groupBy(*full).agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
+    groups = stored(alive.groupBy(*full).agg(first.alias("first"), F.count("*").alias("n")).where("n > 1"), "exact-groups")
     base = narrow if hash_all else narrow.join(pairs, _KEY, "left_anti").unionByName(alive)
     out = base.join(groups, full, "left")
     return out.select(
