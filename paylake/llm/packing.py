@@ -5,8 +5,10 @@ sequence are cut, the first piece taking the remainder. Pieces are dealt into
 partitions and each partition runs best-fit decreasing. Dual feasible functions
 give a lower bound of its number of sequences: a partition that meets the bound
 is certified and left alone. Partitions with a gap keep their full sequences,
-exchange everything else (it is dealt anew into half as many partitions) and
-rerun best-fit decreasing, until all are certified or an exchange saves nothing.
+exchange everything else (it is dealt anew into as many partitions as it fills)
+and rerun best-fit decreasing, until all are certified or one partition is
+left. Where what is left fills as many partitions as before, an exchange that
+saves nothing ends it.
 
 Only lengths and positions are shuffled, never ids. A partition's size is
 bounded, and every piece takes part. Placement is deterministic for given
@@ -23,6 +25,7 @@ import hashlib
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -168,33 +171,36 @@ def _pack(capacity: int, round_no: int):
     return run
 
 
-def best_fit_packing(docs: DataFrame, path: str, capacity: int = 2048, separator: int = 0, partition_items: int = 20_000,
-                     max_rounds: int = 4) -> DataFrame:
+def best_fit_packing(docs: DataFrame, path: str, capacity: int = 2048, separator: int = 0, partition_items: int = 20_000) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset, and ``filled``, the tokens in its sequence.
 
-    ``partition_items`` is the size of a partition of the first round; a round
-    of exchange doubles it, so ``max_rounds`` bounds a task's pieces.
+    ``partition_items`` is the size of a partition in every round.
     """
     pieces = stored(document_pieces(docs, path, capacity, separator).withColumn("rid", F.monotonically_increasing_id()), "pieces")
-    parts = max(1, -(-pieces.count() // partition_items))
+    in_parts = lambda n: max(1, -(-n // partition_items))
 
     def deal(rows: DataFrame, parts: int, round_no: int) -> DataFrame:
         dealt = rows.withColumn("part", F.pmod(F.xxhash64(F.col("rid"), F.lit(round_no)), F.lit(parts)))
         return stored(dealt.groupBy("part").applyInArrow(_pack(capacity, round_no), _PLACED), "packed")
 
-    kept, placed = None, deal(pieces, parts, 0)
-    for round_no in range(1, max_rounds + 1):
+    parts, round_no, kept = in_parts(pieces.count()), 0, []
+    placed = deal(pieces, parts, 0)
+    while parts > 1:
         settled = (F.col("bins") == F.col("bound")) | (F.col("filled") == capacity)
         rest = placed.where(~settled)
-        before = rest.agg(F.countDistinct("sequence_id").alias("n")).first()["n"]
-        if parts == 1 or not before:
+        left = rest.agg(F.count("*").alias("pieces"), F.countDistinct("sequence_id").alias("sequences")).first()
+        if not left["pieces"]:
             break
-        parts = max(1, parts // 2)
-        again = deal(rest.drop("sequence_id", "offset", "filled", "bins", "bound"), parts, round_no)
-        if again.agg(F.countDistinct("sequence_id").alias("n")).first()["n"] >= before:
+        # what is left fills fewer partitions, down to one; where it does not, an exchange must save sequences to go on
+        fewer, round_no = in_parts(left["pieces"]), round_no + 1
+        again = deal(rest.drop("sequence_id", "offset", "filled", "bins", "bound"), fewer, round_no)
+        saved = left["sequences"] - again.agg(F.countDistinct("sequence_id").alias("n")).first()["n"]
+        if saved >= 0:
+            kept.append(placed.where(settled))
+            placed = again
+        if saved <= 0 and fewer >= parts:
             break
-        done = placed.where(settled)
-        kept, placed = done if kept is None else kept.unionByName(done), again
-    placed = placed if kept is None else kept.unionByName(placed)
+        parts = fewer
+    placed = reduce(DataFrame.unionByName, [*kept, placed])
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "filled")
