@@ -55,6 +55,17 @@ def lifted(x: np.ndarray, largest: float) -> np.ndarray:
     return np.column_stack((x, np.sqrt(np.maximum(largest * largest - (x * x).sum(1), 0))))
 
 
+def _assigned(sample: np.ndarray, centroids: np.ndarray, charge: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's centroid of least charged squared distance, and that distance
+    uncharged; a block of rows at a time, so the driver holds no whole matrix."""
+    own, own_d = np.zeros(len(sample), np.int64), np.zeros(len(sample))
+    for lo in range(0, len(sample), 1024):
+        d = _distances(sample[lo:lo + 1024], centroids) ** 2
+        own[lo:lo + 1024] = best = (d + charge).argmin(1)
+        own_d[lo:lo + 1024] = d[np.arange(len(d)), best]
+    return own, own_d
+
+
 def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 15, seed: int = 42) -> np.ndarray:
     """K-means whose assignment charges crowded clusters more each round, and
     whose tiny clusters are given up to halve the largest ones."""
@@ -63,10 +74,9 @@ def balanced_centroids(sample: np.ndarray, lists: int, rounds: int = 15, seed: i
     charge = np.zeros(lists)
     even = len(sample) / lists
     for turn in range(rounds):
-        d = _distances(sample, centroids) ** 2
-        own = (d + charge).argmin(1)
+        own, own_d = _assigned(sample, centroids, charge)
         size = np.bincount(own, minlength=lists)
-        charge += 0.2 * d[np.arange(len(sample)), own].mean() * (size / even - 1).clip(-1, 3)
+        charge += 0.2 * own_d.mean() * (size / even - 1).clip(-1, 3)
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, sample)
         some = size > 0
@@ -96,7 +106,7 @@ class CentroidGraph:
     def __init__(self, centroids: np.ndarray, degree: int = 16):
         self.points = centroids
         self.least = 0.0  # a nearest distance below this counts as this
-        near = np.argsort(_distances(centroids, centroids), axis=1)[:, 1:degree + 1]
+        near = np.concatenate([np.argsort(_distances(centroids[lo:lo + 1024], centroids), axis=1)[:, 1:degree + 1] for lo in range(0, len(centroids), 1024)])
         links = [set(row.tolist()) for row in near]
         for i, row in enumerate(near):
             for j in row.tolist():
@@ -143,21 +153,28 @@ class CentroidGraph:
         return out
 
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Column numbers of each row's k largest scores, in no order."""
-    if scores.shape[1] <= k:
-        return np.tile(np.arange(scores.shape[1]), (scores.shape[0], 1))
-    return np.argpartition(-scores, k - 1, axis=1)[:, :k]
+_PAIRS = 1 << 16
 
 
 def _scored(queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, p_ids: np.ndarray, k: int) -> pa.Table:
-    """The k best points of each query, a block of queries at a time."""
+    """The k best points of each query by (score, smaller id), a block of
+    queries at a time. The matrix product only preselects: all points that may
+    tie with the k-th, as far as its rounding goes, are scored themselves."""
     out = []
+    rounding = 1e-13 * np.sqrt((queries * queries).sum(1)) * np.sqrt((points * points).sum(1).max(initial=0)) * (queries.shape[1] + 1)
     for lo in range(0, len(queries), 256):
         q = queries[lo:lo + 256]
-        top = _best(q @ points.T, k)
-        rows, cols = np.repeat(np.arange(len(q)), top.shape[1]), top.ravel()
-        out.append(pa.table({"query": q_ids[lo:lo + 256][rows], "vid": p_ids[cols], "score": (q[rows] * points[cols]).sum(1)}))
+        near = q @ points.T
+        if len(points) > k:
+            cut = np.partition(near, len(points) - k, axis=1)[:, -k]
+            rows, cols = np.nonzero(near >= (cut - rounding[lo:lo + 256])[:, None])
+        else:
+            rows, cols = np.repeat(np.arange(len(q)), len(points)), np.tile(np.arange(len(points)), len(q))
+        exact = np.concatenate([(q[rows[i:i + _PAIRS]] * points[cols[i:i + _PAIRS]]).sum(1) for i in range(0, len(rows), _PAIRS)] or [np.zeros(0)])
+        order = np.lexsort((p_ids[cols], -exact, rows))
+        rows, cols, exact = rows[order], cols[order], exact[order]
+        first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
+        out.append(pa.table({"query": q_ids[lo:lo + 256][rows[first]], "vid": p_ids[cols[first]], "score": exact[first]}))
     return pa.concat_tables(out)
 
 
@@ -171,12 +188,13 @@ def _top(rows: DataFrame, key: str, id_column: str, k: int) -> DataFrame:
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id", vector_column: str = "embedding",
             sample_rows: int = 20_000, calibration_queries: int = 200, target_recall: float = 0.97, copies: int = 3,
-            boundary: float = 0.04, max_lists: int = 4096, block_rows: int = 20_000) -> DataFrame:
+            boundary: float = 0.04, max_lists: int = 4096, block_rows: int = 20_000, block_queries: int = 5_000) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of every row that
     ``is_query`` selects among all rows but itself, by inner product.
 
     ``sample_rows`` bounds the sample that the centroids are fitted on,
-    ``max_lists`` the centroids that are broadcast, ``block_rows`` a task.
+    ``max_lists`` the centroids that are broadcast, ``block_rows`` and
+    ``block_queries`` a task.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -201,7 +219,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     centroids = balanced_centroids(lifted(sample, largest), lists)
     found = CentroidGraph(centroids)
     # an outlier may be a centroid itself, and no ratio of its distance reaches others
-    found.least = float(np.median(_distances(np.column_stack((sample, np.zeros(len(sample)))), centroids).min(1)))
+    found.least = float(np.median(np.sqrt(_assigned(np.column_stack((sample, np.zeros(len(sample)))), centroids)[1])))
     graph = spark.sparkContext.broadcast(found)  # max_lists bounds it
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,8 +270,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
 
     blocks = postings.groupBy("list").agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
     routed = stored(queries.mapInArrow(route, "list int, vid long, vec array<double>"), "ann-routed")
-    routed = routed.join(blocks, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # a long list is cut into blocks, and so are the queries that it gets
+    asks = routed.groupBy("list").agg(F.ceil(F.count("*") / F.lit(block_queries)).cast("int").alias("turns"))
+    blocks = F.broadcast(blocks.join(asks, "list"))  # max_lists rows at most
+    routed = routed.join(blocks, "list").withColumn("turn", F.pmod(F.xxhash64("vid", F.lit(1)), F.col("turns")).cast("int"))
+    routed = routed.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     blocked = postings.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("vid"), F.col("blocks")).cast("int"))
+    blocked = blocked.withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
 
     def meet(q: pa.Table, p: pa.Table) -> pa.Table:
         if not len(q) or not len(p):
@@ -261,8 +284,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
         q, p = q.combine_chunks(), p.combine_chunks()
         return _scored(_matrix(q.column("vec").combine_chunks()), q.column("vid").to_numpy(), _matrix(p.column("vec").combine_chunks()), p.column("vid").to_numpy(), k + 1)
 
-    met = routed.select("list", "block", "vid", "vec").groupBy("list", "block").cogroup(
-        blocked.select("list", "block", "vid", "vec").groupBy("list", "block")).applyInArrow(meet, _SCORED)
+    met = routed.select("list", "block", "turn", "vid", "vec").groupBy("list", "block", "turn").cogroup(
+        blocked.select("list", "block", "turn", "vid", "vec").groupBy("list", "block", "turn")).applyInArrow(meet, _SCORED)
     best = _top(met.groupBy("query", "vid").agg(F.max("score").alias("score")), "query", "vid", k + 1).drop("rank")
     best = best.join(entries.select("vid", "ids"), "vid").select("query", "score", F.explode("ids").alias("vec_id"))
     best = stored(_top(best, "query", "vec_id", k + 1).drop("rank"), "ann-best")

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from paylake.llm.ann import nearest
+from paylake.llm.ann import _scored, nearest
 from paylake.llm.pii import find_private, mask_private, private_counts
 from paylake.llm.sharding import interleave_shards
 from paylake.llm.toxicity import IDENTITY_GROUPS, drop_toxic, held_out, toxicity, train, with_scores
@@ -184,6 +184,27 @@ def test_recall_scores_and_ties(spark):
     assert [r["vec_id"] for r in found[400]] == want[400]  # equal vectors: the smallest ids, but not its own
 
 
+def test_ties_go_to_the_smaller_id_in_a_block():
+    """Vectors of few values: hundreds tie at the cut."""
+    rnd = np.random.default_rng(1)
+    points, queries = rnd.integers(-1, 2, (900, 5)).astype(float), rnd.integers(-1, 2, (300, 5)).astype(float)
+    ids = rnd.permutation(900)
+    got = _scored(queries, np.arange(300), points, ids, 7).to_pydict()
+    want = [(q, int(ids[j])) for q in range(300) for j in np.lexsort((ids, -(points @ queries[q])))[:7]]
+    assert list(zip(got["query"], got["vid"])) == want
+
+
+def test_quantised_vectors_and_clashing_columns(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, v.tolist()) for i, v in enumerate(rnd.integers(-2, 3, (1200, 10)).astype(float)) if v.any()]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("*", *[F.lit("x").alias(c) for c in ("list", "block", "score", "rank", "vid", "turn")])
+    got = {}
+    for r in nearest(table, F.col("vec_id") % 20 == 0, k=20, block_rows=100, block_queries=7).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    want = brute_nearest(rows, 20)
+    assert np.mean([len(got[q] & set(w)) / 20 for q, w in want.items()]) >= 0.9
+
+
 def test_few_candidates_and_empty(spark):
     table = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(1, 22)] + [(40, [2.0, 1.0])], "vec_id long, embedding array<double>")
     got = nearest(table, F.col("vec_id") % 20 == 0, k=50)
