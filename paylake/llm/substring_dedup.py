@@ -15,7 +15,8 @@ chunk" means "an earlier document" and no occurrence list is ever gathered: a
 chunk sends each of its distinct hashes once, sorted and packed, to the task
 that owns that hash range, and gets back which of them other chunks hold. A
 passage shared by a third of the corpus therefore costs one entry per chunk.
-A hash range and a chunk are both of bounded size, whatever the corpus holds.
+A hash range is of bounded size, and so is a chunk: an id that fills chunks by
+itself, as rows without one do together, is cut by the first bytes of its texts.
 
 Edge cases: a null or blank text has no words; fewer than ``min_words`` words
 have no window; rows without ``doc_id`` come after all others; rows with equal
@@ -32,7 +33,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylake.llm import words as W
@@ -369,6 +370,54 @@ def _double(key, tbl: pa.Table, resp: pa.Table, length: int) -> pa.Table:
     return pa.concat_tables([out, _result({"chunk": [chunk], "state": [raw]})])
 
 
+_HEAD = 7
+
+
+def _head(text: str) -> Column:
+    """The first bytes of a text as a number that sorts as the text does."""
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(F.substring(text, 1, _HEAD), "UTF-8"), 1, _HEAD)), 2 * _HEAD, "0"), 16, 10).cast("long")
+
+
+def _bounds(rows: DataFrame, chunks: int) -> list[tuple[int, np.ndarray]]:
+    """Ends of the chunks: (id, starts of texts) in order. A chunk ends with an
+    id; one that fills several chunks by itself (all rows without an id count as
+    one) is cut by how its texts start."""
+    if chunks <= 1:
+        return []
+    cuts = [i / chunks for i in range(1, chunks)]
+    edges = rows.agg(F.percentile_approx("order_id", cuts, max(10_000, 20 * chunks)).alias("e")).first()["e"]
+    ids, times = np.unique(np.array(edges, np.int64), return_counts=True)
+    heavy = {int(i): int(n) for i, n in zip(ids, times) if n > 1}
+    heads: dict[int, np.ndarray] = {}
+    if heavy:  # as many ids as there are chunks at most
+        pieces = rows.where(F.col("order_id").isin(list(heavy))).select("order_id", _head("text").alias("head")).groupBy("order_id").agg(
+            F.percentile_approx("head", [i / 64 for i in range(1, 64)], 10_000).alias("h"))
+        heads = {r["order_id"]: np.unique(np.array(r["h"], np.int64)) for r in pieces.collect()}
+    none = np.zeros(0, np.int64)
+    out = []
+    for i in ids.tolist():
+        if i in heavy:
+            if not out or out[-1][0] != i - 1:
+                out.append((i - 1, none))
+            out.append((i, heads[i][np.unique(np.linspace(0, len(heads[i]) - 1, min(heavy[i], len(heads[i]))).round().astype(int))]))
+        else:
+            out.append((i, none))
+    return out
+
+
+def _chunk_numbers(bounds: list[tuple[int, np.ndarray]], ids: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Chunk of each row: growing with (id, text)."""
+    ends = np.array([i for i, _ in bounds], np.int64)
+    first = np.concatenate(([0], np.cumsum([1 + len(h) for _, h in bounds]))).astype(np.int64)
+    at = np.searchsorted(ends, ids, side="left")
+    out = first[at]
+    for b, (i, starts) in enumerate(bounds):
+        if len(starts):
+            mine = ids == i
+            out[mine] = first[b] + np.searchsorted(starts, heads[mine], side="right")
+    return out.astype(np.int32)
+
+
 def substring_dedup(docs: DataFrame, min_words: int = 20, chunk_bytes: int = 8 << 20, range_hashes: int = 2 << 20,
                     with_text: bool = False) -> DataFrame:
     """Remove every word covered by a window of ``min_words`` words whose word
@@ -391,19 +440,14 @@ def substring_dedup(docs: DataFrame, min_words: int = 20, chunk_bytes: int = 8 <
     estimate = max(1, total // 5)  # windows; only sizes depend on it
     buckets = max(1, min(max(parts, estimate // range_hashes), estimate))
     bits = min(64, math.ceil(math.log2(estimate + 1)) + 12)
-    if chunks > 1:
-        cuts = [i / chunks for i in range(1, chunks)]
-        edges = rows.agg(F.percentile_approx("order_id", cuts, max(10_000, 20 * chunks)).alias("e")).first()["e"]
-        edges = np.unique(np.array(edges, np.int64))
-    else:
-        edges = np.zeros(0, np.int64)
+    bounds = _bounds(rows, chunks)
 
     @F.pandas_udf("int")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="left").astype(np.int32))
+    def chunk_of(ids: pd.Series, heads: pd.Series) -> pd.Series:
+        return pd.Series(_chunk_numbers(bounds, ids.to_numpy(), heads.to_numpy()))
 
     half = (min_words + 1) // 2
-    dealt = rows.withColumn("chunk", chunk_of("order_id"))
+    dealt = rows.withColumn("chunk", chunk_of("order_id", _head("text")))
     by_chunk = dealt.groupBy("chunk")
     resolve = {e: partial(_resolve, exact=e) for e in (False, True)}
     sent = by_chunk.applyInArrow(_takes_table(partial(_base, width=half, bits=bits, buckets=buckets)), _MESSAGE)

@@ -15,7 +15,7 @@ from paylake.llm.line_dedup import content_chunks, line_dedup
 from paylake.llm.pii import find_private, private_counts
 from paylake.llm.sharding import interleave_shards
 from paylake.llm.simhash import allocate, keep_one_of_each, near_duplicates
-from paylake.llm.substring_dedup import substring_dedup
+from paylake.llm.substring_dedup import _bounds, substring_dedup
 
 LAST = 1 << 62
 
@@ -49,6 +49,16 @@ def test_substring_equals_brute_force(docs, rows, n, chunk, ranges):
     assert Counter(map(tuple, got)) == brute_substring(rows, n)
 
 
+def test_substring_with_many_rows_of_one_id_or_none(spark, rows):
+    """Rows without an id, and those of one id, fill several chunks."""
+    mixed = [(None if i % 3 == 0 else 7 if i % 3 == 1 else r[0], *r[1:]) for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(mixed, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    got = substring_dedup(docs, chunk_bytes=2000, range_hashes=500).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert Counter(map(tuple, got)) == brute_substring(mixed, 20)
+    ordered = docs.select(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order_id"), F.coalesce("text", F.lit("")).alias("text"))
+    assert sum(len(h) for _, h in _bounds(ordered, 40)) >= 15
+
+
 def test_substring_levels_and_text(spark):
     long = " ".join(f"w{i}" for i in range(200))
     rows = [(1, long + " a b c"), (2, "x y " + " ".join(f"w{i}" for i in range(90)) + " z"), (3, long + " a b c"), (4, "short text")]
