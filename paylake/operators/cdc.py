@@ -25,6 +25,8 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,19 +88,27 @@ def scd2(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=()
     hot, longest = _hot_keys(base, keys, hot_rows) if hot_rows else (None, 0)
     if hot is None:
         return _scd2_single(base, keys, sequence_by, [*order_cols, *tracked], tracked)
-    cold = base.join(F.broadcast(hot), keys, "left_anti")  # MAX_HOT_KEYS rows at most
+    hot = F.broadcast(hot)  # MAX_HOT_KEYS rows at most
+    cold = _join_nulls(base, hot, keys, "left_anti")
     last = Window.partitionBy(*keys, sequence_by).orderBy(*[F.col(c).desc() for c in [*tiebreak, *tracked]])
-    long = (base.join(F.broadcast(hot), keys, "left_semi")
+    long = (_join_nulls(base, hot, keys, "left_semi")
             .withColumn("_rn", F.row_number().over(last)).where("_rn = 1").drop("_rn"))
     pieces = min(1_000, -(-longest // hot_rows))
     cuts = [i / pieces for i in range(1, pieces)]
     ranges = long.groupBy(*keys).agg(F.percentile_approx(sequence_by, cuts, 10_000).alias("_cuts"))
-    long = (long.join(F.broadcast(ranges), keys)
+    long = (_join_nulls(long, F.broadcast(ranges), keys, "inner")
             .withColumn("_chunk", F.size(F.filter("_cuts", lambda c: c < F.col(sequence_by)))).drop("_cuts"))
     return (_scd2_single(cold, keys, sequence_by, [*order_cols, *tracked], tracked)
             .unionByName(_scd2_chunked(long, keys, sequence_by, [sequence_by], tracked)))
 
 
+def _join_nulls(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on equal keys, null keys being equal; the left side's keys stay."""
+    other = right.select(*[F.col(k).alias(f"_j_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    return left.join(other, same, how).drop(*[f"_j_{k}" for k in keys])
+
+
 def _hot_keys(base: DataFrame, keys, hot_rows: int) -> tuple[DataFrame | None, int]:
     """The keys with more than ``hot_rows`` changes and the longest history."""
     counted = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
@@ -158,7 +168,7 @@ def _scd2_chunked(df, keys, seq, order_cols, tracked):
                .select(*kc, "_first_is_change", "_next_chunk"))
 
     # Pass 2: keep the changes, end each version at the next kept start.
-    kept = (rows.join(summary, kc, "left")
+    kept = (_join_nulls(rows, summary, kc, "left")
             .where(F.when(F.col("_first_in_chunk"), F.col("_first_is_change")).otherwise(changed_inside)))
     return kept.select(*keys, *tracked,
                        F.col(seq).alias(START_AT),
