@@ -39,12 +39,12 @@ def content_chunks(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_id"), F.split("text", "\n", -1).alias("lines"))
     rows = rows.withColumn("h", F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")))
-    rows = rows.withColumn("prior", F.slice(F.concat(F.array(F.lit(0).cast("long")), "h"), F.lit(1), F.size("h")))
-    rows = rows.withColumn("may", F.zip_with("h", "prior", lambda x, p: F.pmod(F.pmod(x + p * _ROLL, F.lit(_PRIME)), F.lit(mean_lines)) == 0))
-    rows = rows.withColumn("before", F.slice(F.concat(F.array(F.lit(False)), "may"), F.lit(1), F.size("may")))
+    # looked up by place: arrays put side by side would be built anew for every document
+    may = F.transform("h", lambda x, i: F.pmod(F.pmod(x + F.coalesce(F.get("h", i - 1), F.lit(0)) * _ROLL, F.lit(_PRIME)), F.lit(mean_lines)) == 0)
+    rows = rows.withColumn("may", may)
     last = F.size("lines") - 1
-    cuts = F.filter(F.transform(F.zip_with("may", "before", lambda m, b: m & ~b), lambda x, i: F.when(x, i).otherwise(-1)), lambda i: (i >= 1) & (i < last - 1))
-    rows = rows.withColumn("ends", F.concat(cuts, F.array(last)))
+    inner = F.when(last >= 3, F.filter(F.sequence(F.lit(1), last - 2), lambda i: F.get("may", i) & ~F.get("may", i - 1)))
+    rows = rows.withColumn("ends", F.concat(F.coalesce(inner, F.expr("cast(array() as array<int>)")), F.array(last)))
     rows = rows.withColumn("starts", F.slice(F.concat(F.array(F.lit(0)), F.transform("ends", lambda e: e + 1)), F.lit(1), F.size("ends")))
     return rows.withColumn("chunks", F.zip_with("starts", "ends", lambda s, e: F.struct(
         s.alias("start"), (e - s + 1).alias("n"), F.array_join(F.slice("lines", s + 1, e - s + 1), "\n").alias("body")))).select(
@@ -53,7 +53,8 @@ def content_chunks(docs: DataFrame, mean_lines: int = 3) -> DataFrame:
 
 def repeated_chunks(docs: DataFrame, mean_lines: int = 3, min_lines: int = 2) -> DataFrame:
     """(doc_id, text_id, start, n) of every chunk to remove."""
-    chunks = content_chunks(docs, mean_lines).select("doc_id", "text_id", F.explode("chunks").alias("c")).where(F.col("c.n") >= min_lines)
+    # every document has a chunk; a plain explode would filter by the chunks' number first, and so compute them twice
+    chunks = content_chunks(docs, mean_lines).select("doc_id", "text_id", F.explode_outer("chunks").alias("c")).where(F.col("c.n") >= min_lines)
     chunks = chunks.select("doc_id", "text_id", F.col("c.start").alias("start"), F.col("c.n").alias("n"), F.col("c.body").alias("body"))
     chunks = chunks.withColumn("key", F.xxhash64("body"))
     keys = stored(chunks.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "chunk-keys")
