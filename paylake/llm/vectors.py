@@ -42,7 +42,7 @@ def pack(rows: DataFrame, vector: str, dimension: int, block_rows: int, keep: tu
             head, rest = whole.slice(0, n), whole.slice(n)
             x = head.column(vector).combine_chunks()
             x = x.flatten().to_numpy(zero_copy_only=False).astype("<i8", copy=False)
-            cols = [pa.array([[*head.column(c).to_numpy()]], pa.list_(pa.int64())) for c in keep]
+            cols = [pa.ListArray.from_arrays(pa.array([0, head.num_rows], pa.int32()), head.column(c).combine_chunks()) for c in keep]  # nulls stay
             out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([nth], pa.int32()), pa.array([n], pa.int32()),
                                               pa.array([x.tobytes()], pa.binary()), *cols], names=["part", "nth", "n", "x", *keep])
             waiting, have, nth = (rest.to_batches() if rest.num_rows else []), rest.num_rows, nth + 1
