@@ -108,7 +108,8 @@ def raw_view(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 # (application, root, view, state of its sources) -> folder of the landed copy
 _LANDED: dict[tuple, str] = {}
-LANDED_FILE_BYTES = 128 << 20
+#: Sources up to this size are dealt over all cores when they are landed.
+SPREAD_BYTES = 64 << 20
 
 
 def _source_state(spark: SparkSession, root: str, table: str) -> tuple:
@@ -125,8 +126,10 @@ def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     Feeds arrive as stored text, not as expressions over other tables; reading
     them from storage keeps the fixture's derivation out of every silver plan
     (Catalyst would otherwise inline it into each pushed-down rule filter).
-    The number of files follows the size of the sources, and at least every
-    core gets a share.
+    Small sources are dealt over files so that every core gets a share; larger
+    ones are written by the tasks that derive them, whose number follows the
+    size: dealing rows round robin would shuffle the whole feed once more and
+    sort it by every column first.
     """
     from paylake.session import fresh_dir
 
@@ -135,8 +138,10 @@ def landed_view(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = _LANDED.get(key)
     if path is None:
         path = fresh_dir(spark, f"landed-{name}")
-        files = max(2 * spark.sparkContext.defaultParallelism, sum(n for _, n, _ in sources) // LANDED_FILE_BYTES)
-        raw_view(spark, root, name).repartition(files).write.parquet(path)
+        rows = raw_view(spark, root, name)
+        if sum(n for _, n, _ in sources) <= SPREAD_BYTES:
+            rows = rows.repartition(2 * spark.sparkContext.defaultParallelism)
+        rows.write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(path)
 
