@@ -7,9 +7,11 @@ upkeep re-applies them to the keys a batch touched.
 Scale notes
 -----------
 * SCD1 is a top-1 per key (``row_number() == 1`` over the sequence, newest
-  first). Spark plans it with a partial ``WindowGroupLimit`` before the
-  shuffle, so even a key holding a third of all rows is reduced to one row per
-  task before it moves, as a partial aggregate would be.
+  first). Rows are dealt by key first and sorted once, in tasks of a shuffle
+  partition's size. Only rows whose keys fall into a crowded place (of a
+  bounded number of hash places, counted from the key columns) are sorted
+  before they move: there Spark's partial ``WindowGroupLimit`` cuts a key that
+  holds a third of all rows down to one row per task, as a partial aggregate would.
 * SCD2 needs the previous and next change of each key, i.e. windows ordered by
   the sequence: one shuffle by key. A key with a very long history would put
   it into one task, so keys are counted first (a partial aggregate over the
@@ -39,8 +41,15 @@ def _value_columns(df: DataFrame, keys, order, except_cols) -> list[str]:
     return [c for c in df.columns if c not in skip]
 
 
+HOT_ROWS = 1_000_000
+#: At most this many keys are treated as hot; their number bounds a broadcast.
+MAX_HOT_KEYS = 1_000
+#: Hash places in which SCD1 counts its rows to find hot keys.
+PLACES = 4_096
+
+
 def scd1(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=(),
-         keep_sequence: bool = False) -> DataFrame:
+         keep_sequence: bool = False, counted: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Current state per key: the newest change wins (G1).
 
     Ties on ``sequence_by`` are broken by ``tiebreak`` columns and then by the
@@ -48,6 +57,10 @@ def scd1(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=()
     ``keep_sequence`` the winning row keeps its sequence column, so the result
     can itself be merged with later changes: ``scd1(state ∪ new)`` equals
     ``scd1(all changes)`` (newest-wins is associative).
+
+    Places with ``hot_rows`` rows more than usual are reduced before the
+    shuffle. They are counted in ``counted`` where the caller has the same keys
+    stored (more rows do no harm), else in the changes.
     """
     keys = list(keys)
     order_cols = [sequence_by, *tiebreak]
@@ -57,18 +70,33 @@ def scd1(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=()
         carried = [sequence_by, *carried]
     # newest first; NULLs rank lowest, as in a struct maximum
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_cols, *values]])
-    return (changes.withColumn("_rn", F.row_number().over(newest))
-            .where(F.col("_rn") == 1)
-            .select(*keys, *values, *carried))
 
+    def first(rows):
+        return (rows.withColumn("_rn", F.row_number().over(newest))
+                .where(F.col("_rn") == 1)
+                .select(*keys, *values, *carried))
 
-def _tracked_struct(cols) -> Column:
-    return F.struct(*[F.col(c) for c in cols])
+    needed = changes.select(*dict.fromkeys([*keys, *order_cols, *values]))
+    crowded = crowded_places(changes if counted is None else counted, keys, hot_rows)
+    if not crowded:
+        return first(needed.repartition(*keys))
+    hot = hash_place(keys).isin(crowded)
+    return first(needed.where(~hot).repartition(*keys)).unionByName(first(needed.where(hot)))
 
 
-HOT_ROWS = 1_000_000
-#: At most this many keys are treated as hot; their number bounds a broadcast.
-MAX_HOT_KEYS = 1_000
+def hash_place(keys) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PLACES))
+
+
+def crowded_places(rows: DataFrame, keys, hot_rows: int) -> list[int]:
+    """Places that hold ``hot_rows`` rows beyond twice the average."""
+    counts = rows.groupBy(hash_place(keys).alias("place")).count().collect()  # PLACES rows at most
+    usual = 2 * sum(r["count"] for r in counts) / PLACES
+    return sorted(r["place"] for r in counts if r["count"] > usual + hot_rows)
+
+
+def _tracked_struct(cols) -> Column:
+    return F.struct(*[F.col(c) for c in cols])
 
 
 def scd2(changes: DataFrame, keys, sequence_by: str, except_cols=(), tiebreak=(),

@@ -20,7 +20,7 @@ def silver_transactions(raw_tx: DataFrame, sequence_by: str | None = None) -> Da
     """SCD1 table of valid transactions, newest change per composite key."""
     seq = sequence_by or SEQUENCE["transactions"]
     return scd1(valid(raw_tx, "transactions"), KEYS["transactions"], seq,
-                except_cols=[c for c in EXCEPT_COLUMNS if c != seq])
+                except_cols=[c for c in EXCEPT_COLUMNS if c != seq], counted=raw_tx)
 
 
 def silver_history(raw: DataFrame, feed: str, sequence_by: str | None = None, **options) -> DataFrame:
