@@ -1,7 +1,7 @@
 """Gold and the fact kept up from changes.
 
 Two committed folds of a silver table differ in some leaves; their rows before
-and after, compared by key and row hash, are the gold rows that were inserted,
+and after, compared by key and row, are the gold rows that were inserted,
 updated or deleted. Gold is a keyed state of its own that takes them in.
 
 The fact keeps partial aggregates (sum and counts per fact key) as a list of
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylake.plans import marts as M
+from paylake.session import fresh_dir
 from paylake.sources import sinks
 from paylake.streaming.state import KeyedState
 
@@ -29,17 +30,17 @@ FACT_KEYS = ("PK_Tiempo", "user_id", "merchant_id", "channel_id")
 
 
 def row_changes(before: DataFrame | None, after: DataFrame | None, keys) -> DataFrame:
-    """Rows of ``after`` that are new or differ by their hash (``op`` insert or
-    update), and rows of ``before`` whose key is gone (delete). Keys are unique."""
+    """Rows of ``after`` that are new or differ (``op`` insert or update), and
+    rows of ``before`` whose key is gone (delete). Keys are unique. Both rows
+    are there after the join, so they are compared themselves, not by hashes
+    that would have to move with them."""
     some = after if after is not None else before
-    values = [c for c in some.columns if c not in keys]
     empty = some.limit(0)
-    mark = F.sha2(F.to_json(F.struct(*[F.col(c) for c in values]), {"ignoreNullFields": "false"}), 256)
-    old = (before if before is not None else empty).select(F.struct(*some.columns).alias("_was"), *[F.col(k).alias(f"_k_{k}") for k in keys], mark.alias("_old"))
-    new = (after if after is not None else empty).select(F.struct(*some.columns).alias("_is"), *keys, mark.alias("_new"))
+    old = (before if before is not None else empty).select(F.struct(*some.columns).alias("_was"), *[F.col(k).alias(f"_k_{k}") for k in keys])
+    new = (after if after is not None else empty).select(F.struct(*some.columns).alias("_is"), *keys)
     same = [new[k].eqNullSafe(old[f"_k_{k}"]) for k in keys]
-    both = new.join(old, same, "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
-    op = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").otherwise("update")
+    both = new.join(old, same, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_is")))
+    op = F.when(F.col("_was").isNull(), "insert").when(F.col("_is").isNull(), "delete").otherwise("update")
     return both.select(F.coalesce("_is", "_was").alias("r"), op.alias(OP)).select("r.*", OP)
 
 
@@ -54,7 +55,7 @@ class GoldTable:
 
     @property
     def state(self) -> KeyedState:
-        return KeyedState(self.root, self.silver.keys, FOLD, history=False)
+        return KeyedState(self.root, self.silver.keys, FOLD, history=False, buckets=self.silver.buckets)
 
     def changes(self, spark: SparkSession, older: int | None, newer: int) -> DataFrame:
         """Gold rows that changed between two silver folds, with their ``op``."""
@@ -129,7 +130,9 @@ def fact_delta(before: Gold | None, after: Gold, changed: DataFrame, **options)
     for gold in (before, after):
         touched = touched.unionByName(gold.transactions.select(*TX_KEYS).join(users, "user_id", "left_semi").select(*TX_KEYS))
         touched = touched.unionByName(gold.transactions.select(*TX_KEYS).join(merchants, "merchant_id", "left_semi").select(*TX_KEYS))
-    touched = touched.distinct()
+    path = fresh_dir(touched.sparkSession, "touched")  # both sides read it: the comparison of two folds runs once
+    touched.distinct().write.parquet(path)
+    touched = touched.sparkSession.read.parquet(path)
     return partials(before.scored(touched, TX_KEYS, **options), -1).unionByName(partials(after.scored(touched, TX_KEYS, **options), 1))
 
 
