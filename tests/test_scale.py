@@ -56,3 +56,19 @@ def test_newest_rows_are_sorted_once(spark):
     hot = scd1(changes, ["k"], "seq", hot_rows=500)
     assert "Partial" in plan_text(hot) and "Union" in plan_text(hot)
     assert sorted(map(tuple, hot.collect()), key=repr) == want
+
+
+def test_a_fold_cuts_a_hot_key_down_before_it_moves(spark, monkeypatch):
+    from paylake.streaming import state as S
+
+    monkeypatch.setattr(S, "HOT_ROWS", 20, raising=False)
+    rows = [("hot" if i % 3 == 0 else f"k{i % 40}", (i * 37) % 101, f"v{i % 5}", i % 2) for i in range(400)]
+    state = S.KeyedState(fresh_dir(spark, "t-hot"), ("k",), "seq", history=False, buckets=2)
+    schema = "k string, seq int, v string, w int"
+    for b in range(2):
+        changes = spark.createDataFrame(rows[b * 200:(b + 1) * 200], schema)
+        placed = changes.withColumns({"_leaf": F.lit(0), "_run": F.lit(0)})
+        assert state._thinned(placed, changes).where("k = 'hot'").count() == 1
+        state.fold(changes, b)
+    want = scd1(spark.createDataFrame(rows, schema), ["k"], "seq")
+    assert sorted(map(tuple, state.table(spark).collect())) == sorted(map(tuple, want.collect()))
