@@ -3,9 +3,14 @@
 A partition's distinct words (matches of the splitting pattern) become rows
 (word, position, token) of an in-process DuckDB. A recursive query joins
 neighbouring rows with the merge table and contracts each word's leftmost pair
-of least rank until no pair merges; decoding joins the ids with the vocabulary
-and aggregates the bytes in order of position. Words seen lately in the same
-Python worker are not encoded again.
+of least rank until no pair merges; decoding looks runs of ids up in the
+vocabulary and aggregates their bytes in order of position. Words seen lately in
+the same Python worker are not encoded again.
+
+The recursion starts with pairs of bytes contracted that merge in any case:
+where no token of the same or a lower rank holds the two bytes that meet at an
+edge of the pair, neither of its bytes can go to another token first, nor can
+the pair's token be in a merge of lower rank.
 
 A word of over 512 bytes is contracted by the same step in a loop, one table
 after the other, with all occurrences of its least pair in one round where that
@@ -21,12 +26,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from array import array
 from collections.abc import Iterator
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +46,7 @@ _SHARE = 1 << 19
 #: A word keeps a row per token and step, so up to half its length squared.
 _SHARE_SQUARES = 1 << 23
 _LONG = 512
+_RUN = 64
 _KEEP_PIECES = 250_000
 _MEMORY = "256MB"
 
@@ -92,10 +98,13 @@ WITH pairs AS (
 SELECT pos, CASE WHEN take THEN merged ELSE id END AS id FROM marked WHERE NOT gone
 """
 
+# Runs of ids are looked up in the vocabulary as a list (id 0 is its first
+# element; numbers beyond it have no bytes).
 _DECODE = """
-SELECT doc, string_agg(v.bytes, '' ORDER BY pos) AS decoded
-FROM ids JOIN vocabulary v USING (id) GROUP BY doc
+SELECT doc, string_agg(array_to_string(list_select(v.tokens, run), ''), '' ORDER BY pos) AS decoded
+FROM runs, vocabulary v GROUP BY doc
 """
+_NEVER = np.iinfo(np.int32).max
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -119,21 +128,48 @@ class Codec:
                     right.append(b)
                     merged.append(rank)
         a, b, m = (np.array(x, np.int32) for x in (left, right, merged))
-        lowest = np.full(max(ranks.values()) + 1, np.iinfo(np.int32).max, np.int32)
+        lowest = np.full(max(ranks.values()) + 1, _NEVER, np.int32)
         np.minimum.at(lowest, a, m)
         np.minimum.at(lowest, b, m)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": _MEMORY, "temp_directory": ""})
         self.db.register("m", pa.table({"a": a, "b": b, "id": m, "alone": lowest[m] <= m}))
         self.db.execute("CREATE TABLE merges AS SELECT a::BIGINT * 65536 + b AS both, id, alone FROM m")
         self.db.unregister("m")
-        self.db.register("v", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]}))
+        tokens = [None] * (max(ranks.values()) + 1)
+        # per pair of bytes: its token, and the least of all tokens that hold the pair
+        self.pair_id, self.pair_least = (np.full(1 << 16, _NEVER, np.int32) for _ in range(2))
+        for token, rank in ranks.items():
+            tokens[rank] = token.decode("latin-1")
+            if len(token) == 2:
+                self.pair_id[token[0] << 8 | token[1]] = rank
+        raw, sizes = np.frombuffer(b"".join(ranks), np.uint8), np.array([len(t) for t in ranks], np.int64)
+        token = np.repeat(np.arange(len(sizes)), sizes)
+        pair, inside = self._pairs(raw, token)
+        np.minimum.at(self.pair_least, pair[inside], np.array(list(ranks.values()), np.int32)[token[:-1][inside]])
+        self.db.register("v", pa.table({"tokens": pa.array([tokens], pa.list_(pa.string()))}))
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM v")
         self.db.unregister("v")
-        self.names = [b"%d" % i for i in range(max(ranks.values()) + 1)]
+        self.names = pa.array([b"%d" % i for i in range(len(tokens))])
         self.known = Recent(_KEEP_PIECES)  # piece -> (ids as 32-bit integers, ids as decimal text)
 
-    def _encode_words(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct words by the recursive query, a share at a time."""
+    @staticmethod
+    def _pairs(raw: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every two neighbouring bytes as a number, and whether one word has both."""
+        return raw[:-1].astype(np.int32) << 8 | raw[1:], word[:-1] == word[1:]
+
+    def _start(self, raw: np.ndarray, word: np.ndarray) -> pa.Table:
+        """The words' bytes as tokens, with the pairs contracted that merge in any case."""
+        pair, inside = self._pairs(raw, word)
+        merged, least = (np.append(np.where(inside, x[pair], _NEVER), _NEVER) for x in (self.pair_id, self.pair_least))
+        sure = merged < _NEVER
+        sure[1:] &= merged[1:] < least[:-1]
+        sure[:-1] &= merged[:-1] < least[1:]
+        pos = np.flatnonzero(np.append(True, ~sure[:-1]))  # two such pairs never share a byte
+        return pa.table({"word": word[pos], "pos": pos, "id": np.where(sure, merged, self.byte_id[raw])[pos].astype(np.int32)})
+
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
+        """Ids of distinct words by the recursive query, a share at a time: as
+        32-bit integers and as decimal text."""
         found = {w: self._encode_long(w) for w in words if len(w) > _LONG}
         words = [w for w in words if len(w) <= _LONG]
         lengths = np.array([len(x) for x in words], np.int64)
@@ -143,39 +179,44 @@ class Codec:
             hi = min(int(np.searchsorted(at, at[lo] + _SHARE, side="right")), int(np.searchsorted(squares, squares[lo] + _SHARE_SQUARES, side="right"))) - 1
             hi = max(lo + 1, hi)
             raw = np.frombuffer(b"".join(words[lo:hi]), np.uint8)
-            self.db.register("bytes", pa.table({"word": np.repeat(np.arange(hi - lo, dtype=np.int32), lengths[lo:hi]),
-                                                "pos": np.arange(len(raw), dtype=np.int64), "id": self.byte_id[raw]}))
+            self.db.register("bytes", self._start(raw, np.repeat(np.arange(hi - lo, dtype=np.int32), lengths[lo:hi])))
             rows = self.db.execute(_ENCODE).fetchnumpy()
             self.db.unregister("bytes")
-            ids = rows["id"].tolist()
-            cut = np.searchsorted(rows["word"], np.arange(hi - lo + 1)).tolist()
-            found.update((w, ids[a:b]) for w, a, b in zip(words[lo:hi], cut, cut[1:]))
+            found.update(zip(words[lo:hi], self._shown(rows["id"], np.searchsorted(rows["word"], np.arange(hi - lo + 1)))))
             lo = hi
         return found
 
-    def _encode_long(self, word: bytes) -> list[int]:
+    def _shown(self, ids: np.ndarray, cut: np.ndarray) -> Iterator[tuple[bytes, bytes]]:
+        raw, at = ids.astype(np.int32).tobytes(), (4 * cut).tolist()
+        shown = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cut, pa.int64()), self.names.take(pa.array(ids))), b" ")
+        return zip((raw[a:b] for a, b in zip(at, at[1:])), shown.to_pylist())
+
+    def _encode_long(self, word: bytes) -> tuple[bytes, bytes]:
         raw = np.frombuffer(word, np.uint8)
-        self.db.register("bytes", pa.table({"pos": np.arange(len(raw), dtype=np.int64), "id": self.byte_id[raw]}))
-        self.db.execute("CREATE OR REPLACE TABLE before AS SELECT * FROM bytes")
+        start = self._start(raw, np.zeros(len(raw), np.int32))
+        self.db.register("bytes", start)
+        self.db.execute("CREATE OR REPLACE TABLE before AS SELECT pos, id FROM bytes")
         self.db.unregister("bytes")
-        n = len(raw)
+        n = len(start)
         while True:
             self.db.execute(_ENCODE_LONG)
             left = self.db.execute("SELECT count(*) FROM after").fetchone()[0]
             if left == n:
-                return self.db.execute("SELECT id FROM after ORDER BY pos").fetchnumpy()["id"].tolist()
+                ids = self.db.execute("SELECT id FROM after ORDER BY pos").fetchnumpy()["id"]
+                return next(self._shown(ids, np.array([0, n])))
             n = left
             self.db.execute("DROP TABLE before")
             self.db.execute("ALTER TABLE after RENAME TO before")
 
     def _learn(self, pieces: list[bytes]) -> None:
         # an optional space and ASCII letters are one match of the pattern
-        split = [[p] if p[p[:1] == b" ":].isalpha() else [w.encode() for w in self.pattern.findall(p.decode())] for p in pieces]
-        ids = self._encode_words(list({w for ws in split for w in ws}))
-        names = self.names
-        for piece, ws in zip(pieces, split):
-            tokens = ids[ws[0]] if len(ws) == 1 else [i for w in ws for i in ids[w]]
-            self.known.new[piece] = (array("i", tokens).tobytes(), b" ".join([names[i] for i in tokens]))
+        whole = [p for p in pieces if p[p[:1] == b" ":].isalpha()]
+        cut = {p: [w.encode() for w in self.pattern.findall(p.decode())] for p in pieces if not p[p[:1] == b" ":].isalpha()}
+        ids = self._encode_words(list({*whole, *(w for ws in cut.values() for w in ws)}))
+        self.known.new.update((p, ids[p]) for p in whole)
+        for piece, ws in cut.items():
+            parts = [ids[w] for w in ws]
+            self.known.new[piece] = (b"".join([x[0] for x in parts]), b" ".join([x[1] for x in parts]))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(all ids, ids per row, per row its ids as text)."""
@@ -200,15 +241,18 @@ class Codec:
         out = [b""] * len(counts)
         lo = 0
         ends = np.cumsum(counts)
+        places = np.where((ids >= 0) & (ids < len(self.names)), ids + 1, 0).astype(np.int32)
         while lo < len(counts):  # some rows at a time, one at least
             base = ends[lo] - counts[lo]
             hi = max(lo + 1, int(np.searchsorted(ends, base + (1 << 18), side="right")))
-            part = ids[base:ends[hi - 1]]
-            self.db.register("ids", pa.table({"doc": np.repeat(np.arange(lo, hi, dtype=np.int32), counts[lo:hi]),
-                                              "pos": np.arange(len(part), dtype=np.int32), "id": part.astype(np.int32)}))
-            for doc, text in self.db.execute(_DECODE).fetchall():
-                out[doc] = text.encode("latin-1")
-            self.db.unregister("ids")
+            part = places[base:ends[hi - 1]]
+            cut = np.unique(np.concatenate((np.arange(0, len(part), _RUN), ends[lo:hi] - base)))
+            if len(part):
+                runs = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(part))
+                self.db.register("runs", pa.table({"doc": lo + np.searchsorted(ends[lo:hi] - base, cut[:-1], side="right"), "pos": cut[:-1], "run": runs}))
+                for doc, text in self.db.execute(_DECODE).fetchall():
+                    out[doc] = text.encode("latin-1")
+                self.db.unregister("runs")
             lo = hi
         return out
 

@@ -62,6 +62,44 @@ def test_many_long_words_fit_the_memory():
     assert Codec(raw, PATTERN).encode(pa.array([text]))[0].tolist() == enc.encode_ordinary(text)
 
 
+def test_pairs_contracted_first_are_part_of_the_tokens():
+    """The recursion gets at most three rows for four bytes, and no token of the library ends inside a pair contracted before."""
+    rnd = random.Random(12)
+    raw = open(RANKS, "rb").read()
+    enc = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=read_ranks(raw), special_tokens={})
+    parts = ["the", "ing", "tion", "sch", "ent", "on", "er", "qu", "a", "e", "s", "x", "z", "é", "ñ", "ó", "日", "aaa"]
+    words = list({rnd.choice(["", " "]) + "".join(rnd.choice(parts) for _ in range(rnd.randint(1, 8))) for _ in range(5000)})
+    words += list({"".join(rnd.choice("abt") for _ in range(rnd.randint(1, 12))) for _ in range(2000)} - set(words))
+    c, own = Codec(raw, PATTERN), [w.encode() for w in words]
+    lengths = np.array([len(w) for w in own])
+    rows = c._start(np.frombuffer(b"".join(own), np.uint8), np.repeat(np.arange(len(own), dtype=np.int32), lengths))
+    assert len(rows) < 3 / 4 * lengths.sum()
+    first = set(rows["pos"].to_pylist())
+    ids = c._encode_words(own)
+    at = 0
+    for word, w in zip(words, own):
+        want = enc.encode_ordinary(word)
+        assert ids[w] == (np.array(want, np.int32).tobytes(), " ".join(map(str, want)).encode()), word
+        for i in want:
+            assert at in first
+            at += len(enc.decode_single_token_bytes(i))
+
+
+def test_decode_in_runs():
+    """Rows without ids, rows that end at, before and behind a run, and numbers that are no ids (no bytes)."""
+    rnd = random.Random(13)
+    raw = open(RANKS, "rb").read()
+    tokens = {i: t for t, i in read_ranks(raw).items()}
+    counts = np.array([0, 64, 0, 63, 65, 1, 0, 0, 128, 300_000, 2, 0])
+    ids = np.array([rnd.choice([rnd.randrange(len(tokens)), 0, 255]) for _ in range(counts.sum())], np.int32)
+    ids[::97] = max(tokens) + 1
+    ids[1::97] = -1
+    ends = np.cumsum(counts)
+    want = [b"".join(tokens.get(i, b"") for i in ids[b - n:b].tolist()) for n, b in zip(counts.tolist(), ends.tolist())]
+    assert Codec(raw, PATTERN).decode(ids, counts) == want
+    assert Codec(raw, PATTERN).decode(ids[:0], np.array([0, 0])) == [b"", b""]
+
+
 def test_cuts_never_change_tokens():
     """Random strings of the signs that matter to the cuts."""
     rnd = random.Random(5)
