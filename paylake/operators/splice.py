@@ -23,10 +23,11 @@ VERSION = "__VERSION"
 
 def fold_newest(rows: DataFrame, keys, seq: str, place=("_leaf",)) -> DataFrame:
     """SCD1: the newest of stored rows and changes per key. A key's rows all
-    have the same ``place``; rows already dealt by it are not moved again."""
+    have the same ``place``; rows already dealt by it are not moved again. The
+    result is in the order of the keys."""
     skip = {*keys, seq, *place}
     values = [c for c in rows.columns if c not in skip]
-    newest = Window.partitionBy(*place, *keys).orderBy(*[F.col(c).desc_nulls_last() for c in (seq, *values)])
+    newest = Window.partitionBy(*keys, *place).orderBy(*[F.col(c).desc_nulls_last() for c in (seq, *values)])
     return rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").select(*keys, *values, seq, *place)
 
 

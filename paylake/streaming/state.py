@@ -1,6 +1,6 @@
 """Current tables kept up batch by batch, at a cost that follows the batch.
 
-A table's rows lie in leaves: folders of Parquet files that tile the order
+A table's rows lie in leaves: sorted Parquet files that tile the order
 (bucket, key, sequence). A leaf knows its lower bound, so the leaf that a change
 belongs to is found in the list of leaves, without reading any. A fold reads
 the leaves that its batch touches, puts the changes in
@@ -16,7 +16,9 @@ whose history fills a thousand leaves has few of them read and written.
 
 The buckets spread keys (:func:`buckets_for` a size that is known), the leaves
 bound the rows of a task: a leaf that grew
-beyond ``leaf_rows`` is cut where it is written. A fold of newest rows moves each row once. Rows of one batch that fall
+beyond ``leaf_rows`` is cut where it is written. A fold of newest rows moves and
+sorts each row once: the leaves to write are numbered, and a leaf's number is the
+number of the task that writes it. Rows of one batch that fall
 into one leaf are sorted in one task; admission by bytes bounds a batch.
 """
 
@@ -153,23 +155,26 @@ class KeyedState:
             placed = self._own_leaf(changes, ordered).withColumn("_leaf", F.coalesce("pos", F.lit(0))).select(*columns, "_bucket", "_leaf")
         paths = [r["path"] for r in touched]
         places = self._runs(spark, touched)
-        new_runs = F.broadcast(places.select("_bucket", "_leaf", "_run"))
-        placed = placed.join(new_runs, ["_bucket", "_leaf"], "left").withColumn("_run", F.coalesce("_run", F.lit(0))).drop("_bucket")
+        number_of = F.broadcast(places.select("_bucket", F.col("_pos").alias("_leaf"), F.col("_leaf").alias("_nth"), "_run"))
+        placed = placed.join(number_of, ["_bucket", "_leaf"], "left").withColumns({
+            "_leaf": F.coalesce("_nth", F.col("_bucket") + F.lit(len(touched))),  # a bucket without leaves gets its first
+            "_run": F.coalesce("_run", F.lit(0))}).drop("_bucket", "_nth")
         if touched:
-            rows = self._read(spark, paths).withColumn("_tail", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+/[^/]+)/[^/]+$", 1))
-            old = rows.join(F.broadcast(places.drop("_bucket")), "_tail").drop("_tail")
+            rows = self._read(spark, paths).withColumn("_path", F.col("_metadata.file_path"))
+            old = rows.join(F.broadcast(places.select("_path", "_leaf", "_run")), "_path").drop("_path")
         else:
             old = spark.createDataFrame([], self._schema(changes.select(*columns)))
+        tasks = len(touched) + self.buckets
         if self.history:
-            rows = splice(old, placed, self.keys, self.sequence).drop("_run").withColumn("_bucket", self._bucket())
-            rows = self._dealt(rows, len(touched))
+            rows = splice(old, placed, self.keys, self.sequence).drop("_run")
+            rows = rows.repartitionById(tasks, F.col("_leaf"))
         else:
             placed = self._thinned(placed, changes if counted is None else counted)
-            rows = old.unionByName(placed).drop("_run").withColumn("_bucket", self._bucket())
-            rows = fold_newest(self._dealt(rows, len(touched)), self.keys, self.sequence, ("_bucket", "_leaf"))
+            rows = old.unionByName(placed).drop("_run").repartitionById(tasks, F.col("_leaf"))
+            rows = fold_newest(rows, self.keys, self.sequence)
         path = f"{self.root}/fold-{number:09d}-{uuid.uuid4().hex[:8]}"
-        self._write(rows, path)
-        new = self._list(spark.read.parquet(path), path)
+        self._write(rows.drop("_leaf"), path)
+        new = self._list(spark.read.parquet(path))
         if live is not None:
             new = new.unionByName(live.join(F.broadcast(spark.createDataFrame([(p,) for p in paths], "path string")), "path", "left_anti"))
         listed = f"{path}-leaves"
@@ -177,13 +182,6 @@ class KeyedState:
         sinks.commit_versions(spark, self.root, {LEAVES: (number, listed)})
         return paths
 
-    def _dealt(self, rows: DataFrame, leaves: int) -> DataFrame:
-        """Rows by (bucket, leaf): one shuffle, over more tasks than there are leaves."""
-        tasks = 2 * max(leaves, self.buckets)
-        if tasks <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-            return rows.repartition("_bucket", "_leaf")
-        return rows.repartition(tasks, "_bucket", "_leaf")
-
     def _thinned(self, placed: DataFrame, counted: DataFrame) -> DataFrame:
         """Changes without all but the newest of a hot key's per task, so that
         no key sends a large share of a batch to one leaf."""
@@ -195,15 +193,15 @@ class KeyedState:
         return placed.where(~hot).unionByName(few.select(*placed.columns))
 
     def _runs(self, spark: SparkSession, touched) -> DataFrame:
-        """Of the leaves to rewrite: their place, their folder's last three
-        names, and the run of leaves without a gap that they are in."""
+        """Of the leaves to rewrite: their place, their number among them, and
+        the run of leaves without a gap that they are in."""
         rows, run, last = [], 0, None
         for r in sorted(touched, key=lambda r: (r["bucket"], r["pos"])):
             if last != (r["bucket"], r["pos"] - 1):
                 run += 1
             last = (r["bucket"], r["pos"])
-            rows.append((*last, run, "/".join(r["path"].split("/")[-3:])))
-        return spark.createDataFrame(rows, "_bucket int, _leaf int, _run int, _tail string")
+            rows.append((*last, len(rows), run, r["path"]))
+        return spark.createDataFrame(rows, "_bucket int, _pos int, _leaf int, _run int, _path string")
 
     def _schema(self, changes: DataFrame) -> T.StructType:
         extra = [T.StructField("_leaf", T.IntegerType()), T.StructField("_run", T.IntegerType())]
@@ -212,17 +210,16 @@ class KeyedState:
         return T.StructType([*changes.schema.fields, *extra])
 
     def _write(self, rows: DataFrame, path: str) -> None:
-        """Leaves as folders; one that grew too long is cut into several. Rows
-        are dealt by leaf before, so the parts of a leaf are written by the task
-        that has it."""
+        """Leaves as files, those of a task in order; one that grew too long is
+        cut into several. Newest rows come in this order and are not sorted again."""
         order = [*self.keys, *((self.sequence,) if self.history else ())]  # newest rows have unique keys
-        nth = F.row_number().over(Window.partitionBy("_bucket", "_leaf").orderBy(*order))
-        rows = rows.withColumn("_leaf", F.concat_ws("-", F.col("_leaf"), F.lpad(F.floor((nth - 1) / F.lit(self.leaf_rows)).cast("string"), 9, "0")))
-        rows.sortWithinPartitions("_bucket", "_leaf", *order).write.partitionBy("_bucket", "_leaf").parquet(path)
+        rows.sortWithinPartitions(*order).write.option("maxRecordsPerFile", self.leaf_rows).parquet(path)
 
-    def _list(self, rows: DataFrame, path: str) -> DataFrame:
-        """The list of the leaves just written: reads keys and sequence only."""
+    def _list(self, rows: DataFrame) -> DataFrame:
+        """The list of the leaves just written: their first rows are their
+        bounds, counts need no more than the marks."""
+        file = F.col("_metadata.file_path").alias("path")
         counted = F.count_if(F.col(VERSION)) if self.history else F.count(F.lit(1))
-        found = rows.groupBy("_bucket", "_leaf").agg(F.min(self._place()).alias("low"), F.count(F.lit(1)).alias("rows"), counted.alias("versions"))
-        folder = F.concat(F.lit(f"{path}/_bucket="), F.col("_bucket").cast("string"), F.lit("/_leaf="), F.col("_leaf").cast("string"))
-        return found.select(F.col("_bucket").alias("bucket"), folder.alias("path"), "low", "rows", "versions")
+        counts = rows.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), counted.alias("versions"))
+        first = rows.where(F.col("_metadata.row_index") == 0).select(self._bucket().alias("bucket"), file, self._place().alias("low"))
+        return first.join(counts, "path")

@@ -90,3 +90,23 @@ def test_a_fold_that_dies_leaves_the_old_table(spark, monkeypatch):
     assert rows_of(state.table(spark)) == before
     state.fold(spark.createDataFrame(rows[30:], SCHEMA), 1)
     assert rows_of(state.table(spark)) == rows_of(scd2(spark.createDataFrame(rows, SCHEMA), ["k"], "seq"))
+
+
+@pytest.mark.parametrize("history", [False, True])
+def test_a_leaf_is_a_file_that_its_task_wrote_in_order(spark, monkeypatch, history):
+    plans, write = [], KeyedState._write
+
+    def watched(self, rows, path):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        write(self, rows, path)
+
+    monkeypatch.setattr(KeyedState, "_write", watched)
+    state = KeyedState(fresh_dir(spark, "t-files"), ("k",), "seq", history=history, buckets=3, leaf_rows=10)
+    rows = [(f"k{i:03d}", i % 7, "a", i) for i in range(90)]
+    state.fold(spark.createDataFrame(rows, SCHEMA), 0)
+    state.fold(spark.createDataFrame([(k, seq + 1, "b", w) for k, seq, _, w in rows[::3]], SCHEMA), 1)
+    assert "regexp" not in plans[1]  # stored rows are told by their files' names, whole
+    for leaf in state.leaves(spark).collect():
+        assert leaf["path"].endswith(".parquet") and leaf["rows"] <= 10
+        keys = [r["k"] for r in spark.read.parquet(leaf["path"]).collect()]
+        assert keys == sorted(keys) and len(keys) == leaf["rows"] and keys[0] == leaf["low"]["k"]
