@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from paylake.operators.cdc import END_AT, START_AT
 
 VERSION = "__VERSION"
+#: Of newest rows: the fold that put the row in, and the one that brought its key.
+SET_AT = "__SET_AT"
+SINCE = "__SINCE"
 
 
 def fold_newest(rows: DataFrame, keys, seq: str, place=("_leaf",)) -> DataFrame:
@@ -31,6 +34,17 @@ def fold_newest(rows: DataFrame, keys, seq: str, place=("_leaf",)) -> DataFrame:
     return rows.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").select(*keys, *values, seq, *place)
 
 
+def fold_marked(rows: DataFrame, keys, seq: str, place=("_leaf",)) -> DataFrame:
+    """:func:`fold_newest` of rows with ``__SET_AT`` and ``__SINCE``: a stored row
+    that comes again as it is keeps its mark, a key keeps its first fold."""
+    skip = {*keys, seq, *place, SET_AT, SINCE}
+    values = [c for c in rows.columns if c not in skip]
+    by_key = Window.partitionBy(*keys, *place).orderBy(*[F.col(c).desc_nulls_last() for c in (seq, *values)], F.col(SET_AT))
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({"_rn": F.row_number().over(by_key), "_since": F.min(SINCE).over(whole)})
+    return rows.where("_rn = 1").select(*keys, *values, seq, SET_AT, F.col("_since").alias(SINCE), *place)
+
+
 def splice(stored: DataFrame, changes: DataFrame, keys, seq: str, leaf: str = "_leaf", run: str = "_run") -> DataFrame:
     """SCD2: the stretches of each key with their changes put in. A stretch is
     the rows of a key in one ``run`` (leaves without a gap between them).

@@ -2,18 +2,23 @@
 
 Two committed folds of a silver table differ in some leaves; their rows before
 and after, compared by key and row, are the gold rows that were inserted,
-updated or deleted. Gold is a keyed state of its own that takes them in.
+updated or deleted. A table of newest rows also knows which fold set a row and
+which brought its key: rows of new keys are inserts without a comparison, and only
+rows set anew are compared with what they were. Gold is a keyed state of its own
+that takes the changes in.
 
 The fact keeps partial aggregates (sum and counts per fact key) as a list of
 additions. A refresh takes the scored transactions that changed away with
 their old values and adds the new ones: those whose own row changed, and those
-of users and merchants whose dimension row changed what the score reads.
+of users and merchants whose dimension row changed what the score reads. User and
+merchant are part of a transaction's key, so each side tells the latter by itself.
 Readers add the parts up; :func:`compact` writes them as one.
 """
 
 from __future__ import annotations
 
 import dataclasses
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,20 +31,23 @@ from paylake.streaming.state import KeyedState
 OP = "op"
 FOLD = "_fold"
 GONE = "_deleted"
+SIGN = "_sign"
 FACT_KEYS = ("PK_Tiempo", "user_id", "merchant_id", "channel_id")
 
 
-def row_changes(before: DataFrame | None, after: DataFrame | None, keys) -> DataFrame:
+def row_changes(before: DataFrame | None, after: DataFrame | None, keys, how: str = "full_outer") -> DataFrame:
     """Rows of ``after`` that are new or differ (``op`` insert or update), and
-    rows of ``before`` whose key is gone (delete). Keys are unique. Both rows
+    rows of ``before`` whose key is gone (delete; not looked for if ``how`` is
+    left). Keys are unique. Both rows
     are there after the join, so they are compared themselves, not by hashes
-    that would have to move with them."""
-    some = after if after is not None else before
-    empty = some.limit(0)
-    old = (before if before is not None else empty).select(F.struct(*some.columns).alias("_was"), *[F.col(k).alias(f"_k_{k}") for k in keys])
-    new = (after if after is not None else empty).select(F.struct(*some.columns).alias("_is"), *keys)
+    that would have to move with them. Without one of the sides nothing moves."""
+    if before is None or after is None:
+        rows, op = (after, "insert") if before is None else (before, "delete")
+        return rows.withColumn(OP, F.lit(op))
+    old = before.select(F.struct(*after.columns).alias("_was"), *[F.col(k).alias(f"_k_{k}") for k in keys])
+    new = after.select(F.struct(*after.columns).alias("_is"), *keys)
     same = [new[k].eqNullSafe(old[f"_k_{k}"]) for k in keys]
-    both = new.join(old, same, "full_outer").where(~F.col("_was").eqNullSafe(F.col("_is")))
+    both = new.join(old, same, how).where(~F.col("_was").eqNullSafe(F.col("_is")))
     op = F.when(F.col("_was").isNull(), "insert").when(F.col("_is").isNull(), "delete").otherwise("update")
     return both.select(F.coalesce("_is", "_was").alias("r"), op.alias(OP)).select("r.*", OP)
 
@@ -59,13 +67,17 @@ class GoldTable:
 
     def changes(self, spark: SparkSession, older: int | None, newer: int) -> DataFrame:
         """Gold rows that changed between two silver folds, with their ``op``."""
-        gold = [None if rows is None else self.project(self._table(rows)) for rows in self.silver.between(spark, older, newer)]
-        return row_changes(*gold, self.silver.keys)
-
-    def _table(self, rows: DataFrame) -> DataFrame:
-        from paylake.operators.splice import versions
-
-        return versions(rows, self.silver.keys, self.silver.sequence) if self.silver.history else rows.drop(self.silver.sequence)
+        gold = [None if rows is None else self._gold(rows) for rows in self.silver.between(spark, older, newer)]
+        if gold[0] is None or gold[1] is None or self.silver.history:
+            return row_changes(*gold, self.silver.keys)
+        come, anew = self.silver.set_between(spark, older, newer)
+        inserts = row_changes(None, self._gold(come), self.silver.keys)
+        if anew.isEmpty():  # then no stored row need be moved to be compared
+            return inserts
+        return inserts.unionByName(row_changes(gold[0], self._gold(anew), self.silver.keys, "left"))
+
+    def _gold(self, rows: DataFrame) -> DataFrame:
+        return self.project(self.silver.as_table(rows))
 
     def catch_up(self, spark: SparkSession, upto: int | None = None) -> list[int]:
         """Take in all silver folds (up to one) that gold has not seen, in one go."""
@@ -74,6 +86,8 @@ class GoldTable:
         fresh = [n for n in there if older is None or n > older]
         if fresh:
             rows = self.changes(spark, older, fresh[-1])
+            if older is not None:  # a fold looks for its leaves before it puts rows in: changes are found once
+                rows = stored_once(rows, "changes")
             rows = rows.withColumn(GONE, F.col(OP) == "delete").drop(OP).withColumn(FOLD, F.lit(fresh[-1]))
             self.state.fold(rows, fresh[-1])
         return fresh
@@ -84,14 +98,28 @@ class GoldTable:
     def table_at(self, spark: SparkSession, number: int) -> DataFrame:
         """Gold as a fold left it."""
         paths = [r["path"] for r in self.state.leaves_at(spark, number).select("path").collect()]
-        return spark.read.parquet(*paths).where(~F.col(GONE)).drop(GONE, FOLD)
+        return self.state.as_table(spark.read.parquet(*paths)).where(~F.col(GONE)).drop(GONE)
+
+
+def stored_once(rows: DataFrame, name: str) -> DataFrame:
+    """Rows that several jobs read, written to a folder of their own."""
+    path = fresh_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def partials(scored: DataFrame, sign: int) -> DataFrame:
     """Sums and counts per fact key, taken away with ``sign`` -1."""
+    return signed_partials(scored.withColumn(SIGN, F.lit(sign)))
+
+
+def signed_partials(scored: DataFrame) -> DataFrame:
+    """Sums and counts per fact key of rows that say whether they are added or taken away."""
+    sign = F.col(SIGN)
+    signed = lambda c: F.when(sign < 0, -F.col(c)).otherwise(F.col(c))
     return scored.groupBy(*FACT_KEYS).agg(
-        (F.sum("amount") * sign).cast("decimal(28,2)").alias("amount"), (F.sum("risk_score") * sign).cast("bigint").alias("risk"),
-        (F.count_if(F.col("transaction_type") == M.REVERSAL) * sign).alias("reversed"), (F.count(F.lit(1)) * sign).alias("n"))
+        F.sum(signed("amount")).cast("decimal(28,2)").alias("amount"), F.sum(signed("risk_score")).cast("bigint").alias("risk"),
+        F.coalesce(F.sum(F.when(F.col("transaction_type") == M.REVERSAL, sign)), F.lit(0)).cast("bigint").alias("reversed"), F.sum(sign).cast("bigint").alias("n"))
 
 
 def _read_by_score(d_user: DataFrame, d_merchant: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,30 +138,49 @@ class Gold:
     def dims(self) -> tuple[DataFrame, DataFrame]:
         return M.dim_user(self.users, self.transactions), M.dim_merchant(self.merchants)
 
-    def scored(self, only: DataFrame | None, keys, **options) -> DataFrame:
-        """Scored transactions, all or those whose key is in ``only``."""
-        some = self.transactions if only is None else self.transactions.join(only, list(keys), "left_semi")
-        return M.risk_scored_transactions(some, *self.dims(), **options)
+    def scored(self, some: DataFrame | None = None, **options) -> DataFrame:
+        """Scored transactions, all or some."""
+        return M.risk_scored_transactions(self.transactions if some is None else some, *self.dims(), counted=self.transactions, **options)
 
 
 TX_KEYS = ("transaction_id", "user_id", "merchant_id")
 
 
+def _flagged(transactions: DataFrame, dims, bounded) -> DataFrame:
+    """Transactions with ``_dim``: whether their user or merchant is in a list of
+    changed ones. Lists of proven size are broadcast."""
+    flags = []
+    for changed, key, small in zip(dims, ("user_id", "merchant_id"), bounded, strict=True):
+        flags.append(f"_has_{key}")
+        marked = changed.select(key, F.lit(True).alias(flags[-1]))
+        transactions = transactions.join(F.broadcast(marked) if small else marked, key, "left")
+    return transactions.withColumn("_dim", F.coalesce(*flags, F.lit(False))).drop(*flags)
+
+
 def fact_delta(before: Gold | None, after: Gold, changed: DataFrame, **options) -> DataFrame:
-    """Partial aggregates to add to the fact. ``changed`` holds the keys of the
-    transactions that changed; those of changed users and merchants are found here."""
+    """Partial aggregates to add to the fact. ``changed`` holds the transactions
+    that changed (:meth:`GoldTable.changes`); those of changed users and merchants are found here.
+
+    A transaction of a changed user or merchant is taken away and added by that
+    alone, on both sides, since both are in its key. Of the others the new rows are
+    in ``changed``, and old ones are looked up only where there were any."""
     if before is None:
-        return partials(after.scored(None, TX_KEYS, **options), 1)
+        return partials(after.scored(**options), 1)
     (u0, m0), (u1, m1) = _read_by_score(*before.dims()), _read_by_score(*after.dims())
-    users, merchants = row_changes(u0, u1, ["user_id"]).select("user_id"), row_changes(m0, m1, ["merchant_id"]).select("merchant_id")
-    touched = changed.select(*TX_KEYS)
-    for gold in (before, after):
-        touched = touched.unionByName(gold.transactions.select(*TX_KEYS).join(users, "user_id", "left_semi").select(*TX_KEYS))
-        touched = touched.unionByName(gold.transactions.select(*TX_KEYS).join(merchants, "merchant_id", "left_semi").select(*TX_KEYS))
-    path = fresh_dir(touched.sparkSession, "touched")  # both sides read it: the comparison of two folds runs once
-    touched.distinct().write.parquet(path)
-    touched = touched.sparkSession.read.parquet(path)
-    return partials(before.scored(touched, TX_KEYS, **options), -1).unionByName(partials(after.scored(touched, TX_KEYS, **options), 1))
+    dims = [stored_once(row_changes(a, b, [k]).select(k), f"changed-{k}") for a, b, k in ((u0, u1, "user_id"), (m0, m1, "merchant_id"))]
+    changed = stored_once(changed, "changed")  # both sides read it: the comparison of two folds runs once
+    flagged = lambda rows: _flagged(rows, dims, [options.get(f"{x}_bounded", False) for x in ("users", "merchants")])
+    columns = after.transactions.columns
+    new = flagged(after.transactions).where("_dim").unionByName(flagged(changed.where(F.col(OP) != "delete").select(*columns)).where("not _dim"))
+    old = flagged(before.transactions)
+    were = changed.where(F.col(OP) != "insert").select(*TX_KEYS)
+    if were.isEmpty():
+        old = old.where("_dim")
+    else:
+        marked = were.distinct().withColumn("_own", F.lit(True))
+        old = old.join(marked, list(TX_KEYS), "left").where(F.col("_dim") | F.col("_own"))
+    sides = ((before, old, -1), (after, new, 1))
+    return signed_partials(reduce(DataFrame.unionByName, [g.scored(rows.select(*columns), **options).withColumn(SIGN, F.lit(sign)) for g, rows, sign in sides]))
 
 
 def add_delta(spark: SparkSession, root: str, delta: DataFrame, number: int) -> None:

@@ -184,7 +184,8 @@ def risk_score(currency, merchant_currency, tx_type, m_risk, u_risk) -> F.Column
 
 def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant: DataFrame,
                              channel_ids: DataFrame | None = None, merchants_bounded: bool = False,
-                             users_bounded: bool = False, users_bucketed: bool = False, **hot) -> DataFrame:
+                             users_bounded: bool = False, users_bucketed: bool = False,
+                             counted: DataFrame | None = None, **hot) -> DataFrame:
     """Eligible transactions with normalised amount, channel id and risk score
     (C3, C4, C5, B19-B23).
 
@@ -192,7 +193,8 @@ def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant:
     (``*_bounded``, from the row count of the stored table it projects); a
     broadcast join is immune to hot keys. Otherwise the join is a shuffle join
     whose hot keys, found before any join in the key column of the stored
-    gold table, are salted (``hot``: options of ``hot_keys``), or, where the
+    gold table (``counted``, where ``gold_tx`` is a part of it that other joins
+    made), are salted (``hot``: options of ``hot_keys``), or, where the
     caller has both tables bucketed by user (``users_bucketed``) and no user is
     hot, a sort-merge join without a shuffle. The channel
     lookup is cut to the three channels that pass validation and broadcast.
@@ -212,7 +214,7 @@ def risk_scored_transactions(gold_tx: DataFrame, d_user: DataFrame, d_merchant:
         elif key == "user_id" and users_bucketed:
             t = t.join(dim.hint("merge"), key, "inner")
         else:
-            t = salted_join(t, dim, key, hot_keys(gold_tx, key, **hot), salt_by=salt_by)
+            t = salted_join(t, dim, key, hot_keys(gold_tx if counted is None else counted, key, **hot), salt_by=salt_by)
     if channel_ids is None:
         channel_id = static_channel_id("channel")
     else:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paylake.operators.cdc import END_AT, HOT_ROWS, crowded_places, hash_place
-from paylake.operators.splice import VERSION, fold_newest, splice, versions
+from paylake.operators.splice import SET_AT, SINCE, VERSION, fold_marked, fold_newest, splice, versions
 from paylake.sources import sinks
 
 LEAVES = "leaves"
@@ -89,6 +89,15 @@ class KeyedState:
         gone, come = sorted(before - after), sorted(after - before)
         return (self._read(spark, gone) if gone else None), (self._read(spark, come) if come else None)
 
+    def set_between(self, spark: SparkSession, older: int, newer: int) -> tuple[DataFrame, DataFrame] | None:
+        """Of newest rows, those that came after fold ``older``: (of new keys, of
+        keys that were there). A key that is there stays, so these are all changes."""
+        after = self.between(spark, older, newer)[1]
+        if after is None:
+            return None
+        come = after.where(F.col(SET_AT) > older)
+        return come.where(F.col(SINCE) > older), come.where(F.col(SINCE) <= older)
+
     def read(self, spark: SparkSession) -> DataFrame | None:
         """All stored rows (a history with its marks); None before the first fold."""
         live = self.leaves(spark)
@@ -99,7 +108,11 @@ class KeyedState:
         rows = self.read(spark)
         if rows is None:
             return None
-        return versions(rows, self.keys, self.sequence) if self.history else rows.drop(self.sequence)
+        return self.as_table(rows)
+
+    def as_table(self, rows: DataFrame) -> DataFrame:
+        """The SCD table of stored rows."""
+        return versions(rows, self.keys, self.sequence) if self.history else rows.drop(self.sequence, SET_AT, SINCE)
 
     def _read(self, spark: SparkSession, paths: list[str]) -> DataFrame:
         return spark.read.parquet(*paths)
@@ -170,8 +183,9 @@ class KeyedState:
             rows = rows.repartitionById(tasks, F.col("_leaf"))
         else:
             placed = self._thinned(placed, changes if counted is None else counted)
+            placed = placed.withColumns({SET_AT: F.lit(number), SINCE: F.lit(number)})
             rows = old.unionByName(placed).drop("_run").repartitionById(tasks, F.col("_leaf"))
-            rows = fold_newest(rows, self.keys, self.sequence)
+            rows = fold_marked(rows, self.keys, self.sequence)
         path = f"{self.root}/fold-{number:09d}-{uuid.uuid4().hex[:8]}"
         self._write(rows.drop("_leaf"), path)
         new = self._list(spark.read.parquet(path))
@@ -207,6 +221,8 @@ class KeyedState:
         extra = [T.StructField("_leaf", T.IntegerType()), T.StructField("_run", T.IntegerType())]
         if self.history:
             extra = [T.StructField(VERSION, T.BooleanType()), T.StructField(END_AT, changes.schema[self.sequence].dataType), *extra]
+        else:
+            extra = [T.StructField(SET_AT, T.IntegerType()), T.StructField(SINCE, T.IntegerType()), *extra]
         return T.StructType([*changes.schema.fields, *extra])
 
     def _write(self, rows: DataFrame, path: str) -> None:

@@ -16,6 +16,7 @@ from paylake.session import fresh_dir
 from paylake.sources.tables import stored_bytes, stored_files
 from paylake.streaming.drift import RESCUED, schema_versions, start_bronze_by_name
 from paylake.streaming.ingest import start_bronze
+from paylake.streaming.state import KeyedState
 
 
 def land_text(folder, name, text):
@@ -119,3 +120,24 @@ def test_fact_takes_retractions_and_can_be_compacted(spark):
     assert list(map(tuple, C.fact(spark, packed).collect())) == want
     C.add_delta(spark, packed, C.partials(come.unionByName(spark.createDataFrame([row("2", D("2.00"), "reversa", 30)], schema)), -1), 1)
     assert C.fact(spark, packed).collect() == []  # all taken away
+
+
+def test_rows_of_new_keys_are_inserts_without_a_comparison(spark, monkeypatch):
+    compared, plain = [], C.row_changes
+    monkeypatch.setattr(C, "row_changes", lambda before, after, *a: compared.append(before is not None and after is not None) or plain(before, after, *a))
+    schema = "k string, seq int, v string"
+    work = fresh_dir(spark, "t-marks")
+    gold = C.GoldTable(f"{work}/gold", KeyedState(f"{work}/silver", ("k",), "seq", history=False, buckets=2), lambda rows: rows)
+    folds = [[("a", 1, "x"), ("b", 1, "x"), ("c", 5, "x"), ("d", 1, None)], [("e", 1, "x"), ("f", 1, None), ("a", 1, "x"), ("c", 4, "late")],
+             [("a", 2, "y"), ("b", 2, "x"), ("d", 2, "z"), ("g", 1, "x")]]
+    for n, rows in enumerate(folds):
+        gold.silver.fold(spark.createDataFrame(rows, schema), n)
+        gold.catch_up(spark)
+    got = lambda older, newer: sorted((r["k"], r["v"], r["op"]) for r in gold.changes(spark, older, newer).collect())
+    compared.clear()
+    assert got(0, 1) == [("e", "x", "insert"), ("f", None, "insert")] and not any(compared)
+    assert got(1, 2) == [("a", "y", "update"), ("d", "z", "update"), ("g", "x", "insert")] and compared.count(True) == 1
+    assert got(0, 2) == [("a", "y", "update"), ("d", "z", "update"), ("e", "x", "insert"), ("f", None, "insert"), ("g", "x", "insert")]
+    want = [("a", "y"), ("b", "x"), ("c", "x"), ("d", "z"), ("e", "x"), ("f", None), ("g", "x")]
+    assert sorted(map(tuple, gold.table(spark).collect())) == want == sorted(map(tuple, gold.silver.table(spark).collect()))
+    assert sorted(map(tuple, gold.table_at(spark, 0).collect()), key=str) == [("a", "x"), ("b", "x"), ("c", "x"), ("d", None)]
