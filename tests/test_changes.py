@@ -141,3 +141,29 @@ def test_rows_of_new_keys_are_inserts_without_a_comparison(spark, monkeypatch):
     want = [("a", "y"), ("b", "x"), ("c", "x"), ("d", "z"), ("e", "x"), ("f", None), ("g", "x")]
     assert sorted(map(tuple, gold.table(spark).collect())) == want == sorted(map(tuple, gold.silver.table(spark).collect()))
     assert sorted(map(tuple, gold.table_at(spark, 0).collect()), key=str) == [("a", "x"), ("b", "x"), ("c", "x"), ("d", None)]
+
+
+def test_a_delta_takes_changed_rows_users_and_merchants_once(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    day = dt.date(2024, 1, 1)
+    tx_schema = "PK_Tiempo int, transaction_id string, user_id string, merchant_id string, channel string, transaction_type string, amount decimal(10,2), currency string, transaction_date date, status string, reference_id string"
+    tx = lambda t, u, m, amount, kind="pago": (20240101, t, u, m, "web", kind, D(amount), "USD", day, "aprobado", None)
+    users = lambda **c: spark.createDataFrame([(20240101, u, "n", "d", "e", "p", k, None, day, cur) for u, (k, cur) in c.items()], "PK_Tiempo int, user_id string, full_name string, document_id string, email string, phone string, country string, segment string, registration_date date, local_currency string")
+    merchants = lambda **r: spark.createDataFrame([(20240101, m, "n", "moda", "PE", day, "activo", x, "PEN") for m, x in r.items()], "PK_Tiempo int, merchant_id string, merchant_name string, category string, country string, affiliation_date date, status string, risk_level string, local_currency string")
+    rows0 = [tx("1", "u", "m", "1.00"), tx("2", "v", "m", "2.00"), tx("3", "u", "n", "3.00"), tx("4", "w", "o", "4.00"), tx("5", "w", "o", "5.00", "reversa"), tx("9", "x", "o", "1.00")]
+    rows1 = [*rows0[:3], tx("4", "w", "o", "7.00"), *rows0[4:5], tx("6", "u", "m", "8.00"), tx("7", "x", "o", "9.00")]  # 9 is gone
+    t0, t1 = (spark.createDataFrame(r, tx_schema) for r in (rows0, rows1))
+    before = C.Gold(t0, users(u=("PE", "PEN"), v=("CO", None), w=("PE", "PEN"), x=("PE", "PEN")), merchants(m="alto", n="bajo", o="medio"))
+    after = C.Gold(t1, users(u=("PE", "PEN"), v=("PE", "PEN"), w=("PE", "PEN"), x=("PE", "PEN")), merchants(m="bajo", n="bajo", o="medio"))
+    for changed in (C.row_changes(t0, t1, C.TX_KEYS), C.row_changes(t0, t1, C.TX_KEYS).where("op = 'insert'")):
+        last = after if changed.where("op <> 'insert'").count() else C.Gold(spark.createDataFrame([*rows0, *rows1[5:]], tx_schema), after.users, after.merchants)
+        work = fresh_dir(spark, "t-delta")
+        C.add_delta(spark, work, C.fact_delta(None, before, None), 0)
+        delta = C.fact_delta(before, last, changed, users_bounded=True, merchants_bounded=True)
+        assert "LeftSemi" not in delta._jdf.queryExecution().optimizedPlan().toString()  # no list of keys is made and joined back
+        C.add_delta(spark, work, delta, 1)
+        whole = fresh_dir(spark, "t-whole")
+        C.add_delta(spark, whole, C.fact_delta(None, last, None), 0)
+        assert sorted(map(tuple, C.fact(spark, work).collect())) == sorted(map(tuple, C.fact(spark, whole).collect()))
