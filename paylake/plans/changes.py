@@ -104,7 +104,7 @@ class GoldTable:
 def stored_once(rows: DataFrame, name: str) -> DataFrame:
     """Rows that several jobs read, written to a folder of their own."""
     path = fresh_dir(rows.sparkSession, name)
-    rows.write.parquet(path)
+    rows.write.option("compression", sinks.CODEC).parquet(path)
     return rows.sparkSession.read.parquet(path)
 
 

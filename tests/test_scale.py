@@ -72,3 +72,22 @@ def test_a_fold_cuts_a_hot_key_down_before_it_moves(spark, monkeypatch):
         state.fold(changes, b)
     want = scd1(spark.createDataFrame(rows, schema), ["k"], "seq")
     assert sorted(map(tuple, state.table(spark).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_feed_of_many_files_is_landed_in_turns_where_it_lies(spark, monkeypatch):
+    from paylake.plans import streams as ST
+
+    work, raw = fresh_dir(spark, "t-turns"), fx.raw_merchants(spark, SF_SMALL)
+    monkeypatch.setattr(ST, "LANDING_FILE_BYTES", 1)
+    tracker, group = spark.sparkContext.statusTracker(), uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    ST.land(raw, "merchants", f"{work}/landing", 8)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group)] == [1] * ST.BATCHES  # nothing is shuffled
+    read = spark.read.option("sep", "|").option("header", True).csv(f"{work}/landing")
+    turn = F.pmod(F.crc32(F.concat_ws("|", *read.columns)), F.lit(ST.BATCHES))
+    files = read.groupBy(F.col("_metadata.file_name")).agg(F.countDistinct(turn).alias("n")).collect()
+    assert len(files) >= ST.BATCHES and {r["n"] for r in files} == {1}
+    cfg = ST.ingest(spark, "merchants", f"{work}/landing", work)
+    columns = ST.as_landed(raw, "merchants").columns
+    assert sorted(map(tuple, spark.read.parquet(cfg.target_table).select(*columns).collect()), key=repr) == sorted(map(tuple, ST.as_landed(raw, "merchants").collect()), key=repr)
